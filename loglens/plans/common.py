@@ -48,3 +48,14 @@ def rounded(df: DataFrame, digits: int = ROUND) -> DataFrame:
             if f.dataType.simpleString() in ("double", "float")
             else F.col(f.name) for f in df.schema.fields]
     return df.select(*cols)
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Materialise a small intermediate table reused by several jobs and cut its lineage.
+
+    Reliable ``checkpoint`` into the checkpoint folder (never executor-local), so a
+    lost executor does not force recomputation from the raw scan.
+    """
+    from ..session import checkpoint_root
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
