@@ -110,6 +110,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def make_dirs(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop_fs(spark, path)
+    fs.mkdirs(p)
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """A stage output is complete when its ``_SUCCESS`` marker exists."""
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
