@@ -309,3 +309,22 @@ def q_quality_grade(spark, sf):
     m = evaluate.regression_metrics(pred, Y, "prediction")
     return common.rounded(m.select(F.lit("Linear Regression").alias("model"), "r2",
                                    quality_grade(F.col("r2")).alias("grade")))
+
+
+@register("seasonal_grid_search_by_type")
+def q_seasonal_grid_search_by_type(spark, sf):
+    """The 144-candidate search for every event-type series at once; winner per series (M8, keyed)."""
+    _, fit = seasonal_fit(spark, sf, ["event_type"])
+    return seasonal.order_strings(fit.best).select("event_type", "cand_idx", "order", "seasonal_order", "n_obs",
+                                                   F.round("aic", 4).alias("aic"))
+
+
+@register("hybrid_forecast_by_type")
+def q_hybrid_forecast_by_type(spark, sf):
+    """Seasonal + residual-corrected forecast and its metrics for every event-type series (M8-M13, keyed)."""
+    *_, joined = hybrid_run(spark, sf, ["event_type"])
+    seas = evaluate.regression_metrics(joined, Y, "seasonal_forecast", keys=["event_type"])
+    hyb = evaluate.regression_metrics(joined, Y, "hybrid_forecast", keys=["event_type"])
+    out = hyb.alias("h").join(seas.select("event_type", F.col("rmse").alias("seasonal_rmse")), "event_type")
+    return common.rounded(out.withColumn("improvement_over_sarima_pct",
+                                         improvement_pct(F.col("seasonal_rmse"), F.col("rmse"))))

@@ -145,3 +145,10 @@ _TYPE_MAP = ("CASE lower(column_type) WHEN 'timestamp' THEN 'timestamp_ntz' WHEN
 def q_inspect_schema(spark, sf):
     """Names and types of the feature table."""
     return traffic.inspect_schema(spark, common.features(spark, sf))
+
+
+@register("lag_features_by_type", O.with_ctes(*O.HOURLY_CTES[:2], O.HOURLY_KEYED, O.FEATURES_KEYED,
+                                              body="SELECT * FROM features_k"))
+def q_lag_features_by_type(spark, sf):
+    """Hourly series per event type with their own lag and NULL drop: the keyed path."""
+    return common.features(spark, sf, ["event_type"])

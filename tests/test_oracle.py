@@ -52,7 +52,8 @@ def test_every_query_has_entry_or_reason():
     # numeric fits and the tables built on them have no SQL form
     assert rows_only <= {"seasonal_grid_search", "seasonal_forecast", "seasonal_residuals", "sequence_regressor",
                          "residual_corrector", "recursive_forecast", "hybrid_forecast", "union_metrics",
-                         "leaderboard", "metric_winners", "overall_winner", "model_grades", "improvement_pct"}
+                         "leaderboard", "metric_winners", "overall_winner", "model_grades", "improvement_pct",
+                         "seasonal_grid_search_by_type", "hybrid_forecast_by_type"}
 
 
 def test_entry_runs(spark):
