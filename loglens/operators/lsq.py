@@ -2,10 +2,9 @@
 
 Every model of the forecasting layer is a linear regression per series (and per
 candidate). Instead of moving a series to one task, we aggregate its Gram matrix
-``X'X`` (upper triangle), ``X'y``, ``y'y`` and ``n`` with plain ``sum``s: a
-distributive aggregate that Spark computes partially on every input partition and
-merges after the shuffle, so a series holding a third of all rows costs no more
-than any other. The solve is a k x k system per group (k <= ~40), done in a
+``X'X`` (upper triangle), ``X'y``, ``y'y`` and ``n`` as sums: a distributive
+aggregate that Spark computes partially on every input partition and merges after
+the shuffle, so a series holding a third of all rows costs no more than any other. The solve is a k x k system per group (k <= ~40), done in a
 ``mapInPandas`` over the small statistics table.
 
 Several fits over the same rows (candidate column subsets, ridge strengths,
@@ -33,7 +32,15 @@ def gram_stats(df: DataFrame, group_cols: Sequence[str], x_cols: Sequence[str],
 
     Rows with a NULL regressor or target are skipped. With ``intercept`` the first
     regressor is the constant 1. ``xtx`` is the packed upper triangle, row-major.
+
+    Each row contributes one vector ``[x_i x_j (i <= j), x_i y, y^2]``; Spark ML's
+    ``Summarizer`` sums those vectors per group, weighted by the 0/1 mask, as one
+    aggregate with partial merge (hundreds of scalar ``sum``s cost seconds of code
+    generation for no gain).
     """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
     masks = masks or {"all": F.lit(True)}
     xs = ([F.lit(1.0)] if intercept else []) + [F.col(c).cast("double") for c in x_cols]
     y = F.col(y_col).cast("double")
@@ -41,16 +48,25 @@ def gram_stats(df: DataFrame, group_cols: Sequence[str], x_cols: Sequence[str],
     for c in x_cols:
         complete = complete & F.col(c).isNotNull()
     k = len(xs)
+    p = packed_len(k)
+    vec = F.array(*[xs[i] * xs[j] for i in range(k) for j in range(i, k)], *[xs[i] * y for i in range(k)], y * y)
+    group_cols = list(group_cols)
+    weights = {name: F.when(m, F.lit(1.0)).otherwise(F.lit(0.0)).alias(f"_w_{name}") for name, m in masks.items()}
+    rows = df.filter(complete).select(*group_cols, array_to_vector(vec).alias("_v"), *weights.values())
     aggs = []
-    for name, m in masks.items():
-        def s(e, m=m):
-            return F.sum(F.when(m, e))
-        aggs += [F.count(F.when(m, F.lit(1))).alias(f"{name}_n"),
-                 F.array(*[F.coalesce(s(xs[i] * xs[j]), F.lit(0.0)) for i in range(k) for j in range(i, k)])
-                 .alias(f"{name}_xtx"),
-                 F.array(*[F.coalesce(s(xs[i] * y), F.lit(0.0)) for i in range(k)]).alias(f"{name}_xty"),
-                 F.coalesce(s(y * y), F.lit(0.0)).alias(f"{name}_yty")]
-    return df.filter(complete).groupBy(*list(group_cols)).agg(*aggs)
+    for name in masks:
+        w = F.col(f"_w_{name}")
+        aggs += [F.sum(w).cast("bigint").alias(f"{name}_n"), Summarizer.sum(F.col("_v"), w).alias(f"_s_{name}")]
+    g = rows.groupBy(*group_cols).agg(*aggs)
+    out = [F.col(c) for c in group_cols]
+    for name in masks:
+        arr = vector_to_array(F.col(f"_s_{name}"))
+        n = F.col(f"{name}_n")
+        ok = n > 0
+        out += [n, F.when(ok, F.slice(arr, 1, p)).otherwise(F.array_repeat(F.lit(0.0), p)).alias(f"{name}_xtx"),
+                F.when(ok, F.slice(arr, p + 1, k)).otherwise(F.array_repeat(F.lit(0.0), k)).alias(f"{name}_xty"),
+                F.when(ok, F.element_at(arr, p + k + 1)).otherwise(F.lit(0.0)).alias(f"{name}_yty")]
+    return g.select(*out)
 
 
 def unpack(packed, k: int) -> np.ndarray:

@@ -190,6 +190,8 @@ def fit_seasonal(df: DataFrame, order: str, y: str, exog: Sequence[str], keys: S
                     + _term(dd * DD, F.col(f"_{e}{m + 1}"))).alias(f"{e}_dx"))
     base_cols = [*keys, order, y, split_col, "d", "sd"]
     x = x.select(*base_cols, *sel)
+    if stage is not None:
+        x = stage(x)      # read by the stage-1 Gram and by the innovation join
     dx = [f"{e}_dx" for e in exog]
     train = F.col(split_col) == "train"
 

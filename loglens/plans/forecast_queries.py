@@ -253,8 +253,10 @@ def model_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def metrics_table(spark: SparkSession, sf: str, force: bool = False) -> DataFrame:
-    """``model_metrics`` materialised once per input folder (S10): later queries reuse it."""
-    tag = hashlib.sha1(f"v1:{sf}".encode()).hexdigest()[:12]
+    """``model_metrics`` materialised once per input folder and application (S10): the
+    leaderboard queries of one session reuse it; a new session recomputes."""
+    app = spark.sparkContext.applicationId
+    tag = hashlib.sha1(f"{app}:{sf}".encode()).hexdigest()[:12]
     path = f"{checkpoint_root(spark)}/loglens/stages/metrics-{tag}"
     return files.materialize(spark, lambda: model_metrics(spark, sf), path, force=force)
 
