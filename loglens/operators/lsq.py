@@ -33,10 +33,11 @@ def gram_stats(df: DataFrame, group_cols: Sequence[str], x_cols: Sequence[str],
     Rows with a NULL regressor or target are skipped. With ``intercept`` the first
     regressor is the constant 1. ``xtx`` is the packed upper triangle, row-major.
 
-    Each row contributes one vector ``[x_i x_j (i <= j), x_i y, y^2]``; Spark ML's
-    ``Summarizer`` sums those vectors per group, weighted by the 0/1 mask, as one
-    aggregate with partial merge (hundreds of scalar ``sum``s cost seconds of code
-    generation for no gain).
+    Each row contributes one vector ``[x_i x_j (i <= j), x_i y, y^2]`` to every mask
+    it belongs to; Spark ML's ``Summarizer`` sums those vectors per (group, mask) as
+    one aggregate with partial merge (hundreds of scalar ``sum``s cost seconds of
+    code generation for no gain). A small second aggregation lays the masks side by
+    side; a mask with no rows in a group comes out with ``n = 0`` and zero sums.
     """
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.stat import Summarizer
@@ -51,22 +52,24 @@ def gram_stats(df: DataFrame, group_cols: Sequence[str], x_cols: Sequence[str],
     p = packed_len(k)
     vec = F.array(*[xs[i] * xs[j] for i in range(k) for j in range(i, k)], *[xs[i] * y for i in range(k)], y * y)
     group_cols = list(group_cols)
-    weights = {name: F.when(m, F.lit(1.0)).otherwise(F.lit(0.0)).alias(f"_w_{name}") for name, m in masks.items()}
-    rows = df.filter(complete).select(*group_cols, array_to_vector(vec).alias("_v"), *weights.values())
-    aggs = []
-    for name in masks:
-        w = F.col(f"_w_{name}")
-        aggs += [F.sum(w).cast("bigint").alias(f"{name}_n"), Summarizer.sum(F.col("_v"), w).alias(f"_s_{name}")]
-    g = rows.groupBy(*group_cols).agg(*aggs)
+    segs = F.filter(F.array(*[F.when(m, F.lit(name)) for name, m in masks.items()]), lambda x: x.isNotNull())
+    rows = df.filter(complete).select(*group_cols, array_to_vector(vec).alias("_v"), F.explode(segs).alias("_seg"))
+    g = (rows.groupBy(*group_cols, "_seg")
+             .agg(F.count(F.lit(1)).alias("_n"), Summarizer.sum(F.col("_v")).alias("_s"))
+             .select(*group_cols, "_seg", "_n", vector_to_array("_s").alias("_s")))
+    wide = g.groupBy(*group_cols).agg(*[
+        agg for name in masks for agg in (
+            F.max(F.when(F.col("_seg") == name, F.col("_n"))).alias(f"_n_{name}"),
+            F.first(F.when(F.col("_seg") == name, F.col("_s")), ignorenulls=True).alias(f"_s_{name}"))])
     out = [F.col(c) for c in group_cols]
     for name in masks:
-        arr = vector_to_array(F.col(f"_s_{name}"))
-        n = F.col(f"{name}_n")
-        ok = n > 0
-        out += [n, F.when(ok, F.slice(arr, 1, p)).otherwise(F.array_repeat(F.lit(0.0), p)).alias(f"{name}_xtx"),
+        arr = F.col(f"_s_{name}")
+        ok = arr.isNotNull()
+        out += [F.coalesce(F.col(f"_n_{name}"), F.lit(0)).cast("bigint").alias(f"{name}_n"),
+                F.when(ok, F.slice(arr, 1, p)).otherwise(F.array_repeat(F.lit(0.0), p)).alias(f"{name}_xtx"),
                 F.when(ok, F.slice(arr, p + 1, k)).otherwise(F.array_repeat(F.lit(0.0), k)).alias(f"{name}_xty"),
                 F.when(ok, F.element_at(arr, p + k + 1)).otherwise(F.lit(0.0)).alias(f"{name}_yty")]
-    return g.select(*out)
+    return wide.select(*out)
 
 
 def unpack(packed, k: int) -> np.ndarray:
