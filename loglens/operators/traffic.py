@@ -37,18 +37,29 @@ def distribution(df: DataFrame, key: str, count_col: str = "count") -> DataFrame
 
 
 def windowed_traffic(df: DataFrame, ts: str = "event_time", width: str = "1 hour",
-                     keys: Sequence[str] = (), bytes_col: str = "bytes") -> DataFrame:
+                     keys: Sequence[str] = (), bytes_col: str = "bytes", fill_gaps: bool = False) -> DataFrame:
     """Tumbling, epoch-aligned windows -> ``hour_timestamp, request_count, total_bytes`` (A3).
 
-    Empty windows are absent. Rows with NULL time are dropped first (the window of
-    NULL is NULL, and the reference filters them before grouping).
+    Empty windows are absent (reference behaviour), so a later lag means "previous
+    non-empty window". ``fill_gaps=True`` adds the empty windows between each
+    series' first and last one with zero counts: a ``sequence`` per series (its
+    length is the series' time span) joined back on keys and window start.
+    Rows with NULL time are dropped first (the reference filters them before grouping).
     """
     keys = list(keys)
-    return (df.filter(F.col(ts).isNotNull())
-            .groupBy(*keys, F.window(ts, width).alias("time_window"))
-            .agg(F.count(F.lit(1)).alias("request_count"), F.sum(bytes_col).alias("total_bytes"))
-            .select(*keys, F.col("time_window.start").alias("hour_timestamp"),
-                    "request_count", "total_bytes"))
+    out = (df.filter(F.col(ts).isNotNull())
+           .groupBy(*keys, F.window(ts, width).alias("time_window"))
+           .agg(F.count(F.lit(1)).alias("request_count"), F.sum(bytes_col).alias("total_bytes"))
+           .select(*keys, F.col("time_window.start").alias("hour_timestamp"),
+                   "request_count", "total_bytes"))
+    if not fill_gaps:
+        return out
+    span = out.groupBy(*keys).agg(F.min("hour_timestamp").alias("_lo"), F.max("hour_timestamp").alias("_hi"))
+    grid = span.select(*keys, F.explode(F.sequence("_lo", "_hi", F.expr(f"INTERVAL {width}"))).alias("hour_timestamp"))
+    return (grid.join(out, on=[*keys, "hour_timestamp"], how="left")
+                .select(*keys, "hour_timestamp",
+                        F.coalesce("request_count", F.lit(0)).cast("bigint").alias("request_count"),
+                        F.coalesce("total_bytes", F.lit(0)).cast("bigint").alias("total_bytes")))
 
 
 def row_count(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

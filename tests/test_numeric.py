@@ -124,3 +124,37 @@ def test_ridge_picks_validation_minimum(spark):
     m = ridge.fit_ridge_validated(df, ["k"], ["a", "b"], "y", ~F.col("v"), F.col("v")).collect()[0]
     assert m["n_fit"] == 320 and m["n_val"] == 80
     assert m["coef"][1] == pytest.approx(2.0, abs=0.15) and m["coef"][2] == pytest.approx(-1.0, abs=0.15)
+
+
+def test_seasonal_fit_recovers_arma_coefficients(spark):
+    rng = np.random.default_rng(11)
+    n = 3000
+    e = rng.normal(size=n)
+    y = np.zeros(n)
+    for t in range(1, n):
+        y[t] = 0.5 * y[t - 1] + e[t] + 0.4 * e[t - 1]
+    pdf = pd.DataFrame({"ts": pd.date_range("2024-01-01", periods=n, freq="h"), "y": y + 50,
+                        "x": rng.normal(size=n)})
+    pdf["split"] = np.where(np.arange(n) < int(0.8 * n), "train", "test")
+    df = spark.createDataFrame(pdf).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    grid = {"p": (0, 1), "d": (0,), "q": (0, 1), "sp": (0,), "sd": (0,), "sq": (0,)}
+    fit = seasonal.fit_seasonal(df, "ts", "y", ["x"], grid=grid)
+    best = fit.best.collect()[0]
+    assert (best["p"], best["q"]) == (1, 1)
+    ar_set, ma_set = fit.ar_set, fit.ma_set
+    phi = best["coef"][1 + ar_set.index(1)]
+    theta = best["coef"][1 + len(ar_set) + ma_set.index(1)]
+    assert phi == pytest.approx(0.5, abs=0.1) and theta == pytest.approx(0.4, abs=0.1)
+
+
+def test_short_series_keep_default_order_with_null_aic(spark):
+    n = 40
+    pdf = pd.DataFrame({"k": ["short"] * n, "ts": pd.date_range("2024-01-01", periods=n, freq="h"),
+                        "y": np.arange(n, dtype=float) % 7, "x": np.ones(n)})
+    pdf["split"] = np.where(np.arange(n) < 32, "train", "test")
+    df = spark.createDataFrame(pdf).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    fit = seasonal.fit_seasonal(df, "ts", "y", ["x"], keys=["k"])
+    best = fit.best.collect()[0]
+    assert best["aic"] is None and best["cand_idx"] == seasonal.default_index()
+    fc = seasonal.seasonal_forecast(fit, "y").collect()
+    assert len(fc) == 8 and all(r.seasonal_forecast is None for r in fc)

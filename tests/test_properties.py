@@ -59,3 +59,15 @@ def test_keyed_equals_global_on_one_key(spark):
 def test_top_k_tie_break(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",)], "ip string")
     assert [r.ip for r in traffic.top_k(df, "ip", 2).collect()] == ["c", "a"]
+
+
+def test_fill_gaps_adds_zero_hours(spark):
+    p = traffic.drop_unparsed(common.parsed_typed(spark, SF_SMALL))
+    plain = traffic.windowed_traffic(p, keys=["event_type"])
+    filled = traffic.windowed_traffic(p, keys=["event_type"], fill_gaps=True)
+    spans = filled.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"),
+        (F.expr("timestampdiff(HOUR, min(hour_timestamp), max(hour_timestamp))") + 1).alias("hours"))
+    assert spans.filter("n != hours").count() == 0
+    assert filled.agg(F.sum("request_count")).first()[0] == plain.agg(F.sum("request_count")).first()[0]
+    assert filled.count() > plain.count()
