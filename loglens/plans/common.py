@@ -59,3 +59,21 @@ def staged(df: DataFrame) -> DataFrame:
     from ..session import checkpoint_root
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage_path(spark: SparkSession, name: str, sf_dir: str, keys: Sequence[str] = ()) -> str:
+    """Shared-folder path of a stage output for this application and input folder."""
+    import hashlib
+    from ..session import checkpoint_root
+    app = spark.sparkContext.applicationId
+    tag = hashlib.sha1(f"{app}:{sf_dir}:{','.join(keys)}".encode()).hexdigest()[:12]
+    return f"{checkpoint_root(spark)}/loglens/stages/{name}-{tag}"
+
+
+def features_stage(spark: SparkSession, sf_dir: str, keys: Sequence[str] = ()) -> DataFrame:
+    """The hourly feature table written once per application and input (S10), then
+    read by every model query, as the reference's feature stage is: the raw log is
+    parsed and aggregated once, the models read a table of one row per hour and key."""
+    from ..sources.files import materialize
+    keys = list(keys)
+    return materialize(spark, lambda: features(spark, sf_dir, keys), stage_path(spark, "features", sf_dir, keys))

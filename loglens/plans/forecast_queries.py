@@ -3,14 +3,11 @@ forecasters, and the leaderboard (W4-W11, J1-J3, M7-M13, P8-P11, C1-C3)."""
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import improvement_pct, quality_grade
 from ..operators import evaluate, hybrid, leaderboard, seasonal, sequence, series
-from ..session import checkpoint_root
 from ..sources import files
 from . import common
 from . import oracle_sql as O
@@ -24,7 +21,7 @@ EXOG = ["total_bytes", "prev_count"]
 
 def forecast_inputs(spark, sf, keys=()):
     """Hourly features, 80/20 split, exogenous inputs z-scored over all rows; staged."""
-    s = series.chrono_split(common.features(spark, sf, keys), ORDER, keys=keys)
+    s = series.chrono_split(common.features_stage(spark, sf, keys), ORDER, keys=keys)
     return common.staged(series.zscore_scale(s, EXOG, keys=keys))
 
 
@@ -196,7 +193,7 @@ def q_seasonal_residuals(spark, sf):
 @register("sequence_regressor")
 def q_sequence_regressor(spark, sf):
     """Six-hour, five-feature lookback regressor: test metrics and chosen ridge (M7)."""
-    f = common.features(spark, sf)
+    f = common.features_stage(spark, sf)
     models, pred = sequence.fit_sequence_regressor(f, ORDER, stage=common.staged)
     m = evaluate.regression_metrics(pred, "actual", "prediction")
     return common.rounded(m.select("*", models.select(F.col("ridge")).scalar().alias("ridge")))
@@ -231,7 +228,7 @@ def model_metrics(spark: SparkSession, sf: str) -> DataFrame:
     pred, _ = lr_predictions(spark, sf)
     lr = evaluate.regression_metrics(pred, Y, "prediction").select(
         F.lit("Linear Regression").alias("model"), "mse", "rmse", "mae", "r2", "mape")
-    f = common.features(spark, sf)
+    f = common.features_stage(spark, sf)
     _, spred = sequence.fit_sequence_regressor(f, ORDER, stage=common.staged)
     sq = evaluate.regression_metrics(spred, "actual", "prediction").select(
         F.lit("Sequence Regressor").alias("model"), "mse", "rmse", "mae", "r2", "mape")
@@ -256,9 +253,8 @@ def metrics_table(spark: SparkSession, sf: str, force: bool = False) -> DataFram
     """``model_metrics`` materialised once per input folder and application (S10): the
     leaderboard queries of one session reuse it; a new session recomputes."""
     app = spark.sparkContext.applicationId
-    tag = hashlib.sha1(f"{app}:{sf}".encode()).hexdigest()[:12]
-    path = f"{checkpoint_root(spark)}/loglens/stages/metrics-{tag}"
-    return files.materialize(spark, lambda: model_metrics(spark, sf), path, force=force)
+    return files.materialize(spark, lambda: model_metrics(spark, sf), common.stage_path(spark, "metrics", sf),
+                             force=force)
 
 
 @register("union_metrics")

@@ -60,7 +60,7 @@ FROM pred"""
 
 def lr_inputs(spark, sf, keys=()):
     """Hourly features split 80/20 with cyclical hour columns, staged once."""
-    s = series.chrono_split(common.features(spark, sf, keys), "hour_timestamp", keys=keys)
+    s = series.chrono_split(common.features_stage(spark, sf, keys), "hour_timestamp", keys=keys)
     return common.staged(s.transform(with_cyclical_hour))
 
 
