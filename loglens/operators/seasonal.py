@@ -220,7 +220,9 @@ def fit_seasonal(df: DataFrame, order: str, y: str, exog: Sequence[str], keys: S
     series_keys = df.select(*keys).distinct()
     full = (candidate_grid(series_keys, grid, m).drop("m")
             .join(cands.drop(*GRID_ORDER), on=[*keys, "cand_idx"], how="left"))
-    rank = Window.partitionBy(*keys).orderBy(F.col("aic").asc_nulls_last(),
+    # AIC rounded for ranking: fits that are equal up to float noise (e.g. a lag that
+    # duplicates an exogenous input) fall back to grid order, like a strict "<" scan
+    rank = Window.partitionBy(*keys).orderBy(F.round("aic", 6).asc_nulls_last(),
                                              (F.col("cand_idx") == default_index(grid)).desc(),
                                              F.col("cand_idx").asc())
     best = full.withColumn("_rk", F.row_number().over(rank)).filter(F.col("_rk") == 1).drop("_rk")

@@ -46,7 +46,7 @@ def hybrid_run(spark, sf, keys=()):
     n_train = data.groupBy(*keys).agg(F.max("n_train").alias("n_train"))
     if seasonal.SERIES in fit.keys:
         n_train = n_train.withColumn(seasonal.SERIES, F.lit(0))
-    models = hybrid.fit_residual_corrector(resid, n_train, ORDER, fit.keys)
+    models = common.staged(hybrid.fit_residual_corrector(resid, n_train, ORDER, fit.keys))
     horizon = fc.groupBy(*fit.keys).agg(F.count(F.lit(1)).cast("int").alias("steps"))
     corr = hybrid.recursive_forecast(models, horizon, fit.keys)
     hyb = hybrid.hybrid_forecast(fc, corr, fit.keys)
@@ -234,13 +234,17 @@ def model_metrics(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("Sequence Regressor").alias("model"), "mse", "rmse", "mae", "r2", "mape")
     _, fit, fc, _, _, joined = hybrid_run(spark, sf)
     best = seasonal.order_strings(fit.best).select("order", "seasonal_order", "aic")
-    sa = evaluate.regression_metrics(joined, Y, "seasonal_forecast")
-    sa = sa.select("*", best.select(F.struct("*")).scalar().alias("b"))
-    sarima = sa.select(F.lit("Seasonal").alias("model"), "mse", "rmse", "mae", "r2", "mape",
+    # both forecasts scored in one pass: long form (model, actual, forecast) grouped by model
+    long = joined.select(Y, F.explode(F.array(
+        F.struct(F.lit("Seasonal").alias("model"), F.col("seasonal_forecast").alias("yhat")),
+        F.struct(F.lit("Hybrid").alias("model"), F.col("hybrid_forecast").alias("yhat")))).alias("f"))
+    both = common.staged(evaluate.regression_metrics(long.select(Y, "f.model", "f.yhat"), Y, "yhat",
+                                                     keys=["model"]))
+    sa = both.filter(F.col("model") == "Seasonal").select("*", best.select(F.struct("*")).scalar().alias("b"))
+    sarima = sa.select("model", "mse", "rmse", "mae", "r2", "mape",
                        F.col("b.order").alias("order"), F.col("b.seasonal_order").alias("seasonal_order"),
                        F.col("b.aic").alias("aic"))
-    hy = evaluate.regression_metrics(joined, Y, "hybrid_forecast").select(
-        F.lit("Hybrid").alias("model"), "mse", "rmse", "mae", "r2", "mape")
+    hy = both.filter(F.col("model") == "Hybrid").select("model", "mse", "rmse", "mae", "r2", "mape")
     hy = hy.select("*", sarima.select(F.struct("*")).scalar().alias("s"))
     hy = hy.select("model", "mse", "rmse", "mae", "r2", "mape",
                    F.col("s.order").alias("sarima_order"), F.col("s.seasonal_order").alias("sarima_seasonal_order"),

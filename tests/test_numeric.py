@@ -158,3 +158,19 @@ def test_short_series_keep_default_order_with_null_aic(spark):
     assert best["aic"] is None and best["cand_idx"] == seasonal.default_index()
     fc = seasonal.seasonal_forecast(fit, "y").collect()
     assert len(fc) == 8 and all(r.seasonal_forecast is None for r in fc)
+
+
+def test_equal_fits_resolve_to_grid_order(spark):
+    """An exogenous copy of lag 1 makes p=0 and p=1 the same fit; the earlier candidate wins."""
+    rng = np.random.default_rng(5)
+    n = 600
+    y = 20 + rng.poisson(5, size=n).astype(float)
+    prev = np.r_[np.nan, y[:-1]]
+    pdf = pd.DataFrame({"ts": pd.date_range("2024-01-01", periods=n, freq="h"), "y": y, "prev": prev}).iloc[1:]
+    pdf["split"] = np.where(np.arange(len(pdf)) < int(0.8 * len(pdf)), "train", "test")
+    df = spark.createDataFrame(pdf).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    grid = {"p": (0, 1), "d": (0,), "q": (0,), "sp": (0,), "sd": (0,), "sq": (0,)}
+    fit = seasonal.fit_seasonal(df, "ts", "y", ["prev"], grid=grid)
+    aics = {r.p: r.aic for r in fit.candidates.collect()}
+    assert aics[0] == pytest.approx(aics[1], abs=1e-6)
+    assert fit.best.collect()[0]["p"] == 0
