@@ -19,7 +19,7 @@ least squares, which needs only lags, joins and aggregations:
    order is kept with NULL AIC, as the reference does).
 
 Forecasting is a recursion over the test horizon of each series; it runs in
-``applyInPandas`` over that series' rows (length bounded by its hours). In-sample
+``applyInPandas`` over that series' horizon plus the few train rows the lags reach. In-sample
 one-step residuals are a Catalyst expression over the staged design table.
 
 AIC values and forecasts approximate, but do not equal, exact state-space maximum
@@ -188,7 +188,7 @@ def fit_seasonal(df: DataFrame, order: str, y: str, exog: Sequence[str], keys: S
     for e in exog:
         sel.append((F.col(e).cast("double") - _term(dd, F.col(f"_{e}1")) - _term(DD, F.col(f"_{e}{m}"))
                     + _term(dd * DD, F.col(f"_{e}{m + 1}"))).alias(f"{e}_dx"))
-    base_cols = [*keys, order, y, split_col, "d", "sd"]
+    base_cols = [*keys, order, y, split_col, "d", "sd"] + [c for c in ("row_idx", "n_train") if c in df.columns]
     x = x.select(*base_cols, *sel)
     if stage is not None:
         x = stage(x)      # read by the stage-1 Gram and by the innovation join
@@ -288,6 +288,10 @@ def seasonal_forecast(fit: SeasonalFit, y: str, split_col: str = "split") -> Dat
     future innovations are 0. Output: keys, order, step (0-based), seasonal_forecast.
     """
     rows = _best_design(fit)
+    if "row_idx" in rows.columns and "n_train" in rows.columns:
+        # the recursion reads at most this many rows back: keep that train tail + the horizon
+        history = max(max(fit.ar_set), max(fit.ma_set), fit.m + 1) + 1
+        rows = rows.filter(F.col("row_idx") >= F.col("n_train") - history)
     schema = T.StructType([rows.schema[k] for k in fit.keys] + [rows.schema[fit.order],
                           T.StructField("step", T.LongType()), T.StructField("seasonal_forecast", T.DoubleType())])
     fn = _forecast_fn(fit.keys, fit.order, y, split_col, fit.x2, fit.ar_set, fit.ma_set, len(fit.exog), fit.m)

@@ -78,11 +78,11 @@ def q_landing_manifest(spark, sf):
 
 
 @register("archive_ingest", O.with_ctes(O.LINES, body=(
-    "SELECT strftime(ts, '%Y-%m-%d') || '.zip' AS archive, event_type || '.log' AS member, "
-    "row_number() OVER (PARTITION BY strftime(ts, '%Y-%m-%d'), event_type ORDER BY event_id) AS line_no, "
-    "value FROM lines")))
+    "SELECT strftime(ts, '%Y-%m-%d') || '-' || lpad(CAST(event_id // 100000 AS VARCHAR), 5, '0') || '.zip' "
+    "AS archive, event_type || '.log' AS member, row_number() OVER (PARTITION BY strftime(ts, '%Y-%m-%d'), "
+    "event_id // 100000, event_type ORDER BY event_id) AS line_no, value FROM lines")))
 def q_archive_ingest(spark, sf):
-    """Zip archives (one per day, a folder entry and one member per event type) -> member lines."""
+    """Zip archives (per day and id block; a folder entry and one member per event type) -> member lines."""
     root = scratch_path(spark, "archives")
     landing.write_day_archives(stand_in.log_lines(spark, sf, with_ids=True), root).collect()
     return landing.archive_ingest(spark, f"{root}/*.zip")

@@ -138,21 +138,30 @@ def _write_bytes(target: str, data: bytes) -> None:
 
 def _write_zip_fn(root: str, members_col: str):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        day = pdf["day"].iloc[0]
-        target = f"{root.rstrip('/')}/{day}.zip"
+        name = f"{pdf['day'].iloc[0]}-{int(pdf['block'].iloc[0]):05d}.zip"
+        target = f"{root.rstrip('/')}/{name}"
         pdf = pdf.sort_values("event_id")
         buf = io.BytesIO()
         with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as zf:
             zf.writestr("logs/", b"")
-            for name, g in pdf.groupby(members_col, sort=True):
-                zf.writestr(f"logs/{name}.log", ("\n".join(g["value"]) + "\n").encode("utf-8"))
+            for member, g in pdf.groupby(members_col, sort=True):
+                zf.writestr(f"logs/{member}.log", ("\n".join(g["value"]) + "\n").encode("utf-8"))
         _write_bytes(target, buf.getvalue())
-        return pd.DataFrame({"day": [day], "archive": [posixpath.basename(target)]})
+        return pd.DataFrame({"archive": [name], "n_lines": [len(pdf)]})
     return fn
 
 
-def write_day_archives(lines: DataFrame, root: str, members_col: str = "event_type") -> DataFrame:
-    """Stand-in archives: one zip per day with a ``logs/`` folder entry and one member
-    per ``members_col`` value, lines in ``event_id`` order (one day per task: test input only)."""
-    df = lines.select(F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_id", members_col, "value")
-    return df.groupBy("day").applyInPandas(_write_zip_fn(root, members_col), "day string, archive string")
+# Stand-in archives hold at most this many events each, so no task builds more than one
+# bounded archive in memory.
+ARCHIVE_BLOCK = 100_000
+
+
+def write_day_archives(lines: DataFrame, root: str, members_col: str = "event_type",
+                       block: int = ARCHIVE_BLOCK) -> DataFrame:
+    """Stand-in archives: one zip per (day, block of ``block`` event ids), each with a
+    ``logs/`` folder entry and one member per ``members_col`` value, lines in
+    ``event_id`` order. Test input only."""
+    df = lines.select(F.date_format("ts", "yyyy-MM-dd").alias("day"),
+                      F.floor(F.col("event_id") / block).alias("block"), "event_id", members_col, "value")
+    return df.groupBy("day", "block").applyInPandas(_write_zip_fn(root, members_col),
+                                                     "archive string, n_lines long")
