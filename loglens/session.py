@@ -10,7 +10,6 @@ the bench) gets a fresh directory under the system temp folder.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -75,12 +74,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the checkpoint root."""
     return f"{checkpoint_root(spark)}/loglens/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def as_local_path(path: str) -> str | None:
-    """Local filesystem path for ``file:`` or bare paths, else None."""
-    if path.startswith("file:"):
-        return path[len("file:"):].replace("///", "/", 1) if path.startswith("file:///") else path[5:]
-    if "://" in path:
-        return None
-    return os.path.abspath(path)

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from loglens.operators import hybrid, lsq, ridge, seasonal, series
+from loglens.operators import hybrid, lsq, ridge, seasonal
 
 
 def test_gram_solve_equals_lstsq(spark):

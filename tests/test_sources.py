@@ -6,7 +6,6 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import functions as F
 
 from loglens.functions.logparse import parse_access_log
 from loglens.sources import files, landing
