@@ -65,3 +65,17 @@ def test_landing_manifest_prunes_content(spark):
     r = m.collect()[0]
     assert r["name"] == "test_upload_file.txt" and r["size_bytes"] == 56
     assert "content" not in m._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
+
+
+def test_reloaded_model_scores_identically(spark):
+    from loglens.operators import linear
+    from loglens.plans import model_queries
+    from tests.conftest import SF_SMALL
+    data, model = model_queries.lr_fit(spark, SF_SMALL)
+    path = tempfile.mkdtemp(prefix="loglens-model-") + "/lr"
+    files.save_model(model, path)
+    files.save_model(model, path)                      # overwrite works
+    test = data.filter("split = 'test'")
+    a = linear.score(model, test).orderBy("hour_timestamp").collect()
+    b = linear.score(files.load_model(path), test).orderBy("hour_timestamp").collect()
+    assert a == b and len(a) > 0
