@@ -174,3 +174,15 @@ def test_equal_fits_resolve_to_grid_order(spark):
     aics = {r.p: r.aic for r in fit.candidates.collect()}
     assert aics[0] == pytest.approx(aics[1], abs=1e-6)
     assert fit.best.collect()[0]["p"] == 0
+
+
+def test_sequence_regressor_gbt_candidate(spark):
+    from loglens.operators import sequence
+    from loglens.plans import common
+    from tests.conftest import SF_SMALL
+    f = common.features(spark, SF_SMALL)
+    models, pred = sequence.fit_sequence_regressor(f, with_gbt=True)
+    m = models.collect()[0]
+    assert m["model"] in ("ridge", "gbt") and m["val_mse"] >= 0
+    rows = pred.collect()
+    assert len(rows) > 0 and all(r.prediction is not None for r in rows)
