@@ -152,11 +152,12 @@ def _solve_candidates(keys, grid, ar_set, ma_set, n_exog, m):
 
 def fit_seasonal(df: DataFrame, order: str, y: str, exog: Sequence[str], keys: Sequence[str] = (),
                  split_col: str = "split", m: int = SEASONAL_PERIOD, grid=SEASONAL_GRID,
-                 long_ar: int | None = None, stage=None) -> SeasonalFit:
+                 long_ar: int | None = None, stage=None, carry: Sequence[str] = ()) -> SeasonalFit:
     """Grid search over ``grid`` for every series of ``df`` (M8).
 
     ``df`` holds one row per series bucket with ``split`` = 'train'/'test'; only train
-    rows enter the fits. ``stage`` (optional) materialises the design table.
+    rows enter the fits. ``stage`` (optional) materialises the design table;
+    ``carry`` names extra columns to keep on it (e.g. scaler statistics).
     """
     keys = list(keys)
     if not keys:
@@ -188,7 +189,8 @@ def fit_seasonal(df: DataFrame, order: str, y: str, exog: Sequence[str], keys: S
     for e in exog:
         sel.append((F.col(e).cast("double") - _term(dd, F.col(f"_{e}1")) - _term(DD, F.col(f"_{e}{m}"))
                     + _term(dd * DD, F.col(f"_{e}{m + 1}"))).alias(f"{e}_dx"))
-    base_cols = [*keys, order, y, split_col, "d", "sd"] + [c for c in ("row_idx", "n_train") if c in df.columns]
+    base_cols = ([*keys, order, y, split_col, "d", "sd"] + [c for c in ("row_idx", "n_train") if c in df.columns]
+                 + exog + [c for c in carry if c in df.columns])
     x = x.select(*base_cols, *sel)
     if stage is not None:
         x = stage(x)      # read by the stage-1 Gram and by the innovation join
@@ -241,7 +243,9 @@ def _best_design(fit: SeasonalFit) -> DataFrame:
     return fit.design.join(b, on=[*fit.keys, "d", "sd"], how="inner")
 
 
-def _forecast_fn(keys, order, y, split_col, x2, ar_set, ma_set, n_exog, m):
+def _forecast_fn(keys, order, y, split_col, x2, ar_set, ma_set, exog, m, mode, lag_inputs):
+    n_exog = len(exog)
+
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order).reset_index(drop=True)
         test_idx = np.flatnonzero(pdf[split_col].to_numpy() == "test")
@@ -254,24 +258,40 @@ def _forecast_fn(keys, order, y, split_col, x2, ar_set, ma_set, n_exog, m):
         ww = pdf["w"].astype(float).to_numpy().copy()
         ee = pdf["e"].astype(float).fillna(0.0).to_numpy().copy()
         dx = pdf[x2[len(ar_set) + len(ma_set):]].astype(float).to_numpy()
+        xx = pdf[exog].astype(float).to_numpy().copy()          # raw (scaled) inputs
+        is_test = pdf[split_col].to_numpy() == "test"
+
+        def at(a, j):
+            return a[j] if j >= 0 and np.isfinite(a[j]) else 0.0
+
         preds = []
         for t in test_idx:
             if coef is None:
                 preds.append(None)
                 continue
             c = np.asarray(coef, float)
+            if mode == "recursive":
+                # inputs that copy a lag of the target come from the forecast itself;
+                # other future inputs are unknown and sit at their fitted mean (0)
+                for j, name in enumerate(exog):
+                    if name in lag_inputs:
+                        lag, mu_col, sd_col = lag_inputs[name]
+                        mu, sd = float(pdf[mu_col].iloc[0]), float(pdf[sd_col].iloc[0]) or 1.0
+                        xx[t, j] = (at(yy, t - lag) - mu) / sd
+                    else:
+                        xx[t, j] = 0.0
+                cur = [at(xx[:, j], t) - d * at(xx[:, j], t - 1) - D * at(xx[:, j], t - m)
+                       + d * D * at(xx[:, j], t - m - 1) for j in range(n_exog)]
+            else:
+                cur = [dx[t, j] if np.isfinite(dx[t, j]) else 0.0 for j in range(n_exog)]
             v = c[0]
             for i, s in enumerate(ar_set):
-                v += c[1 + i] * (ww[t - s] if t - s >= 0 and np.isfinite(ww[t - s]) else 0.0)
+                v += c[1 + i] * at(ww, t - s)
             for i, s in enumerate(ma_set):
-                v += c[1 + len(ar_set) + i] * (ee[t - s] if t - s >= 0 else 0.0)
+                v += c[1 + len(ar_set) + i] * (ee[t - s] if t - s >= 0 and not is_test[t - s] else 0.0)
             for j in range(n_exog):
-                xv = dx[t, j]
-                v += c[1 + len(ar_set) + len(ma_set) + j] * (xv if np.isfinite(xv) else 0.0)
-
-            def past(j):
-                return yy[t - j] if t - j >= 0 else 0.0
-            level = v + d * past(1) + D * past(m) - d * D * past(m + 1)
+                v += c[1 + len(ar_set) + len(ma_set) + j] * cur[j]
+            level = v + d * at(yy, t - 1) + D * at(yy, t - m) - d * D * at(yy, t - m - 1)
             ww[t], ee[t], yy[t] = v, 0.0, level
             preds.append(level)
         out = pdf.loc[test_idx, [*keys, order]].copy()
@@ -281,12 +301,20 @@ def _forecast_fn(keys, order, y, split_col, x2, ar_set, ma_set, n_exog, m):
     return fn
 
 
-def seasonal_forecast(fit: SeasonalFit, y: str, split_col: str = "split") -> DataFrame:
+def seasonal_forecast(fit: SeasonalFit, y: str, split_col: str = "split", exog_mode: str = "observed",
+                      lag_inputs: dict | None = None) -> DataFrame:
     """Multi-step forecast over every series' test rows with the winning candidate (M9).
 
-    Exogenous inputs over the horizon are the observed ones (reference behaviour);
-    future innovations are 0. Output: keys, order, step (0-based), seasonal_forecast.
+    ``exog_mode='observed'`` feeds the observed exogenous inputs over the horizon (the
+    reference's behaviour, which leaks test-time information). ``'recursive'`` uses no
+    test-time input: an input listed in ``lag_inputs`` as ``name -> (lag, mean_col,
+    std_col)`` is a scaled lag of the target and is filled from the forecast itself;
+    any other input is unknown and held at its fitted mean (0 on the z scale).
+    Future innovations are 0. Output: keys, order, step (0-based), seasonal_forecast.
     """
+    if exog_mode not in ("observed", "recursive"):
+        raise ValueError("exog_mode must be 'observed' or 'recursive'")
+    lag_inputs = dict(lag_inputs or {})
     rows = _best_design(fit)
     if "row_idx" in rows.columns and "n_train" in rows.columns:
         # the recursion reads at most this many rows back: keep that train tail + the horizon
@@ -294,8 +322,11 @@ def seasonal_forecast(fit: SeasonalFit, y: str, split_col: str = "split") -> Dat
         rows = rows.filter(F.col("row_idx") >= F.col("n_train") - history)
     schema = T.StructType([rows.schema[k] for k in fit.keys] + [rows.schema[fit.order],
                           T.StructField("step", T.LongType()), T.StructField("seasonal_forecast", T.DoubleType())])
-    fn = _forecast_fn(fit.keys, fit.order, y, split_col, fit.x2, fit.ar_set, fit.ma_set, len(fit.exog), fit.m)
-    need = [*fit.keys, fit.order, y, split_col, "d", "sd", "w", "e", "coef", *fit.x2[len(fit.ar_set) + len(fit.ma_set):]]
+    fn = _forecast_fn(fit.keys, fit.order, y, split_col, fit.x2, fit.ar_set, fit.ma_set, fit.exog, fit.m,
+                      exog_mode, lag_inputs)
+    extra = sorted({c for v in lag_inputs.values() for c in v[1:]})
+    need = [*fit.keys, fit.order, y, split_col, "d", "sd", "w", "e", "coef", *fit.exog, *extra,
+            *fit.x2[len(fit.ar_set) + len(fit.ma_set):]]
     return rows.select(*need).groupBy(*fit.keys).applyInPandas(fn, schema)
 
 

@@ -27,10 +27,15 @@ def forecast_inputs(spark, sf, keys=()):
 
 def seasonal_fit(spark, sf, keys=()):
     data = forecast_inputs(spark, sf, keys)
-    fit = seasonal.fit_seasonal(data, ORDER, Y, [f"{e}_z" for e in EXOG], keys=keys, stage=common.staged)
+    fit = seasonal.fit_seasonal(data, ORDER, Y, [f"{e}_z" for e in EXOG], keys=keys, stage=common.staged,
+                                carry=["prev_count__mean", "prev_count__std"])
     return data, fit
 
 
+# prev_count is the previous row's count: in recursive mode it is filled from the forecast
+LAG_INPUTS = {"prev_count_z": (1, "prev_count__mean", "prev_count__std")}
+
+
 def _actual(data: DataFrame, fit) -> DataFrame:
     a = data.filter(F.col("split") == "test")
     if seasonal.SERIES in fit.keys:
@@ -183,6 +188,16 @@ def q_seasonal_forecast(spark, sf):
     return common.rounded(seasonal.strip_series(j))
 
 
+@register("seasonal_forecast_recursive")
+def q_seasonal_forecast_recursive(spark, sf):
+    """Multi-step forecast without test-time inputs: prev_count from the forecast, total_bytes at
+    its mean (M9, exog_mode='recursive')."""
+    data, fit = seasonal_fit(spark, sf)
+    fc = seasonal.seasonal_forecast(fit, Y, exog_mode="recursive", lag_inputs=LAG_INPUTS)
+    j = evaluate.align_forecast(_actual(data, fit), fc, [*fit.keys, ORDER])
+    return common.rounded(seasonal.strip_series(j))
+
+
 @register("seasonal_residuals")
 def q_seasonal_residuals(spark, sf):
     """One-step in-sample residuals after a 24-hour burn-in."""

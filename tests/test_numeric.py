@@ -186,3 +186,30 @@ def test_sequence_regressor_gbt_candidate(spark):
     assert m["model"] in ("ridge", "gbt") and m["val_mse"] >= 0
     rows = pred.collect()
     assert len(rows) > 0 and all(r.prediction is not None for r in rows)
+
+
+def test_recursive_exog_mode_uses_no_test_inputs(spark):
+    rng = np.random.default_rng(9)
+    n = 400
+    y = 30 + 5 * np.sin(2 * np.pi * np.arange(n) / 24) + rng.normal(size=n)
+    pdf = pd.DataFrame({"ts": pd.date_range("2024-01-01", periods=n, freq="h"), "y": y})
+    pdf["prev_z"] = (np.r_[np.nan, y[:-1]] - 30) / 5
+    pdf["other"] = rng.normal(size=n)
+    pdf["y_mean"], pdf["y_std"] = 30.0, 5.0
+    pdf = pdf.iloc[1:].reset_index(drop=True)
+    pdf["split"] = np.where(np.arange(len(pdf)) < int(0.8 * len(pdf)), "train", "test")
+    grid = {"p": (1,), "d": (0,), "q": (0,), "sp": (1,), "sd": (0,), "sq": (0,)}
+    lag_inputs = {"prev_z": (1, "y_mean", "y_std")}
+
+    def run(frame, mode):
+        df = spark.createDataFrame(frame).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+        fit = seasonal.fit_seasonal(df, "ts", "y", ["prev_z", "other"], grid=grid, carry=["y_mean", "y_std"])
+        fc = seasonal.seasonal_forecast(fit, "y", exog_mode=mode, lag_inputs=lag_inputs)
+        return fc.orderBy("step").toPandas().seasonal_forecast.to_numpy()
+
+    changed = pdf.copy()
+    test = changed.split == "test"
+    changed.loc[test, "other"] = 100.0
+    changed.loc[test, "prev_z"] = -100.0
+    np.testing.assert_allclose(run(pdf, "recursive"), run(changed, "recursive"))
+    assert not np.allclose(run(pdf, "observed"), run(changed, "observed"))

@@ -53,7 +53,8 @@ def test_every_query_has_entry_or_reason():
     assert rows_only <= {"seasonal_grid_search", "seasonal_forecast", "seasonal_residuals", "sequence_regressor",
                          "residual_corrector", "recursive_forecast", "hybrid_forecast", "union_metrics",
                          "leaderboard", "metric_winners", "overall_winner", "model_grades", "improvement_pct",
-                         "seasonal_grid_search_by_type", "hybrid_forecast_by_type"}
+                         "seasonal_grid_search_by_type", "hybrid_forecast_by_type",
+                         "seasonal_forecast_recursive"}
 
 
 def test_entry_runs(spark):
