@@ -59,11 +59,12 @@ def test_archive_ingest_skips_dirs_and_uses_base_names(spark):
 
 def test_landing_manifest_prunes_content(spark):
     root = tempfile.mkdtemp(prefix="loglens-l-")
-    with open(os.path.join(root, "test_upload_file.txt"), "wb") as fh:
-        fh.write(b"Hello, this is a test file uploaded via Express to HDFS!")
+    payload = b"landing check: " + b"x" * 41             # 56 bytes
+    with open(os.path.join(root, "landed.txt"), "wb") as fh:
+        fh.write(payload)
     m = landing.landing_manifest(spark, root)
     r = m.collect()[0]
-    assert r["name"] == "test_upload_file.txt" and r["size_bytes"] == 56
+    assert r["name"] == "landed.txt" and r["size_bytes"] == len(payload) == 56
     assert "content" not in m._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
 
 
