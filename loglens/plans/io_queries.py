@@ -117,3 +117,12 @@ def q_stream_hourly_append(spark, sf):
     agg = logstream.stream_hourly_traffic(landing.landing_stream(spark, land), "1 hour")
     return logstream.drain(spark, agg, scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt"),
                            "append")
+
+
+@register("stream_hourly_by_type", O.with_ctes(*O.HOURLY_CTES[:2], O.HOURLY_KEYED, body="SELECT * FROM hourly_k"))
+def q_stream_hourly_by_type(spark, sf):
+    """Keyed streaming state: hourly windows per event type (taken from the url path)."""
+    land = stand_in.write_log_files(spark, sf, scratch_path(spark, "landing"))
+    agg = logstream.stream_hourly_traffic(landing.landing_stream(spark, land), "1 hour", keys=["event_type"])
+    return logstream.drain(spark, agg, scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt"),
+                           "complete")

@@ -30,6 +30,8 @@ def stream_hourly_traffic(stream: DataFrame, delay: str = "1 hour", width: str =
     is UTC so the cast keeps the instant. ``hour_timestamp`` is emitted back as NTZ.
     """
     parsed = drop_unparsed(stream_parse_log(stream)).withColumn("event_ts", F.col("event_time").cast("timestamp"))
+    if "event_type" in keys and "event_type" not in parsed.columns:
+        parsed = parsed.withColumn("event_type", F.regexp_extract("url", r"^/([^/]+)/", 1))
     agg = (parsed.withWatermark("event_ts", delay)
            .groupBy(*list(keys), F.window("event_ts", width).alias("time_window"))
            .agg(F.count(F.lit(1)).alias("request_count"), F.sum("bytes").alias("total_bytes")))
