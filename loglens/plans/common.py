@@ -25,10 +25,14 @@ def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_access_log(lines(spark, sf_dir))
 
 
+def with_event_type(df: DataFrame) -> DataFrame:
+    """The event type is the first url path segment of the stand-in log (``/<type>/<id>``)."""
+    return df.withColumn("event_type", F.regexp_extract("url", r"^/([^/]+)/", 1))
+
+
 def parsed_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parsed log plus the event type taken from the url path (for keyed series)."""
-    p = parsed(spark, sf_dir)
-    return p.withColumn("event_type", F.regexp_extract("url", r"^/([^/]+)/", 1))
+    """Parsed log plus the event type (for keyed series)."""
+    return with_event_type(parsed(spark, sf_dir))
 
 
 def hourly(spark: SparkSession, sf_dir: str, keys: Sequence[str] = ()) -> DataFrame:

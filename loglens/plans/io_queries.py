@@ -123,6 +123,7 @@ def q_stream_hourly_append(spark, sf):
 def q_stream_hourly_by_type(spark, sf):
     """Keyed streaming state: hourly windows per event type (taken from the url path)."""
     land = stand_in.write_log_files(spark, sf, scratch_path(spark, "landing"))
-    agg = logstream.stream_hourly_traffic(landing.landing_stream(spark, land), "1 hour", keys=["event_type"])
+    agg = logstream.stream_hourly_traffic(landing.landing_stream(spark, land), "1 hour", keys=["event_type"],
+                                          enrich=common.with_event_type)
     return logstream.drain(spark, agg, scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt"),
                            "complete")

@@ -23,15 +23,18 @@ def stream_parse_log(stream: DataFrame) -> DataFrame:
 
 
 def stream_hourly_traffic(stream: DataFrame, delay: str = "1 hour", width: str = "1 hour",
-                          keys: Sequence[str] = ()) -> DataFrame:
+                          keys: Sequence[str] = (),
+                          enrich: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Tumbling windows over a parsed stream with a watermark of ``delay``.
 
-    ``withWatermark`` needs a TIMESTAMP (not TIMESTAMP_NTZ) column; the session zone
-    is UTC so the cast keeps the instant. ``hour_timestamp`` is emitted back as NTZ.
+    ``enrich`` (optional) adds key columns to the parsed rows. ``withWatermark`` needs
+    a TIMESTAMP (not TIMESTAMP_NTZ) column; the session zone is UTC so the cast keeps
+    the instant. ``hour_timestamp`` is emitted back as NTZ.
     """
-    parsed = drop_unparsed(stream_parse_log(stream)).withColumn("event_ts", F.col("event_time").cast("timestamp"))
-    if "event_type" in keys and "event_type" not in parsed.columns:
-        parsed = parsed.withColumn("event_type", F.regexp_extract("url", r"^/([^/]+)/", 1))
+    parsed = drop_unparsed(stream_parse_log(stream))
+    if enrich is not None:
+        parsed = enrich(parsed)
+    parsed = parsed.withColumn("event_ts", F.col("event_time").cast("timestamp"))
     agg = (parsed.withWatermark("event_ts", delay)
            .groupBy(*list(keys), F.window("event_ts", width).alias("time_window"))
            .agg(F.count(F.lit(1)).alias("request_count"), F.sum("bytes").alias("total_bytes")))
