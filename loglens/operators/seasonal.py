@@ -18,8 +18,9 @@ least squares, which needs only lags, joins and aggregations:
 4. The lowest AIC wins per series (ties: grid order; if every fit fails the default
    order is kept with NULL AIC, as the reference does).
 
-Forecasting is a recursion over the test horizon of each series; it runs in
-``applyInPandas`` over that series' horizon plus the few train rows the lags reach. In-sample
+Forecasting is a recursion over the test horizon of each series: a JVM-side fold
+(``aggregate``) over one row per series holding its horizon plus the few train rows
+the lags reach. In-sample
 one-step residuals are a Catalyst expression over the staged design table.
 
 AIC values and forecasts approximate, but do not equal, exact state-space maximum
@@ -243,62 +244,9 @@ def _best_design(fit: SeasonalFit) -> DataFrame:
     return fit.design.join(b, on=[*fit.keys, "d", "sd"], how="inner")
 
 
-def _forecast_fn(keys, order, y, split_col, x2, ar_set, ma_set, exog, m, mode, lag_inputs):
-    n_exog = len(exog)
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order).reset_index(drop=True)
-        test_idx = np.flatnonzero(pdf[split_col].to_numpy() == "test")
-        cols = [*keys, order, "step", "seasonal_forecast"]
-        if len(test_idx) == 0:
-            return pd.DataFrame(columns=cols)
-        coef = pdf["coef"].iloc[0]
-        d, D = int(pdf["d"].iloc[0]), int(pdf["sd"].iloc[0])
-        yy = pdf[y].astype(float).to_numpy().copy()
-        ww = pdf["w"].astype(float).to_numpy().copy()
-        ee = pdf["e"].astype(float).fillna(0.0).to_numpy().copy()
-        dx = pdf[x2[len(ar_set) + len(ma_set):]].astype(float).to_numpy()
-        xx = pdf[exog].astype(float).to_numpy().copy()          # raw (scaled) inputs
-        is_test = pdf[split_col].to_numpy() == "test"
-
-        def at(a, j):
-            return a[j] if j >= 0 and np.isfinite(a[j]) else 0.0
-
-        preds = []
-        for t in test_idx:
-            if coef is None:
-                preds.append(None)
-                continue
-            c = np.asarray(coef, float)
-            if mode == "recursive":
-                # inputs that copy a lag of the target come from the forecast itself;
-                # other future inputs are unknown and sit at their fitted mean (0)
-                for j, name in enumerate(exog):
-                    if name in lag_inputs:
-                        lag, mu_col, sd_col = lag_inputs[name]
-                        mu, sd = float(pdf[mu_col].iloc[0]), float(pdf[sd_col].iloc[0]) or 1.0
-                        xx[t, j] = (at(yy, t - lag) - mu) / sd
-                    else:
-                        xx[t, j] = 0.0
-                cur = [at(xx[:, j], t) - d * at(xx[:, j], t - 1) - D * at(xx[:, j], t - m)
-                       + d * D * at(xx[:, j], t - m - 1) for j in range(n_exog)]
-            else:
-                cur = [dx[t, j] if np.isfinite(dx[t, j]) else 0.0 for j in range(n_exog)]
-            v = c[0]
-            for i, s in enumerate(ar_set):
-                v += c[1 + i] * at(ww, t - s)
-            for i, s in enumerate(ma_set):
-                v += c[1 + len(ar_set) + i] * (ee[t - s] if t - s >= 0 and not is_test[t - s] else 0.0)
-            for j in range(n_exog):
-                v += c[1 + len(ar_set) + len(ma_set) + j] * cur[j]
-            level = v + d * at(yy, t - 1) + D * at(yy, t - m) - d * D * at(yy, t - m - 1)
-            ww[t], ee[t], yy[t] = v, 0.0, level
-            preds.append(level)
-        out = pdf.loc[test_idx, [*keys, order]].copy()
-        out["step"] = np.arange(len(test_idx), dtype=np.int64)
-        out["seasonal_forecast"] = pd.Series(preds, index=out.index, dtype="float64")
-        return out[cols]
-    return fn
+def _get(arr, idx1):
+    """1-based element, 0.0 when before the start or NULL (history shorter than a lag)."""
+    return F.when(idx1 >= 1, F.coalesce(F.element_at(arr, idx1), F.lit(0.0))).otherwise(F.lit(0.0))
 
 
 def seasonal_forecast(fit: SeasonalFit, y: str, split_col: str = "split", exog_mode: str = "observed",
@@ -311,23 +259,84 @@ def seasonal_forecast(fit: SeasonalFit, y: str, split_col: str = "split", exog_m
     std_col)`` is a scaled lag of the target and is filled from the forecast itself;
     any other input is unknown and held at its fitted mean (0 on the z scale).
     Future innovations are 0. Output: keys, order, step (0-based), seasonal_forecast.
+
+    The recursion is a fold (``aggregate``) over the series' ordered test rows,
+    evaluated in the JVM. Each series contributes one row holding the lag history
+    (at most ~m + 2 train rows when ``row_idx``/``n_train`` are present) and its
+    test horizon.
     """
     if exog_mode not in ("observed", "recursive"):
         raise ValueError("exog_mode must be 'observed' or 'recursive'")
     lag_inputs = dict(lag_inputs or {})
+    keys, order, m = fit.keys, fit.order, fit.m
+    A, M = fit.ar_set, fit.ma_set
+    exog = fit.exog
+    dxc = fit.x2[len(A) + len(M):]
     rows = _best_design(fit)
     if "row_idx" in rows.columns and "n_train" in rows.columns:
-        # the recursion reads at most this many rows back: keep that train tail + the horizon
-        history = max(max(fit.ar_set), max(fit.ma_set), fit.m + 1) + 1
+        history = max(max(A), max(M), m + 1) + 1
         rows = rows.filter(F.col("row_idx") >= F.col("n_train") - history)
-    schema = T.StructType([rows.schema[k] for k in fit.keys] + [rows.schema[fit.order],
-                          T.StructField("step", T.LongType()), T.StructField("seasonal_forecast", T.DoubleType())])
-    fn = _forecast_fn(fit.keys, fit.order, y, split_col, fit.x2, fit.ar_set, fit.ma_set, fit.exog, fit.m,
-                      exog_mode, lag_inputs)
-    extra = sorted({c for v in lag_inputs.values() for c in v[1:]})
-    need = [*fit.keys, fit.order, y, split_col, "d", "sd", "w", "e", "coef", *fit.exog, *extra,
-            *fit.x2[len(fit.ar_set) + len(fit.ma_set):]]
-    return rows.select(*need).groupBy(*fit.keys).applyInPandas(fn, schema)
+    stats = sorted({c for v in lag_inputs.values() for c in v[1:]})
+    rec = F.struct(F.col(order).alias("t"), (F.col(split_col) == "test").alias("is_test"),
+                   F.col(y).cast("double").alias("y"), F.col("w").alias("w"), F.col("e").alias("e"),
+                   *[F.col(c).cast("double").alias(f"x{j}") for j, c in enumerate(exog)],
+                   *[F.col(c).alias(f"dx{j}") for j, c in enumerate(dxc)])
+    g = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(rec)).alias("r"), F.first("coef").alias("coef"),
+                                F.first("d").cast("double").alias("_dif"),
+                                F.first("sd").cast("double").alias("_sdif"),
+                                *[F.first(c).alias(c) for c in stats])
+    hist = F.filter("r", lambda x: ~x["is_test"])
+    test = F.filter("r", lambda x: x["is_test"])
+    coef, dd, DD = F.col("coef"), F.col("_dif"), F.col("_sdif")
+
+    def c(i):
+        return F.element_at(coef, i + 1)
+
+    def field(name):
+        return lambda x: F.coalesce(x[name], F.lit(0.0))
+
+    init = F.struct(F.transform(hist, field("y")).alias("y"), F.transform(hist, field("w")).alias("w"),
+                    F.transform(hist, field("e")).alias("e"),
+                    *[F.transform(hist, field(f"x{j}")).alias(f"x{j}") for j in range(len(exog))],
+                    F.array().cast("array<double>").alias("p"))
+
+    def step(acc, x):
+        n = F.size(acc["y"])                                   # 0-based position of the new row
+        cur_x, cur_dx = [], []
+        for j, name in enumerate(exog):
+            if exog_mode == "recursive":
+                if name in lag_inputs:
+                    lag, mu, sd = lag_inputs[name]
+                    sdv = F.when(F.col(sd) == 0, F.lit(1.0)).otherwise(F.col(sd))
+                    xv = (_get(acc["y"], n - lag + 1) - F.col(mu)) / sdv
+                else:
+                    xv = F.lit(0.0)
+                hx = acc[f"x{j}"]
+                dxv = xv - dd * _get(hx, n) - DD * _get(hx, n - m + 1) + dd * DD * _get(hx, n - m)
+            else:
+                xv = F.coalesce(x[f"x{j}"], F.lit(0.0))
+                dxv = F.coalesce(x[f"dx{j}"], F.lit(0.0))
+            cur_x.append(xv)
+            cur_dx.append(dxv)
+        v = c(0)
+        for i, s_ in enumerate(A):
+            v = v + c(1 + i) * _get(acc["w"], n - s_ + 1)
+        for i, s_ in enumerate(M):
+            v = v + c(1 + len(A) + i) * _get(acc["e"], n - s_ + 1)
+        for j in range(len(exog)):
+            v = v + c(1 + len(A) + len(M) + j) * cur_dx[j]
+        level = v + dd * _get(acc["y"], n) + DD * _get(acc["y"], n - m + 1) - dd * DD * _get(acc["y"], n - m)
+        return F.struct(F.concat(acc["y"], F.array(level)).alias("y"), F.concat(acc["w"], F.array(v)).alias("w"),
+                        F.concat(acc["e"], F.array(F.lit(0.0))).alias("e"),
+                        *[F.concat(acc[f"x{j}"], F.array(cur_x[j])).alias(f"x{j}") for j in range(len(exog))],
+                        F.concat(acc["p"], F.array(level)).alias("p"))
+
+    preds = F.when(coef.isNull(), F.array_repeat(F.lit(None).cast("double"), F.size(test))).otherwise(
+        F.aggregate(test, init, step, lambda acc: acc["p"]))
+    out = g.select(*keys, F.posexplode(F.arrays_zip(F.transform(test, lambda x: x["t"]).alias("t"),
+                                                    preds.alias("f"))).alias("step", "z"))
+    return out.select(*keys, F.col("z.t").alias(order), F.col("step").cast("bigint").alias("step"),
+                      F.col("z.f").alias("seasonal_forecast"))
 
 
 def seasonal_residuals(fit: SeasonalFit, burn_in: int = SEASONAL_PERIOD, split_col: str = "split") -> DataFrame:

@@ -213,3 +213,35 @@ def test_recursive_exog_mode_uses_no_test_inputs(spark):
     changed.loc[test, "prev_z"] = -100.0
     np.testing.assert_allclose(run(pdf, "recursive"), run(changed, "recursive"))
     assert not np.allclose(run(pdf, "observed"), run(changed, "observed"))
+
+
+@pytest.mark.parametrize("mode", ["observed", "recursive"])
+def test_spark_fold_equals_python_recursion(spark, mode):
+    from loglens.plans import forecast_queries as FQ
+    from tests.conftest import SF_MID
+    from tests.fold_check import forecast_pdf
+    _, fit = FQ.seasonal_fit(spark, SF_MID)
+    got = seasonal.seasonal_forecast(fit, "request_count", exog_mode=mode, lag_inputs=FQ.LAG_INPUTS)
+    got = got.orderBy("step").toPandas().seasonal_forecast.to_numpy()
+    rows = seasonal._best_design(fit).toPandas()
+    ref = forecast_pdf(rows, "hour_timestamp", "request_count", fit.x2, fit.ar_set, fit.ma_set, fit.exog, fit.m,
+                       mode, FQ.LAG_INPUTS)
+    assert len(got) == len(ref) > 0
+    np.testing.assert_allclose(got, ref, rtol=1e-9, atol=1e-9)
+
+
+def test_spark_fold_with_seasonal_terms(spark):
+    """A candidate with AR, MA and seasonal differencing terms, against the python loop."""
+    from tests.fold_check import forecast_pdf
+    rng = np.random.default_rng(21)
+    n = 500
+    y = 50 + 8 * np.sin(2 * np.pi * np.arange(n) / 24) + rng.normal(size=n).cumsum() * 0.3
+    pdf = pd.DataFrame({"ts": pd.date_range("2024-01-01", periods=n, freq="h"), "y": y, "x": rng.normal(size=n)})
+    pdf["split"] = np.where(np.arange(n) < 400, "train", "test")
+    df = spark.createDataFrame(pdf).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    grid = {"p": (2,), "d": (1,), "q": (1,), "sp": (1,), "sd": (1,), "sq": (1,)}
+    fit = seasonal.fit_seasonal(df, "ts", "y", ["x"], grid=grid)
+    got = seasonal.seasonal_forecast(fit, "y").orderBy("step").toPandas().seasonal_forecast.to_numpy()
+    ref = forecast_pdf(seasonal._best_design(fit).toPandas(), "ts", "y", fit.x2, fit.ar_set, fit.ma_set,
+                       fit.exog, fit.m)
+    np.testing.assert_allclose(got, ref, rtol=1e-9, atol=1e-9)
