@@ -71,3 +71,26 @@ def test_fill_gaps_adds_zero_hours(spark):
     assert spans.filter("n != hours").count() == 0
     assert filled.agg(F.sum("request_count")).first()[0] == plain.agg(F.sum("request_count")).first()[0]
     assert filled.count() > plain.count()
+
+
+def test_keyed_seasonal_fit_equals_global_on_one_key(spark):
+    from loglens.operators import seasonal
+    p = common.parsed_typed(spark, SF_MID)
+    f = series.lag_features(traffic.windowed_traffic(traffic.drop_unparsed(p), keys=["event_type"]),
+                            keys=["event_type"])
+    keyed_in = series.zscore_scale(series.chrono_split(f, "hour_timestamp", keys=["event_type"]),
+                                   ["total_bytes", "prev_count"], keys=["event_type"])
+    one = f.filter("event_type = 'view'").drop("event_type")
+    global_in = series.zscore_scale(series.chrono_split(one, "hour_timestamp"), ["total_bytes", "prev_count"])
+    grid = {"p": (0, 1), "d": (0, 1), "q": (0, 1), "sp": (0,), "sd": (0, 1), "sq": (0,)}
+    ex = ["total_bytes_z", "prev_count_z"]
+    k = seasonal.fit_seasonal(keyed_in, "hour_timestamp", "request_count", ex, keys=["event_type"], grid=grid)
+    g = seasonal.fit_seasonal(global_in, "hour_timestamp", "request_count", ex, grid=grid)
+    ka = {r.cand_idx: r.aic for r in k.candidates.filter("event_type = 'view'").collect()}
+    ga = {r.cand_idx: r.aic for r in g.candidates.collect()}
+    assert ka.keys() == ga.keys()
+    for c in ka:
+        assert (ka[c] is None and ga[c] is None) or ka[c] == pytest.approx(ga[c], rel=1e-9)
+    kf = seasonal.seasonal_forecast(k, "request_count").filter("event_type = 'view'").orderBy("step").collect()
+    gf = seasonal.seasonal_forecast(g, "request_count").orderBy("step").collect()
+    assert [round(r.seasonal_forecast, 6) for r in kf] == [round(r.seasonal_forecast, 6) for r in gf]
