@@ -57,12 +57,15 @@ def rounded(df: DataFrame, digits: int = ROUND) -> DataFrame:
 def staged(df: DataFrame) -> DataFrame:
     """Materialise a small intermediate table reused by several jobs and cut its lineage.
 
-    Reliable ``checkpoint`` into the checkpoint folder (never executor-local), so a
-    lost executor does not force recomputation from the raw scan.
+    Written as Parquet into a fresh folder under the shared checkpoint folder (never
+    executor-local) and read back: one job, and a lost executor later re-reads the
+    table instead of recomputing from the raw scan. (``Dataset.checkpoint`` would run
+    the lineage twice: once for its count, once for the checkpoint write.)
     """
-    from ..session import checkpoint_root
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    from ..session import scratch_path
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def stage_path(spark: SparkSession, name: str, sf_dir: str, keys: Sequence[str] = ()) -> str:
