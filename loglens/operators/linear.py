@@ -10,12 +10,17 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.files import inline_rows
+from . import lsq
 
 FEATURES = ("prev_count", "hour_sin", "hour_cos")
 LABEL = "request_count"
@@ -64,3 +69,36 @@ def live_rows(spark: SparkSession, hours=LIVE_HOURS) -> DataFrame:
 def predict_live(spark: SparkSession, model: PipelineModel, hours=LIVE_HOURS) -> DataFrame:
     """Score the live rows (M4)."""
     return model.transform(live_rows(spark, hours)).select("prev_count", "hour_sin", "hour_cos", "prediction")
+
+
+def fit_linreg_by_key(train: DataFrame, keys: Sequence[str], features: Sequence[str] = FEATURES,
+                      label: str = LABEL) -> DataFrame:
+    """OLS with intercept for every series at once (the keyed form of M2).
+
+    ``LinearRegression`` fits one model over all rows; per series we solve the same
+    normal equations from per-key Gram statistics (one aggregation, partial merge).
+    Returns keys, ``n_train``, ``coef`` = [intercept, *features].
+    """
+    keys = list(keys)
+    g = lsq.gram_stats(train, keys, features, label)
+    k = 1 + len(features)
+
+    def solve(it):
+        for pdf in it:
+            out = []
+            for _, r in pdf.iterrows():
+                beta, _ = lsq.solve(lsq.unpack(r["all_xtx"], k), np.asarray(r["all_xty"], float), range(k))
+                out.append([r[c] for c in keys] + [int(r["all_n"]), None if beta is None else beta.tolist()])
+            yield pd.DataFrame(out, columns=[*keys, "n_train", "coef"])
+
+    schema = T.StructType([g.schema[c] for c in keys] + [T.StructField("n_train", T.LongType()),
+                                                         T.StructField("coef", T.ArrayType(T.DoubleType()))])
+    return g.mapInPandas(solve, schema)
+
+
+def score_by_key(models: DataFrame, df: DataFrame, keys: Sequence[str], features: Sequence[str] = FEATURES,
+                 keep: Sequence[str] = ("hour_timestamp", "prev_count", "request_count")) -> DataFrame:
+    """Per-series predictions: equi-join on the keys, dot product as a Catalyst expression."""
+    keys = list(keys)
+    j = df.join(models.select(*keys, "coef"), on=keys, how="inner")
+    return j.select(*keys, *keep, lsq.dot(list(features), F.col("coef")).alias("prediction"))

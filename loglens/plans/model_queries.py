@@ -156,3 +156,59 @@ def q_forecast_sample(spark, sf):
     """First ten test hours: actual, prediction, difference."""
     pred, _ = lr_predictions(spark, sf)
     return common.rounded(evaluate.forecast_sample(pred, "hour_timestamp", "request_count", [], "prediction"))
+
+
+# Per-series OLS oracle: the same centred sums and Cramer's rule, grouped by event type.
+_BY_TYPE = """split_k AS (
+  SELECT *, CASE WHEN row_idx < n_train THEN 'train' ELSE 'test' END AS split FROM (
+    SELECT *, CAST(floor(0.8 * n_rows) AS BIGINT) AS n_train FROM (
+      SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY hour_timestamp) - 1 AS row_idx,
+             count(*) OVER (PARTITION BY event_type) AS n_rows
+      FROM features_k) a) b),
+cyc_k AS (
+  SELECT *, sin(2 * pi() * hour(hour_timestamp) / 24.0) AS hour_sin,
+            cos(2 * pi() * hour(hour_timestamp) / 24.0) AS hour_cos FROM split_k),
+mu_k AS (
+  SELECT event_type, avg(prev_count) AS m1, avg(hour_sin) AS m2, avg(hour_cos) AS m3, avg(request_count) AS my
+  FROM cyc_k WHERE split = 'train' GROUP BY event_type),
+cs_k AS (
+  SELECT c.event_type, m1, m2, m3, my,
+    sum((prev_count - m1) * (prev_count - m1)) AS s11, sum((prev_count - m1) * (hour_sin - m2)) AS s12,
+    sum((prev_count - m1) * (hour_cos - m3)) AS s13, sum((hour_sin - m2) * (hour_sin - m2)) AS s22,
+    sum((hour_sin - m2) * (hour_cos - m3)) AS s23, sum((hour_cos - m3) * (hour_cos - m3)) AS s33,
+    sum((prev_count - m1) * (request_count - my)) AS t1, sum((hour_sin - m2) * (request_count - my)) AS t2,
+    sum((hour_cos - m3) * (request_count - my)) AS t3
+  FROM cyc_k c JOIN mu_k u ON c.event_type = u.event_type WHERE split = 'train'
+  GROUP BY c.event_type, m1, m2, m3, my),
+det_k AS (
+  SELECT *, s11 * (s22 * s33 - s23 * s23) - s12 * (s12 * s33 - s23 * s13) + s13 * (s12 * s23 - s22 * s13) AS dd
+  FROM cs_k),
+coef0_k AS (
+  SELECT event_type, m1, m2, m3, my,
+    (t1 * (s22 * s33 - s23 * s23) - s12 * (t2 * s33 - s23 * t3) + s13 * (t2 * s23 - s22 * t3)) / dd AS b1,
+    (s11 * (t2 * s33 - s23 * t3) - t1 * (s12 * s33 - s23 * s13) + s13 * (s12 * t3 - t2 * s13)) / dd AS b2,
+    (s11 * (s22 * t3 - t2 * s23) - s12 * (s12 * t3 - t2 * s13) + t1 * (s12 * s23 - s22 * s13)) / dd AS b3
+  FROM det_k),
+coef_k AS (SELECT event_type, b1, b2, b3, my - b1 * m1 - b2 * m2 - b3 * m3 AS b0 FROM coef0_k),
+pred_k AS (
+  SELECT c.event_type, hour_timestamp, request_count,
+         b0 + b1 * prev_count + b2 * hour_sin + b3 * hour_cos AS prediction
+  FROM cyc_k c JOIN coef_k k ON c.event_type = k.event_type WHERE split = 'test')"""
+
+
+@register("linreg_by_type", O.with_ctes(*O.HOURLY_CTES[:2], O.HOURLY_KEYED, O.FEATURES_KEYED, _BY_TYPE, body=(
+    "SELECT event_type, count(*) AS n, "
+    "round(avg((request_count - prediction) * (request_count - prediction)), 6) AS mse, "
+    "round(sqrt(avg((request_count - prediction) * (request_count - prediction))), 6) AS rmse, "
+    "round(avg(abs(request_count - prediction)), 6) AS mae, "
+    "round(1 - sum((request_count - prediction) * (request_count - prediction)) "
+    "/ (count(*) * var_pop(request_count)), 6) AS r2, "
+    "round(coalesce(avg(CASE WHEN request_count <> 0 THEN abs(request_count - prediction) / request_count END) "
+    "* 100, 'NaN'::DOUBLE), 6) AS mape FROM pred_k GROUP BY event_type")))
+def q_linreg_by_type(spark, sf):
+    """The linear model fitted and scored per event-type series from Gram statistics (M2, M3, M5 keyed)."""
+    keys = ["event_type"]
+    data = lr_inputs(spark, sf, keys)
+    models = linear.fit_linreg_by_key(data.filter(F.col("split") == "train"), keys)
+    pred = linear.score_by_key(models, data.filter(F.col("split") == "test"), keys)
+    return common.rounded(evaluate.regression_metrics(pred, "request_count", "prediction", keys=keys))
