@@ -74,3 +74,41 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the checkpoint root."""
     return f"{checkpoint_root(spark)}/loglens/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``loglens`` importable in Python workers (``mapInPandas`` solvers, archive
+    reader) when it is not installed on them: zip the package once per application
+    into the shared checkpoint folder and register it with ``addPyFile``."""
+    import io
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, names in os.walk(pkg):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    target = f"{scratch_path(spark, 'pkg')}/loglens.zip"
+    if "://" in target and not target.startswith("file:"):
+        jvm = sc._jvm
+        path = jvm.org.apache.hadoop.fs.Path(target)
+        out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+        out.write(bytearray(buf.getvalue()))
+        out.close()
+    else:
+        local = target[5:] if target.startswith("file:") else target
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        with open(local, "wb") as fh:
+            fh.write(buf.getvalue())
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
