@@ -37,9 +37,10 @@ def fit_residual_corrector(resid: DataFrame, n_train: DataFrame, order: str, key
     keys = list(keys)
     sc = standard_scale_clip(resid, value, CLIP_BOUND, keys)
     s = f"{value}_sc"
+    lookback = n_train.select(*keys, adaptive_lookback(F.col("n_train"), MAX_LOOKBACK, MIN_LOOKBACK)
+                              .alias("lookback"))
     lagged, xcols = lag_columns(sc, order, [s], MAX_LOOKBACK, keys)   # [s_l6 .. s_l1]
-    lagged = lagged.join(n_train.select(*keys, adaptive_lookback(F.col("n_train"), MAX_LOOKBACK, MIN_LOOKBACK)
-                                        .alias("lookback")), on=keys, how="inner")
+    lagged = lagged.join(lookback, on=keys, how="inner")
     complete = F.lit(True)
     for c in xcols:
         complete = complete & F.col(c).isNotNull()
@@ -58,9 +59,7 @@ def fit_residual_corrector(resid: DataFrame, n_train: DataFrame, order: str, key
                                   F.first(f"{value}__std").alias("resid_std"),
                                   F.sort_array(F.collect_list(F.struct(F.col(order), F.col(s)))).alias("_tail")))
     tail = tail.select(*keys, "resid_mean", "resid_std", F.transform("_tail", lambda x: x[s]).alias("window"))
-    return tail.join(models.drop("lookback"), on=keys, how="left").join(
-        n_train.select(*keys, adaptive_lookback(F.col("n_train"), MAX_LOOKBACK, MIN_LOOKBACK).alias("lookback")),
-        on=keys, how="inner")
+    return tail.join(models.drop("lookback"), on=keys, how="left").join(lookback, on=keys, how="inner")
 
 
 def recursive_forecast(models: DataFrame, horizon: DataFrame, keys: Sequence[str],
