@@ -126,3 +126,40 @@ def dot(cols: Sequence[Column | str], coef: Column, intercept: bool = True) -> C
     for t in terms[1:]:
         out = out + t
     return out
+
+
+def solve_enet(xtx: np.ndarray, xty: np.ndarray, cols: Sequence[int], lam: float, l1_ratio: float,
+               max_iter: int = 1000, tol: float = 1e-10) -> np.ndarray | None:
+    """Elastic net with an unpenalised intercept (column 0) from Gram statistics.
+
+    Minimises ``1/(2n) |y - b0 - X b|^2 + lam * (l1_ratio |b|_1 + (1 - l1_ratio)/2 |b|^2)``
+    by coordinate descent on the centred covariance ``S = X'X/n - xbar xbar'`` and
+    ``c = X'y/n - xbar ybar`` (no pass over rows). ``l1_ratio = 0`` is ridge.
+    Returns the full-length coefficient vector or None.
+    """
+    cols = [c for c in cols if c != 0]
+    n = xtx[0, 0]
+    if n <= 0:
+        return None
+    xbar = xtx[0, cols] / n
+    ybar = xty[0] / n
+    S = xtx[np.ix_(cols, cols)] / n - np.outer(xbar, xbar)
+    c = xty[cols] / n - xbar * ybar
+    a1, a2 = lam * l1_ratio, lam * (1.0 - l1_ratio)
+    b = np.zeros(len(cols))
+    diag = np.diag(S) + a2
+    if np.any(diag <= 0):
+        return None
+    for _ in range(max_iter):
+        delta = 0.0
+        for j in range(len(cols)):
+            r = c[j] - S[j] @ b + S[j, j] * b[j]
+            new = np.sign(r) * max(abs(r) - a1, 0.0) / diag[j]
+            delta = max(delta, abs(new - b[j]))
+            b[j] = new
+        if delta < tol:
+            break
+    beta = np.zeros(xtx.shape[0])
+    beta[cols] = b
+    beta[0] = ybar - xbar @ b
+    return beta if np.all(np.isfinite(beta)) else None

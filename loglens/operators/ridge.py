@@ -1,9 +1,10 @@
-"""Ridge regression per series with a validation tail, from one Gram aggregation.
+"""Penalised regression per series with a validation tail, from one Gram aggregation.
 
-Fit and validation statistics are two masked sums in the same pass. For every
-candidate strength the fit-part solve is scored on the validation Gram; the
-winner (lowest validation MSE, ties to the earlier candidate) is refitted on
-fit + validation statistics. No row is read twice.
+Fit and validation statistics are two masked sums in the same pass. Candidates are
+(strength, L1 ratio) pairs: ridge (L1 ratio 0, closed form) and elastic net / lasso
+(coordinate descent on the Gram). Each fit-part solve is scored on the validation
+Gram; the winner (lowest validation MSE, ties to the earlier candidate) is refitted
+on fit + validation statistics. No row is read twice.
 """
 
 from __future__ import annotations
@@ -17,11 +18,19 @@ from pyspark.sql import types as T
 
 from . import lsq
 
-# Candidate ridge strengths (a multiple of the fit row count is added to the diagonal).
+# Candidate penalty strengths (per-row scale) and L1 ratios (0 = ridge, 1 = lasso).
 RIDGE_GRID = (0.0, 1e-4, 1e-3, 1e-2, 1e-1, 1.0)
+L1_RATIOS = (0.0, 0.5, 1.0)
 
 
-def _solver(keys: list[str], k: int, ridges: Sequence[float], lookback_col: str | None, n_lags: int):
+def _fit(xtx, xty, n, cols, lam, l1):
+    if l1 == 0.0 or lam == 0.0:
+        return lsq.solve(xtx, xty, cols, ridge=lam * max(n, 1))[0]
+    return lsq.solve_enet(xtx, xty, cols, lam, l1)
+
+
+def _solver(keys: list[str], k: int, ridges: Sequence[float], lookback_col: str | None, n_lags: int,
+            l1_ratios: Sequence[float] = (0.0,)):
     def fn(it):
         for pdf in it:
             out = []
@@ -36,34 +45,39 @@ def _solver(keys: list[str], k: int, ridges: Sequence[float], lookback_col: str
                 vx, vy, vyy, vn = lsq.unpack(r["val_xtx"], k), np.asarray(r["val_xty"], float), \
                     float(r["val_yty"]), int(r["val_n"])
                 best = None
-                for lam in ridges:
-                    beta, _ = lsq.solve(fx, fy, cols, ridge=lam * max(fn_, 1))
-                    if beta is None or vn == 0:
-                        continue
-                    mse = lsq.sse(beta, vx, vy, vyy) / vn
-                    if best is None or mse < best[1]:
-                        best = (lam, mse)
+                for l1 in l1_ratios:
+                    for lam in ridges:
+                        if lam == 0.0 and l1 != l1_ratios[0]:
+                            continue                      # unpenalised fit already tried
+                        beta = _fit(fx, fy, fn_, cols, lam, l1)
+                        if beta is None or vn == 0:
+                            continue
+                        mse = lsq.sse(beta, vx, vy, vyy) / vn
+                        if best is None or mse < best[2]:
+                            best = (lam, l1, mse)
                 coef = None
                 if best is not None:
-                    beta, _ = lsq.solve(fx + vx, fy + vy, cols, ridge=best[0] * (fn_ + vn))
+                    beta = _fit(fx + vx, fy + vy, fn_ + vn, cols, best[0], best[1])
                     coef = None if beta is None else beta.tolist()
                 out.append([r[c] for c in keys] + [None if best is None else best[0],
-                                                   None if best is None else best[1], fn_, vn, coef])
-            yield pd.DataFrame(out, columns=[*keys, "ridge", "val_mse", "n_fit", "n_val", "coef"])
+                                                   None if best is None else best[1],
+                                                   None if best is None else best[2], fn_, vn, coef])
+            yield pd.DataFrame(out, columns=[*keys, "ridge", "l1_ratio", "val_mse", "n_fit", "n_val", "coef"])
     return fn
 
 
 def fit_ridge_validated(df: DataFrame, keys: Sequence[str], x_cols: Sequence[str], y_col: str,
                         fit_mask: Column, val_mask: Column, ridges: Sequence[float] = RIDGE_GRID,
-                        lookback_col: str | None = None) -> DataFrame:
-    """Per series: chosen ridge, its validation MSE, row counts and coefficients
-    ``[intercept, *x_cols]`` (zeros for lags beyond a per-series ``lookback_col``)."""
+                        lookback_col: str | None = None, l1_ratios: Sequence[float] = (0.0,)) -> DataFrame:
+    """Per series: chosen strength ``ridge`` and ``l1_ratio``, validation MSE, row counts
+    and coefficients ``[intercept, *x_cols]`` (zeros for lags beyond ``lookback_col``)."""
     keys = list(keys)
     group = keys + ([lookback_col] if lookback_col else [])
     g = lsq.gram_stats(df, group, x_cols, y_col, masks={"fit": fit_mask, "val": val_mask})
     k = 1 + len(x_cols)
     schema = T.StructType([g.schema[c] for c in group] + [
-        T.StructField("ridge", T.DoubleType()), T.StructField("val_mse", T.DoubleType()),
+        T.StructField("ridge", T.DoubleType()), T.StructField("l1_ratio", T.DoubleType()),
+        T.StructField("val_mse", T.DoubleType()),
         T.StructField("n_fit", T.LongType()), T.StructField("n_val", T.LongType()),
         T.StructField("coef", T.ArrayType(T.DoubleType()))])
-    return g.mapInPandas(_solver(group, k, list(ridges), lookback_col, len(x_cols)), schema)
+    return g.mapInPandas(_solver(group, k, list(ridges), lookback_col, len(x_cols), list(l1_ratios)), schema)

@@ -3,8 +3,9 @@
 Stands in for the reference's LSTM: the same inputs (the last L hours of
 request_count, total_bytes, prev_count, hour_sin, hour_cos, each min-max scaled),
 the same target (next hour's scaled count), the same 80/20 split over sequences,
-inverse scaling before metrics. The model is a ridge regression over the L x F
-flattened window, its strength chosen on the tail of the training sequences (not
+inverse scaling before metrics. The model is a penalised linear regression over the
+L x F flattened window (ridge, elastic net or lasso), its penalty chosen on the tail of
+the training sequences (not
 on the test set, unlike the reference). Optionally, for the single global series, a
 gradient-boosted tree model (Spark ML) competes on the same validation tail.
 """
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import with_cyclical_hour
 from . import lsq
-from .ridge import RIDGE_GRID, fit_ridge_validated
+from .ridge import L1_RATIOS, RIDGE_GRID, fit_ridge_validated
 from .series import inverse_minmax, lag_columns, minmax_scale, series_window
 
 # Input features, target, lookback and split ratio of the sequence model.
@@ -79,12 +80,14 @@ def _gbt_candidate(seqs: DataFrame, xcols: list[str], y: str, seed: int = 42):
 def fit_sequence_regressor(df: DataFrame, order: str = "hour_timestamp", keys: Sequence[str] = (),
                            features: Sequence[str] = SEQ_FEATURES, target: str = SEQ_TARGET,
                            L: int = SEQ_LENGTH, ridges: Sequence[float] = RIDGE_GRID,
-                           fit_on: str = "all", with_gbt: bool = False, stage=None) -> tuple[DataFrame, DataFrame]:
+                           l1_ratios: Sequence[float] = L1_RATIOS, fit_on: str = "all", with_gbt: bool = False,
+                           stage=None) -> tuple[DataFrame, DataFrame]:
     """Fit per series; returns ``(models, test_predictions)``.
 
-    Candidates: ridge regressions (all series at once, from Gram statistics) and, with
+    Candidates: ridge / elastic-net / lasso regressions over a strength grid (all series
+    at once, from Gram statistics) and, with
     ``with_gbt`` for the single global series, a gradient-boosted tree model (about
-    10 s more per fit on local[8]); the lowest validation MSE on the train tail wins. ``models`` has ``model`` ('ridge'/'gbt'), ``ridge``,
+    10 s more per fit on local[8]); the lowest validation MSE on the train tail wins. ``models`` has ``model`` ('linear'/'gbt'), ``ridge``, ``l1_ratio``,
     ``val_mse``. ``test_predictions``: keys, order, actual target, ``prediction``
     (inverse-scaled).
     """
@@ -95,8 +98,8 @@ def fit_sequence_regressor(df: DataFrame, order: str = "hour_timestamp", keys: S
     y = f"{target}_mm"
     train = F.col("split") == "train"
     models = fit_ridge_validated(seqs, keys, xcols, y, fit_mask=train & ~F.col("is_val"),
-                                 val_mask=train & F.col("is_val"), ridges=ridges)
-    models = models.withColumn("model", F.lit("ridge"))
+                                 val_mask=train & F.col("is_val"), ridges=ridges, l1_ratios=l1_ratios)
+    models = models.withColumn("model", F.lit("linear"))
     test = seqs.filter(~train)
     lo, hi = F.col(f"{target}__min"), F.col(f"{target}__max")
     if keys:
@@ -109,7 +112,8 @@ def fit_sequence_regressor(df: DataFrame, order: str = "hour_timestamp", keys: S
     gbt_mse, gbt_model = _gbt_candidate(seqs, xcols, y) if with_gbt else (None, None)
     if gbt_mse is not None and (ridge_mse is None or gbt_mse < ridge_mse):
         models = models.select(F.lit("gbt").alias("model"), F.lit(None).cast("double").alias("ridge"),
-                               F.lit(gbt_mse).alias("val_mse"), "n_fit", "n_val",
+                               F.lit(None).cast("double").alias("l1_ratio"), F.lit(gbt_mse).alias("val_mse"),
+                               "n_fit", "n_val",
                                F.lit(None).cast("array<double>").alias("coef"))
         scored = gbt_model.transform(test)
         pred = inverse_minmax(F.col("_p"), lo, hi)

@@ -211,8 +211,8 @@ def q_sequence_regressor(spark, sf):
     f = common.features_stage(spark, sf)
     models, pred = sequence.fit_sequence_regressor(f, ORDER, stage=common.staged)
     m = evaluate.regression_metrics(pred, "actual", "prediction")
-    chosen = models.select(F.struct("model", "ridge").alias("c")).scalar()
-    return common.rounded(m.select("*", chosen.getField("model").alias("model"), chosen.getField("ridge").alias("ridge")))
+    chosen = models.select(F.struct("model", "ridge", "l1_ratio").alias("c")).scalar()
+    return common.rounded(m.select("*", *[chosen.getField(c).alias(c) for c in ("model", "ridge", "l1_ratio")]))
 
 
 @register("residual_corrector")

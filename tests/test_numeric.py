@@ -183,7 +183,7 @@ def test_sequence_regressor_gbt_candidate(spark):
     f = common.features(spark, SF_SMALL)
     models, pred = sequence.fit_sequence_regressor(f, with_gbt=True)
     m = models.collect()[0]
-    assert m["model"] in ("ridge", "gbt") and m["val_mse"] >= 0
+    assert m["model"] in ("linear", "gbt") and m["val_mse"] >= 0
     rows = pred.collect()
     assert len(rows) > 0 and all(r.prediction is not None for r in rows)
 
@@ -245,3 +245,23 @@ def test_spark_fold_with_seasonal_terms(spark):
     ref = forecast_pdf(seasonal._best_design(fit).toPandas(), "ts", "y", fit.x2, fit.ar_set, fit.ma_set,
                        fit.exog, fit.m)
     np.testing.assert_allclose(got, ref, rtol=1e-9, atol=1e-9)
+
+
+def test_enet_from_gram_matches_ridge_and_shrinks(spark):
+    rng = np.random.default_rng(4)
+    n = 300
+    X = rng.normal(size=(n, 4))
+    y = 2 + X @ [1.5, 0.0, -0.7, 0.0] + rng.normal(scale=0.3, size=n)
+    A = np.column_stack([np.ones(n), X])
+    xtx, xty = A.T @ A, A.T @ y
+    ridge, _ = lsq.solve(xtx, xty, range(5), ridge=0.1 * n)
+    enet0 = lsq.solve_enet(xtx, xty, range(5), 0.1, 0.0)
+    np.testing.assert_allclose(enet0, ridge, rtol=1e-7, atol=1e-9)
+    lasso = lsq.solve_enet(xtx, xty, range(5), 0.1, 1.0)
+    assert lasso[2] == 0.0 and lasso[4] == 0.0 and abs(lasso[1]) > 1.0
+    # lasso KKT: |c_j - S_j b| <= lam on zero coefficients
+    xbar = xtx[0, 1:] / n
+    S = xtx[1:, 1:] / n - np.outer(xbar, xbar)
+    c = xty[1:] / n - xbar * (xty[0] / n)
+    g = c - S @ lasso[1:]
+    assert np.all(np.abs(g[[1, 3]]) <= 0.1 + 1e-9)
