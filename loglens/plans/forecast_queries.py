@@ -20,9 +20,11 @@ EXOG = ["total_bytes", "prev_count"]
 
 
 def forecast_inputs(spark, sf, keys=()):
-    """Hourly features, 80/20 split, exogenous inputs z-scored over all rows; staged."""
+    """Hourly features, 80/20 split, exogenous inputs z-scored over all rows. Derived
+    cheaply from the materialised feature stage; the seasonal design built on it is
+    the table that gets staged."""
     s = series.chrono_split(common.features_stage(spark, sf, keys), ORDER, keys=keys)
-    return common.staged(series.zscore_scale(s, EXOG, keys=keys))
+    return series.zscore_scale(s, EXOG, keys=keys)
 
 
 def seasonal_fit(spark, sf, keys=()):

@@ -59,9 +59,10 @@ FROM pred"""
 
 
 def lr_inputs(spark, sf, keys=()):
-    """Hourly features split 80/20 with cyclical hour columns, staged once."""
+    """Hourly features split 80/20 with cyclical hour columns. Read from the materialised
+    feature stage; the split is one window over that small table, so it is not staged again."""
     s = series.chrono_split(common.features_stage(spark, sf, keys), "hour_timestamp", keys=keys)
-    return common.staged(s.transform(with_cyclical_hour))
+    return s.transform(with_cyclical_hour)
 
 
 def lr_fit(spark, sf):
