@@ -43,8 +43,8 @@ def quality_grade(r2: Column) -> Column:
 
 
 def improvement_pct(base: Column, new: Column) -> Column:
-    """``(base - new) / base * 100``."""
-    return (base - new) / base * F.lit(100.0)
+    """``(base - new) / base * 100`` (P9); NULL when ``base`` is 0 (no ANSI division error)."""
+    return F.when(base != 0, (base - new) / base * F.lit(100.0))
 
 
 def clip(c: Column, lo: float = -3.0, hi: float = 3.0) -> Column:

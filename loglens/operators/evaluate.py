@@ -37,7 +37,11 @@ def mape_nonzero(df: DataFrame, y: str, yhat: str, keys: Sequence[str] = ()) ->
 
 def regression_metrics(df: DataFrame, y: str, yhat: str, keys: Sequence[str] = (),
                        with_mape: bool = True) -> DataFrame:
-    """n, mse, rmse, mae, r2 (1 - SSE / SST about the evaluated rows' mean), mape (M5, M6)."""
+    """n, mse, rmse, mae, r2 (1 - SSE / SST about the evaluated rows' mean), mape (M5, M6).
+
+    Under ANSI mode a division by zero fails the job, so the SST = 0 case is decided
+    explicitly (1.0 for a perfect fit, else 0.0).
+    """
     yy = F.col(y).cast("double")
     err = yy - F.col(yhat)
     aggs = [F.count(F.lit(1)).alias("n"), F.avg(err * err).alias("mse"), F.avg(F.abs(err)).alias("mae"),
@@ -45,7 +49,10 @@ def regression_metrics(df: DataFrame, y: str, yhat: str, keys: Sequence[str] = (
     if with_mape:
         aggs.append(mape_expr(y, yhat).alias("mape"))
     out = df.groupBy(*list(keys)).agg(*aggs)
-    r2 = F.lit(1.0) - F.col("_sse") / (F.col("_var") * F.col("n"))
+    # constant actuals (SST = 0): 1.0 for a perfect fit, else 0.0 -- never a division by zero
+    sst = F.col("_var") * F.col("n")
+    r2 = (F.when(sst == 0, F.when(F.col("_sse") == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
+          .otherwise(F.lit(1.0) - F.col("_sse") / sst))
     cols = [*keys, "n", "mse", F.sqrt("mse").alias("rmse"), "mae", r2.alias("r2")]
     if with_mape:
         cols.append("mape")

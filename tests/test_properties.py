@@ -94,3 +94,14 @@ def test_keyed_seasonal_fit_equals_global_on_one_key(spark):
     kf = seasonal.seasonal_forecast(k, "request_count").filter("event_type = 'view'").orderBy("step").collect()
     gf = seasonal.seasonal_forecast(g, "request_count").orderBy("step").collect()
     assert [round(r.seasonal_forecast, 6) for r in kf] == [round(r.seasonal_forecast, 6) for r in gf]
+
+
+def test_metrics_on_constant_actuals_do_not_divide_by_zero(spark):
+    from loglens.functions.columns import improvement_pct
+    from loglens.operators import evaluate
+    df = spark.createDataFrame([("a", 5.0, 5.0), ("a", 5.0, 5.0), ("b", 5.0, 4.0), ("b", 5.0, 6.0)],
+                               "k string, y double, yhat double")
+    m = {r.k: r for r in evaluate.regression_metrics(df, "y", "yhat", keys=["k"]).collect()}
+    assert m["a"].r2 == 1.0 and m["b"].r2 == 0.0 and m["b"].rmse == 1.0
+    z = spark.createDataFrame([(0.0, 1.0)], "b double, n double").select(improvement_pct(F.col("b"), F.col("n")))
+    assert z.first()[0] is None
