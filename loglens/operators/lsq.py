@@ -52,6 +52,17 @@ def gram_stats(df: DataFrame, group_cols: Sequence[str], x_cols: Sequence[str],
     p = packed_len(k)
     vec = F.array(*[xs[i] * xs[j] for i in range(k) for j in range(i, k)], *[xs[i] * y for i in range(k)], y * y)
     group_cols = list(group_cols)
+    if len(masks) == 1:
+        # one mask: filter and aggregate once; groups without masked rows do not appear
+        (name, m), = masks.items()
+        g = (df.filter(complete & m)
+               .select(*group_cols, array_to_vector(vec).alias("_v"))
+               .groupBy(*group_cols)
+               .agg(F.count(F.lit(1)).alias(f"{name}_n"), Summarizer.sum(F.col("_v")).alias("_s")))
+        arr = vector_to_array(F.col("_s"))
+        return g.select(*group_cols, f"{name}_n", F.slice(arr, 1, p).alias(f"{name}_xtx"),
+                        F.slice(arr, p + 1, k).alias(f"{name}_xty"),
+                        F.element_at(arr, p + k + 1).alias(f"{name}_yty"))
     segs = F.filter(F.array(*[F.when(m, F.lit(name)) for name, m in masks.items()]), lambda x: x.isNotNull())
     rows = df.filter(complete).select(*group_cols, array_to_vector(vec).alias("_v"), F.explode(segs).alias("_seg"))
     g = (rows.groupBy(*group_cols, "_seg")
