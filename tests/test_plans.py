@@ -41,3 +41,19 @@ def test_lag_matrix_is_one_window(spark):
 def test_parse_stays_in_codegen(spark):
     p = _plan(common.parsed(spark, SF_MID))
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+
+
+def test_partitioned_parsed_table_prunes_days(spark):
+    import tempfile
+
+    from pyspark.sql import functions as F
+
+    from loglens.sources import files
+    path = tempfile.mkdtemp(prefix="loglens-part-") + "/parsed"
+    p = common.parsed(spark, SF_MID).withColumn("event_date", F.to_date("event_time"))
+    files.write_table(p, path, partition_by=["event_date"])
+    one_day = files.read_table(spark, path).filter(F.col("event_date") == F.lit("2024-01-05").cast("date"))
+    plan = _plan(one_day.select("ip", "status"))
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "2024-01-05" in plan
+    assert "ReadSchema: struct<ip:string,status:int>" in plan
+    assert one_day.count() > 0
