@@ -239,6 +239,14 @@ def q_hybrid_forecast(spark, sf):
     return common.rounded(seasonal.strip_series(joined))
 
 
+@register("hybrid_forecast_sample")
+def q_hybrid_forecast_sample(spark, sf):
+    """First ten test hours: actual, seasonal and correction components, hybrid, difference."""
+    *_, joined = hybrid_run(spark, sf)
+    return common.rounded(evaluate.forecast_sample(joined, ORDER, Y, ["seasonal_forecast", "correction"],
+                                                   "hybrid_forecast", 10))
+
+
 # ---- metrics of all four models and the leaderboard -----------------------------------
 
 def model_metrics(spark: SparkSession, sf: str) -> DataFrame:

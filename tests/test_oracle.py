@@ -54,7 +54,7 @@ def test_every_query_has_entry_or_reason():
                          "residual_corrector", "recursive_forecast", "hybrid_forecast", "union_metrics",
                          "leaderboard", "metric_winners", "overall_winner", "model_grades", "improvement_pct",
                          "seasonal_grid_search_by_type", "hybrid_forecast_by_type",
-                         "seasonal_forecast_recursive"}
+                         "seasonal_forecast_recursive", "hybrid_forecast_sample"}
 
 
 def test_entry_runs(spark):
