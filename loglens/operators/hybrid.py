@@ -1,8 +1,8 @@
 """Seasonal forecast + residual correction.
 
 The reference trains an LSTM on the seasonal model's in-sample residuals. Here the
-correction is a ridge autoregression on the scaled, clipped residuals (the same
-inputs and the same lookback rule), and the multi-step correction is a fold over
+correction is a penalised (ridge / elastic net / lasso) autoregression on the
+scaled, clipped residuals (the same inputs and the same lookback rule), and the multi-step correction is a fold over
 the horizon written with Spark's higher-order array functions, so it runs inside
 the JVM per series without any Python.
 """
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import decay
-from .ridge import RIDGE_GRID, fit_ridge_validated
+from .ridge import L1_RATIOS, RIDGE_GRID, fit_ridge_validated
 from .sequence import validation_size
 from .series import adaptive_lookback, lag_columns, series_window, standard_scale_clip
 
@@ -28,7 +28,8 @@ DECAY_RATE = 0.1
 
 
 def fit_residual_corrector(resid: DataFrame, n_train: DataFrame, order: str, keys: Sequence[str],
-                           value: str = "residual", ridges: Sequence[float] = RIDGE_GRID) -> DataFrame:
+                           value: str = "residual", ridges: Sequence[float] = RIDGE_GRID,
+                           l1_ratios: Sequence[float] = L1_RATIOS) -> DataFrame:
     """Per series: lookback L, scaler mean/std, coefficients and the last L scaled residuals.
 
     ``n_train`` gives each series' number of training hours (for the lookback rule).
@@ -51,7 +52,8 @@ def fit_residual_corrector(resid: DataFrame, n_train: DataFrame, order: str, key
                 .withColumn("n_seq", F.count(F.lit(1)).over(wall)))
     is_val = F.col("seq_idx") >= F.col("n_seq") - validation_size(F.col("n_seq"))
     models = fit_ridge_validated(seqs.filter(F.col("n_seq") >= MIN_SEQUENCES), keys, xcols, s,
-                                 fit_mask=~is_val, val_mask=is_val, ridges=ridges, lookback_col="lookback")
+                                 fit_mask=~is_val, val_mask=is_val, ridges=ridges, lookback_col="lookback",
+                                 l1_ratios=l1_ratios)
     # last MAX_LOOKBACK scaled residuals per series, oldest first (bounded collect)
     back = Window.partitionBy(*keys).orderBy(F.col(order).desc())
     tail = (sc.withColumn("_rb", F.row_number().over(back)).filter(F.col("_rb") <= MAX_LOOKBACK)

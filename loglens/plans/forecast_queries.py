@@ -221,7 +221,7 @@ def q_sequence_regressor(spark, sf):
 def q_residual_corrector(spark, sf):
     """Ridge autoregression on scaled seasonal residuals: lookback, ridge, coefficients."""
     _, fit, _, models, _, _ = hybrid_run(spark, sf)
-    return seasonal.strip_series(models.select(*fit.keys, "lookback", "ridge", "n_fit", "n_val",
+    return seasonal.strip_series(models.select(*fit.keys, "lookback", "ridge", "l1_ratio", "n_fit", "n_val",
                                                F.transform("coef", lambda c: F.round(c, 6)).alias("coef")))
 
 
