@@ -265,3 +265,22 @@ def test_enet_from_gram_matches_ridge_and_shrinks(spark):
     c = xty[1:] / n - xbar * (xty[0] / n)
     g = c - S @ lasso[1:]
     assert np.all(np.abs(g[[1, 3]]) <= 0.1 + 1e-9)
+
+
+def test_residual_corrector_learns_ar1(spark):
+    rng = np.random.default_rng(8)
+    n = 800
+    r = np.zeros(n)
+    for t in range(1, n):
+        r[t] = 0.7 * r[t - 1] + rng.normal()
+    pdf = pd.DataFrame({"k": "s", "ts": pd.date_range("2024-01-01", periods=n, freq="h"), "residual": r})
+    resid = spark.createDataFrame(pdf).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    n_train = spark.createDataFrame([("s", 1000)], "k string, n_train long")     # lookback 6
+    models = hybrid.fit_residual_corrector(resid, n_train, "ts", ["k"])
+    m = models.collect()[0]
+    assert m["lookback"] == 6 and m["coef"] is not None
+    assert m["coef"][-1] == pytest.approx(0.7, abs=0.1)          # lag-1 weight
+    assert max(abs(c) for c in m["coef"][1:-1]) < 0.15            # older lags near 0
+    corr = hybrid.recursive_forecast(models, spark.createDataFrame([("s", 3)], "k string, steps int"), ["k"])
+    first = corr.filter("step = 0").first()["correction"]
+    assert first == pytest.approx(0.7 * r[-1], abs=0.35)
