@@ -85,11 +85,14 @@ def fit_linreg_by_key(train: DataFrame, keys: Sequence[str], features: Sequence[
 
     def solve(it):
         for pdf in it:
-            out = []
-            for _, r in pdf.iterrows():
-                beta, _ = lsq.solve(lsq.unpack(r["all_xtx"], k), np.asarray(r["all_xty"], float), range(k))
-                out.append([r[c] for c in keys] + [int(r["all_n"]), None if beta is None else beta.tolist()])
-            yield pd.DataFrame(out, columns=[*keys, "n_train", "coef"])
+            if pdf.empty:
+                continue
+            beta, _ = lsq.solve_batch(lsq.unpack_batch(np.stack(pdf["all_xtx"].to_numpy()), k),
+                                      np.stack(pdf["all_xty"].to_numpy()), range(k))
+            out = pdf[keys].copy()
+            out["n_train"] = pdf["all_n"].astype("int64")
+            out["coef"] = [None if np.isnan(b).any() else b.tolist() for b in beta]
+            yield out
 
     schema = T.StructType([g.schema[c] for c in keys] + [T.StructField("n_train", T.LongType()),
                                                          T.StructField("coef", T.ArrayType(T.DoubleType()))])

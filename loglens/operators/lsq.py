@@ -174,3 +174,46 @@ def solve_enet(xtx: np.ndarray, xty: np.ndarray, cols: Sequence[int], lam: float
     beta[cols] = b
     beta[0] = ybar - xbar @ b
     return beta if np.all(np.isfinite(beta)) else None
+
+
+def unpack_batch(packed: np.ndarray, k: int) -> np.ndarray:
+    """(m, k(k+1)/2) packed upper triangles -> (m, k, k) symmetric matrices."""
+    m = packed.shape[0]
+    a = np.zeros((m, k, k))
+    iu = np.triu_indices(k)
+    a[:, iu[0], iu[1]] = packed
+    return a + np.triu(a, 1).transpose(0, 2, 1)
+
+
+def solve_batch(xtx: np.ndarray, xty: np.ndarray, cols: Sequence[int],
+                rcond: float = 1e-10) -> tuple[np.ndarray, np.ndarray]:
+    """``solve`` for a stack of systems at once: (m, k, k), (m, k) -> betas (m, k), ranks (m,).
+
+    Same equilibration and minimum-norm semantics as ``solve`` (Hermitian pseudo-inverse
+    with singular values below ``rcond`` x largest dropped). Failed rows (a zero column,
+    non-finite values) come back as NaN with rank 0.
+    """
+    cols = list(cols)
+    m, k = xty.shape
+    a = xtx[:, cols][:, :, cols]
+    b = xty[:, cols]
+    beta = np.full((m, k), np.nan)
+    rank = np.zeros(m, dtype=int)
+    d = np.sqrt(np.clip(np.diagonal(a, axis1=1, axis2=2), 0, None))
+    ok = np.all(d > 0, axis=1) & np.all(np.isfinite(a), axis=(1, 2)) & np.all(np.isfinite(b), axis=1)
+    if not ok.any():
+        return beta, rank
+    a, b, d = a[ok], b[ok], d[ok]
+    a_s = a / (d[:, :, None] * d[:, None, :])
+    z = np.einsum("mij,mj->mi", np.linalg.pinv(a_s, rcond=rcond, hermitian=True), b / d)
+    ev = np.abs(np.linalg.eigvalsh(a_s))
+    rank[ok] = (ev > rcond * ev.max(axis=1, keepdims=True)).sum(axis=1)
+    sub = np.zeros((ok.sum(), k))
+    sub[:, cols] = z / d
+    beta[ok] = sub
+    return beta, rank
+
+
+def sse_batch(beta: np.ndarray, xtx: np.ndarray, xty: np.ndarray, yty: np.ndarray) -> np.ndarray:
+    """Residual sums of squares for a stack of coefficient vectors."""
+    return yty - 2.0 * np.einsum("mi,mi->m", beta, xty) + np.einsum("mi,mij,mj->m", beta, xtx, beta)

@@ -112,42 +112,59 @@ def _stage_solve_schema(df: DataFrame, keys: Sequence[str], extra: str) -> T.Str
 def _solve_ols_rows(keys, k):
     def fn(it):
         for pdf in it:
-            out = []
-            for _, r in pdf.iterrows():
-                xtx = lsq.unpack(r["train_xtx"], k)
-                beta, _ = lsq.solve(xtx, np.asarray(r["train_xty"], float), list(range(k)))
-                out.append([r[c] for c in keys] + [None if beta is None else beta.tolist()])
-            yield pd.DataFrame(out, columns=[*keys, "coef1"])
+            if pdf.empty:
+                continue
+            xtx = lsq.unpack_batch(np.stack(pdf["train_xtx"].to_numpy()), k)
+            xty = np.stack(pdf["train_xty"].to_numpy())
+            beta, _ = lsq.solve_batch(xtx, xty, range(k))
+            out = pdf[list(keys)].copy()
+            out["coef1"] = [None if np.isnan(b).any() else b.tolist() for b in beta]
+            yield out
     return fn
 
 
 def _solve_candidates(keys, grid, ar_set, ma_set, n_exog, m):
+    """All candidates of all (series, d, sd) rows in a partition: one stacked solve per
+    candidate shape instead of one solve per series."""
     k = 1 + len(ar_set) + len(ma_set) + n_exog
     cands = grid_candidates(grid)
+    out_cols = [*keys, "cand_idx", *GRID_ORDER, "n_obs", "aic", "coef"]
 
     def fn(it):
         for pdf in it:
-            out = []
-            for _, r in pdf.iterrows():
-                d, D, n = int(r["d"]), int(r["sd"]), int(r["train_n"])
-                xtx = lsq.unpack(r["train_xtx"], k)
-                xty = np.asarray(r["train_xty"], float)
-                yty = float(r["train_yty"])
-                for c in cands:
-                    if c["d"] != d or c["sd"] != D:
-                        continue
-                    cols = [0] + [1 + ar_set.index(s) for s in ar_lags(c["p"], c["sp"], m)]
-                    cols += [1 + len(ar_set) + ma_set.index(s) for s in ar_lags(c["q"], c["sq"], m)]
-                    cols += [1 + len(ar_set) + len(ma_set) + j for j in range(n_exog)]
-                    beta, rank = lsq.solve(xtx, xty, cols) if n > len(cols) + 1 else (None, 0)
-                    aic = None
-                    if beta is not None:
-                        rss = lsq.sse(beta, xtx, xty, yty)
-                        if rss > 0:
-                            aic = n * math.log(rss / n) + 2 * (rank + 1)
-                    out.append([r[kk] for kk in keys] + [c["cand_idx"], c["p"], d, c["q"], c["sp"], D, c["sq"], n,
-                                aic, None if (beta is None or aic is None) else beta.tolist()])
-            yield pd.DataFrame(out, columns=[*keys, "cand_idx", *GRID_ORDER, "n_obs", "aic", "coef"])
+            if pdf.empty:
+                continue
+            xtx = lsq.unpack_batch(np.stack(pdf["train_xtx"].to_numpy()), k)
+            xty = np.stack(pdf["train_xty"].to_numpy())
+            yty = pdf["train_yty"].to_numpy(dtype=float)
+            n = pdf["train_n"].to_numpy(dtype=float)
+            d_col, sd_col = pdf["d"].to_numpy(), pdf["sd"].to_numpy()
+            parts = []
+            for c in cands:
+                rows = np.flatnonzero((d_col == c["d"]) & (sd_col == c["sd"]))
+                if rows.size == 0:
+                    continue
+                cols = [0] + [1 + ar_set.index(s) for s in ar_lags(c["p"], c["sp"], m)]
+                cols += [1 + len(ar_set) + ma_set.index(s) for s in ar_lags(c["q"], c["sq"], m)]
+                cols += [1 + len(ar_set) + len(ma_set) + j for j in range(n_exog)]
+                beta, rank = lsq.solve_batch(xtx[rows], xty[rows], cols)
+                rss = lsq.sse_batch(np.nan_to_num(beta), xtx[rows], xty[rows], yty[rows])
+                nn = n[rows]
+                good = (~np.isnan(beta).any(axis=1)) & (nn > len(cols) + 1) & (rss > 0)
+                aic = np.where(good, nn * np.log(np.where(good, rss, 1.0) / np.where(good, nn, 1.0))
+                               + 2 * (rank + 1), np.nan)
+                part = pdf.iloc[rows][list(keys)].copy()
+                part["cand_idx"] = c["cand_idx"]
+                for name in GRID_ORDER:
+                    part[name] = c[name]
+                part["n_obs"] = nn.astype("int64")
+                part["aic"] = np.where(good, aic, np.nan)
+                part["coef"] = [b.tolist() if g else None for b, g in zip(beta, good)]
+                parts.append(part)
+            if parts:
+                res = pd.concat(parts, ignore_index=True)
+                res["aic"] = res["aic"].astype("float64")
+                yield res[out_cols]
     return fn
 
 

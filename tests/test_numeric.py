@@ -284,3 +284,27 @@ def test_residual_corrector_learns_ar1(spark):
     corr = hybrid.recursive_forecast(models, spark.createDataFrame([("s", 3)], "k string, steps int"), ["k"])
     first = corr.filter("step = 0").first()["correction"]
     assert first == pytest.approx(0.7 * r[-1], abs=0.35)
+
+
+def test_batched_solver_equals_single(spark):
+    rng = np.random.default_rng(12)
+    m, k = 7, 5
+    xtx, xty = [], []
+    for i in range(m):
+        A = np.column_stack([np.ones(40), rng.normal(size=(40, k - 1))])
+        if i == 3:
+            A[:, 2] = A[:, 1] * 2.0                       # collinear: min-norm solution
+        y = rng.normal(size=40)
+        xtx.append(A.T @ A)
+        xty.append(A.T @ y)
+    xtx, xty = np.stack(xtx), np.stack(xty)
+    xtx[5, :, 4] = xtx[5, 4, :] = 0.0                     # an all-zero column fails
+    for cols in (range(k), [0, 1, 3]):
+        beta, rank = lsq.solve_batch(xtx, xty, cols)
+        for i in range(m):
+            ref, r = lsq.solve(xtx[i], xty[i], cols)
+            if ref is None:
+                assert np.isnan(beta[i]).all() and rank[i] == 0
+            else:
+                np.testing.assert_allclose(beta[i], ref, rtol=1e-7, atol=1e-9)
+                assert rank[i] == r
