@@ -217,3 +217,43 @@ def solve_batch(xtx: np.ndarray, xty: np.ndarray, cols: Sequence[int],
 def sse_batch(beta: np.ndarray, xtx: np.ndarray, xty: np.ndarray, yty: np.ndarray) -> np.ndarray:
     """Residual sums of squares for a stack of coefficient vectors."""
     return yty - 2.0 * np.einsum("mi,mi->m", beta, xty) + np.einsum("mi,mij,mj->m", beta, xtx, beta)
+
+
+def solve_enet_batch(xtx: np.ndarray, xty: np.ndarray, cols: Sequence[int], lam: float, l1_ratio: float,
+                     max_iter: int = 1000, tol: float = 1e-10) -> np.ndarray:
+    """``solve_enet`` for a stack of systems: coordinate descent vectorised across rows.
+
+    Rows that cannot be fitted come back as NaN.
+    """
+    cols = [c for c in cols if c != 0]
+    m, k = xty.shape
+    out = np.full((m, k), np.nan)
+    n = xtx[:, 0, 0]
+    ok = n > 0
+    if not ok.any():
+        return out
+    X, Y, nn = xtx[ok], xty[ok], n[ok]
+    xbar = X[:, 0, cols] / nn[:, None]
+    ybar = Y[:, 0] / nn
+    S = X[:, cols][:, :, cols] / nn[:, None, None] - xbar[:, :, None] * xbar[:, None, :]
+    c = Y[:, cols] / nn[:, None] - xbar * ybar[:, None]
+    a1, a2 = lam * l1_ratio, lam * (1.0 - l1_ratio)
+    diag = np.diagonal(S, axis1=1, axis2=2) + a2
+    good = np.all(diag > 0, axis=1)
+    diag = np.where(diag > 0, diag, 1.0)
+    b = np.zeros((len(nn), len(cols)))
+    for _ in range(max_iter):
+        delta = 0.0
+        for j in range(len(cols)):
+            r = c[:, j] - np.einsum("mi,mi->m", S[:, j, :], b) + S[:, j, j] * b[:, j]
+            new = np.sign(r) * np.maximum(np.abs(r) - a1, 0.0) / diag[:, j]
+            delta = max(delta, float(np.max(np.abs(new - b[:, j]))))
+            b[:, j] = new
+        if delta < tol:
+            break
+    beta = np.zeros((len(nn), k))
+    beta[:, cols] = b
+    beta[:, 0] = ybar - np.einsum("mi,mi->m", xbar, b)
+    beta[~good | ~np.all(np.isfinite(beta), axis=1)] = np.nan
+    out[ok] = beta
+    return out

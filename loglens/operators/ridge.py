@@ -24,45 +24,70 @@ L1_RATIOS = (0.0, 0.5, 1.0)
 
 
 def _fit(xtx, xty, n, cols, lam, l1):
+    """One system (kept as the reference for the batched path)."""
     if l1 == 0.0 or lam == 0.0:
         return lsq.solve(xtx, xty, cols, ridge=lam * max(n, 1))[0]
     return lsq.solve_enet(xtx, xty, cols, lam, l1)
 
 
+def _fit_batch(xtx, xty, n, cols, lam, l1):
+    """A stack of systems; NaN rows where a fit fails."""
+    if l1 == 0.0 or lam == 0.0:
+        a = xtx.copy()
+        if lam:
+            pen = [c for c in cols if c != 0]
+            a[:, pen, pen] += (lam * np.maximum(n, 1))[:, None]
+        return lsq.solve_batch(a, xty, cols)[0]
+    return lsq.solve_enet_batch(xtx, xty, cols, lam, l1)
+
+
 def _solver(keys: list[str], k: int, ridges: Sequence[float], lookback_col: str | None, n_lags: int,
             l1_ratios: Sequence[float] = (0.0,)):
+    """Per partition: all series with the same regressor set are solved as one stack
+    for every candidate; the validation winner is refitted on fit + validation."""
+    cands = [(lam, l1) for l1 in l1_ratios for lam in ridges if not (lam == 0.0 and l1 != l1_ratios[0])]
+    out_cols = [*keys, "ridge", "l1_ratio", "val_mse", "n_fit", "n_val", "coef"]
+
     def fn(it):
         for pdf in it:
-            out = []
-            for _, r in pdf.iterrows():
-                cols = list(range(k))
-                if lookback_col is not None:
-                    L = int(r[lookback_col])
-                    # regressors are [1, lag n_lags .. lag 1]: keep the last L lags
-                    cols = [0] + list(range(1 + n_lags - L, 1 + n_lags))
-                fx, fy, fyy, fn_ = lsq.unpack(r["fit_xtx"], k), np.asarray(r["fit_xty"], float), \
-                    float(r["fit_yty"]), int(r["fit_n"])
-                vx, vy, vyy, vn = lsq.unpack(r["val_xtx"], k), np.asarray(r["val_xty"], float), \
-                    float(r["val_yty"]), int(r["val_n"])
-                best = None
-                for l1 in l1_ratios:
-                    for lam in ridges:
-                        if lam == 0.0 and l1 != l1_ratios[0]:
-                            continue                      # unpenalised fit already tried
-                        beta = _fit(fx, fy, fn_, cols, lam, l1)
-                        if beta is None or vn == 0:
-                            continue
-                        mse = lsq.sse(beta, vx, vy, vyy) / vn
-                        if best is None or mse < best[2]:
-                            best = (lam, l1, mse)
-                coef = None
-                if best is not None:
-                    beta = _fit(fx + vx, fy + vy, fn_ + vn, cols, best[0], best[1])
-                    coef = None if beta is None else beta.tolist()
-                out.append([r[c] for c in keys] + [None if best is None else best[0],
-                                                   None if best is None else best[1],
-                                                   None if best is None else best[2], fn_, vn, coef])
-            yield pd.DataFrame(out, columns=[*keys, "ridge", "l1_ratio", "val_mse", "n_fit", "n_val", "coef"])
+            if pdf.empty:
+                continue
+            FX = lsq.unpack_batch(np.stack(pdf["fit_xtx"].to_numpy()), k)
+            FY = np.stack(pdf["fit_xty"].to_numpy())
+            FN = pdf["fit_n"].to_numpy(dtype=float)
+            VX = lsq.unpack_batch(np.stack(pdf["val_xtx"].to_numpy()), k)
+            VY = np.stack(pdf["val_xty"].to_numpy())
+            VYY = pdf["val_yty"].to_numpy(dtype=float)
+            VN = pdf["val_n"].to_numpy(dtype=float)
+            looks = pdf[lookback_col].to_numpy(dtype=int) if lookback_col else np.full(len(pdf), -1)
+            res = pdf[list(keys)].copy().reset_index(drop=True)
+            res["ridge"], res["l1_ratio"], res["val_mse"] = np.nan, np.nan, np.nan
+            coefs = [None] * len(pdf)
+            for L in np.unique(looks):
+                g = np.flatnonzero(looks == L)
+                # regressors are [1, lag n_lags .. lag 1]: keep the last L lags
+                cols = list(range(k)) if L < 0 else [0] + list(range(1 + n_lags - L, 1 + n_lags))
+                best = np.full(len(g), np.inf)
+                pick = np.full(len(g), -1)
+                for ci, (lam, l1) in enumerate(cands):
+                    beta = _fit_batch(FX[g], FY[g], FN[g], cols, lam, l1)
+                    valid = ~np.isnan(beta).any(axis=1) & (VN[g] > 0)
+                    mse = np.where(valid, lsq.sse_batch(np.nan_to_num(beta), VX[g], VY[g], VYY[g])
+                                   / np.where(VN[g] > 0, VN[g], 1.0), np.inf)
+                    better = mse < best
+                    best[better], pick[better] = mse[better], ci
+                for ci in np.unique(pick[pick >= 0]):
+                    rows = g[pick == ci]
+                    lam, l1 = cands[ci]
+                    beta = _fit_batch(FX[rows] + VX[rows], FY[rows] + VY[rows], FN[rows] + VN[rows], cols, lam, l1)
+                    for r, bvec in zip(rows, beta):
+                        coefs[r] = None if np.isnan(bvec).any() else bvec.tolist()
+                    res.loc[rows, "ridge"], res.loc[rows, "l1_ratio"] = lam, l1
+                    res.loc[rows, "val_mse"] = best[pick == ci]
+            res["n_fit"] = pdf["fit_n"].to_numpy(dtype="int64")
+            res["n_val"] = pdf["val_n"].to_numpy(dtype="int64")
+            res["coef"] = coefs
+            yield res[out_cols]
     return fn
 
 

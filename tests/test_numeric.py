@@ -308,3 +308,23 @@ def test_batched_solver_equals_single(spark):
             else:
                 np.testing.assert_allclose(beta[i], ref, rtol=1e-7, atol=1e-9)
                 assert rank[i] == r
+
+
+def test_batched_validated_solver_equals_per_row(spark):
+    from loglens.operators.ridge import L1_RATIOS, RIDGE_GRID, _fit
+    rng = np.random.default_rng(13)
+    m, k = 6, 4
+    fx, fy, vx, vy, vyy, fn, vn = [], [], [], [], [], [], []
+    for _ in range(m):
+        A = np.column_stack([np.ones(60), rng.normal(size=(60, k - 1))])
+        y = A @ rng.normal(size=k) + rng.normal(scale=0.5, size=60)
+        fa, fb, va, vb = A[:45], y[:45], A[45:], y[45:]
+        fx.append(fa.T @ fa); fy.append(fa.T @ fb); vx.append(va.T @ va); vy.append(va.T @ vb)
+        vyy.append(vb @ vb); fn.append(45.0); vn.append(15.0)
+    fx, fy, vx, vy = map(np.stack, (fx, fy, vx, vy))
+    for lam in RIDGE_GRID:
+        for l1 in L1_RATIOS:
+            batch = ridge._fit_batch(fx, fy, np.array(fn), range(k), lam, l1)
+            for i in range(m):
+                ref = _fit(fx[i], fy[i], fn[i], range(k), lam, l1)
+                np.testing.assert_allclose(batch[i], ref, rtol=1e-6, atol=1e-8)
