@@ -249,16 +249,20 @@ def q_hybrid_forecast_sample(spark, sf):
 
 # ---- metrics of all four models and the leaderboard -----------------------------------
 
-def model_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    """Metric records of the four forecasters on one hourly series, one row per model."""
+def _lr_record(spark: SparkSession, sf: str) -> DataFrame:
     pred, _ = lr_predictions(spark, sf)
     # record shapes as written by each model: the linear model's has no mse
-    lr = evaluate.regression_metrics(pred, Y, "prediction").select(
-        F.lit("Linear Regression").alias("model"), "rmse", "mae", "r2", "mape")
-    f = common.features_stage(spark, sf)
-    _, spred = sequence.fit_sequence_regressor(f, ORDER, stage=common.staged)
-    sq = evaluate.regression_metrics(spred, "actual", "prediction").select(
-        F.lit("Sequence Regressor").alias("model"), "mse", "rmse", "mae", "r2", "mape")
+    return common.staged(evaluate.regression_metrics(pred, Y, "prediction").select(
+        F.lit("Linear Regression").alias("model"), "rmse", "mae", "r2", "mape"))
+
+
+def _sequence_record(spark: SparkSession, sf: str) -> DataFrame:
+    _, spred = sequence.fit_sequence_regressor(common.features_stage(spark, sf), ORDER, stage=common.staged)
+    return common.staged(evaluate.regression_metrics(spred, "actual", "prediction").select(
+        F.lit("Sequence Regressor").alias("model"), "mse", "rmse", "mae", "r2", "mape"))
+
+
+def _seasonal_records(spark: SparkSession, sf: str) -> DataFrame:
     _, fit, fc, _, _, joined = hybrid_run(spark, sf)
     best = seasonal.order_strings(fit.best).select("order", "seasonal_order", "aic")
     # both forecasts scored in one pass: long form (model, actual, forecast) grouped by model
@@ -277,7 +281,23 @@ def model_metrics(spark: SparkSession, sf: str) -> DataFrame:
                    F.col("s.order").alias("sarima_order"), F.col("s.seasonal_order").alias("sarima_seasonal_order"),
                    F.col("s.aic").alias("sarima_aic"),
                    improvement_pct(F.col("s.rmse"), F.col("rmse")).alias("improvement_over_sarima_pct"))
-    return leaderboard.union_metrics([lr, sq, sarima, hy])
+    return common.staged(leaderboard.union_metrics([sarima, hy]))
+
+
+def model_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Metric records of the four forecasters on one hourly series, one row per model.
+
+    The three model branches are independent chains of small jobs; they are submitted
+    from three driver threads so the scheduler interleaves their tasks instead of
+    leaving cores idle between jobs. The shared feature stage is materialised first.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    common.features_stage(spark, sf)
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        futures = [pool.submit(fn, spark, sf) for fn in (_lr_record, _sequence_record, _seasonal_records)]
+        parts = [f.result() for f in futures]
+    return leaderboard.union_metrics(parts)
 
 
 def metrics_table(spark: SparkSession, sf: str, force: bool = False) -> DataFrame:
