@@ -79,17 +79,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 _SHIPPED: set[str] = set()
 
 
-def ship_package(spark: SparkSession) -> None:
+def ship_package(spark: SparkSession) -> str | None:
     """Make ``loglens`` importable in Python workers (``mapInPandas`` solvers, archive
     reader) when it is not installed on them: zip the package once per application
-    into the shared checkpoint folder and register it with ``addPyFile``."""
+    into the shared checkpoint folder and register it with ``addPyFile``.
+    Returns the zip path when it shipped now, None when already shipped."""
     import io
     import os
     import zipfile
 
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
-        return
+        return None
     pkg = os.path.dirname(os.path.abspath(__file__))
     buf = io.BytesIO()
     with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
@@ -112,3 +113,4 @@ def ship_package(spark: SparkSession) -> None:
             fh.write(buf.getvalue())
     sc.addPyFile(target)
     _SHIPPED.add(sc.applicationId)
+    return target

@@ -80,3 +80,13 @@ def test_reloaded_model_scores_identically(spark):
     a = linear.score(model, test).orderBy("hour_timestamp").collect()
     b = linear.score(files.load_model(path), test).orderBy("hour_timestamp").collect()
     assert a == b and len(a) > 0
+
+
+def test_ship_package_zips_the_library_once(spark):
+    from loglens import session
+    session._SHIPPED.discard(spark.sparkContext.applicationId)
+    path = session.ship_package(spark)
+    assert path is not None and session.ship_package(spark) is None
+    with zipfile.ZipFile(path[5:] if path.startswith("file:") else path) as zf:
+        names = set(zf.namelist())
+    assert {"loglens/__init__.py", "loglens/plans/registry.py", "loglens/operators/lsq.py"} <= names
