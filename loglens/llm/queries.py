@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, simhash
+from . import bpe, lm, simhash, toxicity
 
 QUERIES = {
     "op1_byte_bpe": bpe.query,
     "op4_simhash": simhash.query,
+    "op6_toxicity": toxicity.query,
+    "op10_lm_score": lm.query,
 }
 
 ORACLES: dict[str, str] = {}
