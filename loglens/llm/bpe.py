@@ -1,11 +1,11 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue (operator 1).
 
-A pre-token's neighbouring pairs are queued by merge rank: one bucket per rank holds the
-positions (of a linked list of tokens) where that pair starts, and a bitmap of 64-bit words
-over the ranks, with two summary levels above it, gives the lowest rank in use by three
-find-first-set steps. A merge changes at most two neighbouring pairs; their old entries stay
-in their buckets and are skipped when they come up. A pre-token of n bytes takes
-O(n log n) steps, so runs of letters of any length are safe.
+The pre-tokens that a worker has not met before lie one after the other in one linked list of
+tokens. Their neighbouring pairs are queued by merge rank: one bucket per rank holds the positions
+where that pair starts, and a bitmap of 64-bit words over the ranks, with two summary levels above
+it, gives the lowest rank in use by three find-first-set steps. A merge changes at most two
+neighbouring pairs; their old entries stay in their buckets and are skipped when they come up. A
+pre-token of n bytes takes O(n log n) steps, so runs of letters of any length are safe.
 
 Defined results: a null text is the empty text and has no ids; an id outside the vocabulary,
 or null ids, decode to null; a column named like the output column is replaced, all other
@@ -15,7 +15,7 @@ columns stay. Every row is encoded on its own, so ties and repeated rows need no
 from __future__ import annotations
 
 import base64
-from heapq import heappop, heappush
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -27,101 +27,167 @@ from pyspark.sql import types as T
 
 from .common import table, whole_text
 
-#: Entries of a worker's memory of encoded pre-tokens, and the longest that it keeps.
+#: Entries of a worker's memory of encoded pieces, and the longest that it keeps.
 CACHE_ENTRIES = 1 << 19
 CACHE_CHARS = 48
+#: Characters of texts that a worker encodes together (a longer text goes alone).
+TOGETHER = 1 << 20
+#: White space before a space.
+_SPACES = re.compile(r"\s ").search
 
 
-class Encoder(dict):
-    """Pre-token -> its ids as little-endian unsigned 32-bit integers, computed when first asked for.
+class Encoder:
+    """Texts -> ids as little-endian unsigned 32-bit integers; remembers the pieces it has encoded.
 
-    The rank queue: ``buckets[rank]`` is a heap of positions, bit ``rank & 63`` of
-    ``words[rank >> 6]`` says whether it has any, ``groups`` has a bit for each word in use and
-    ``top`` (local to ``merge``) a bit for each group in use. ``merge`` leaves the queue empty."""
+    The rank queue: ``buckets[rank]`` lists positions, bit ``rank & 63`` of ``words[rank >> 6]``
+    says whether it has any, ``groups`` has a bit for each word in use and ``top`` (local to
+    ``merge``) a bit for each group in use. ``merge`` leaves the queue empty.
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        super().__init__()
-        self.ranks = ranks
+    With ``cuts``, no match of the pattern goes on over a space that follows another character than
+    white space, so texts are cut there before the pattern is applied."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, cuts: bool):
+        self.ranks, self.cuts = ranks, cuts
         self.split = regex.compile(pattern).findall
         n = max(ranks.values(), default=0) + 1
         self.buckets: list[list[int]] = [[] for _ in range(n)]
         self.words = [0] * ((n >> 6) + 1)
         self.groups = [0] * ((n >> 12) + 1)
         self.packed = {k: v.to_bytes(4, "little") for k, v in ranks.items()}
-
-    def __missing__(self, piece: str) -> bytes:
-        raw = piece.encode("utf-8", "surrogatepass")
-        out = self.packed.get(raw)
-        if out is None:
-            out = self.merge(raw)
-        if len(piece) <= CACHE_CHARS:
-            if len(self) >= CACHE_ENTRIES:
-                self.clear()
-            self[piece] = out
+        self.of_two = np.full(1 << 16, -1, np.int32)
+        for k, v in ranks.items():
+            if len(k) == 2:
+                self.of_two[k[0] << 8 | k[1]] = v
+        self.cuttings: dict[str, bytes] = {}    # what stands between two spaces, with the space before it
+        self.pieces: dict[str, bytes] = {}      # pre-tokens
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        out, some, size = [], [], 0
+        for t in texts:
+            some.append(t)
+            size += len(t)
+            if size >= TOGETHER:
+                out += self._together(some)
+                some, size = [], 0
+        return out + self._together(some)
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        cut = [t.split(" ") if self.cuts and not _SPACES(t) else None for t in texts]
+        whole = [t if c is None else c[0] for t, c in zip(texts, cut)]      # no space before these
+        known = self._known({x for c in cut if c for x in c[1:]}, set(whole))
+        return [b"".join([known[""][w], *map(known[" "].__getitem__, c[1:] if c else ())]) for w, c in zip(whole, cut)]
+
+    def _known(self, cuttings: set[str], whole: set[str]) -> dict[str, dict[str, bytes]]:
+        """Ids of all cuttings (key: space) and of all whole texts (key: empty)."""
+        if len(self.cuttings) + len(cuttings) > CACHE_ENTRIES:
+            self.cuttings.clear()
+        new = [c for c in cuttings if c not in self.cuttings]
+        split = [self.split(" " + c) for c in new]
+        split_whole = {w: self.split(w) for w in whole}
+        if len(self.pieces) > CACHE_ENTRIES:
+            self.pieces.clear()
+        missing = {p for ps in split for p in ps} | {p for ps in split_whole.values() for p in ps}
+        missing = [p for p in missing if p not in self.pieces]
+        made = dict(zip(missing, self.merge([p.encode("utf-8", "surrogatepass") for p in missing])))
+        self.pieces.update(made)
+        ids = self.pieces.__getitem__
+        self.cuttings.update((c, b"".join(map(ids, ps))) for c, ps in zip(new, split))
+        out = {"": {w: b"".join(map(ids, ps)) for w, ps in split_whole.items()}, " ": self.cuttings}
+        for p in missing:
+            if len(p) > CACHE_CHARS:
+                del self.pieces[p]
+        long = [c for c in new if len(c) > CACHE_CHARS]
+        if long:
+            out[" "] = dict(self.cuttings)
+            for c in long:
+                del self.cuttings[c]
         return out
 
-    def merge(self, raw: bytes) -> bytes:
-        # the queue's two operations are written out: as calls they cost half the time
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece."""
+        packed = self.packed
+        todo = [p for p in pieces if p not in packed]
+        if not todo:
+            return [packed[p] for p in pieces]
+        raw = b"".join(todo)
         n, rank_of, top = len(raw), self.ranks.get, 0
         buckets, words, groups = self.buckets, self.words, self.groups
-        after = list(range(1, n + 2))       # linked list: start of the next token
-        before = list(range(-1, n))
-        pair = [-1] * n                     # rank of the pair that starts here; -1: none
-        fresh = [(rank_of(raw[i:i + 2]), i) for i in range(n - 1)]
-        while True:
-            for r, i in fresh:              # push
-                if r is None:
-                    pair[i] = -1
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))   # linked list: starts of tokens
+        starts = np.cumsum([0] + [len(p) for p in todo])
+        first = np.zeros(n + 1, np.uint8)
+        first[starts] = 1
+        codes = np.frombuffer(raw, np.uint8).astype(np.int32)
+        ranks = np.append(self.of_two[codes[:-1] << 8 | codes[1:]], -1)
+        ranks[starts[1:] - 1] = -1                                      # pairs over the end of a piece
+        pair = ranks.tolist()                                           # rank of the pair that starts here; -1: none
+        first = first.tobytes()
+        by = np.argsort(ranks, kind="stable")
+        by = by[np.searchsorted(ranks[by], 0):]
+        for part in np.split(by, np.flatnonzero(np.diff(ranks[by])) + 1):
+            if len(part):
+                r = pair[part[0]]
+                buckets[r] = part.tolist()
+                words[r >> 6] |= 1 << (r & 63)
+                groups[r >> 12] |= 1 << (r >> 6 & 63)
+                top |= 1 << (r >> 12)
+        while top:                                                      # take the bucket of the lowest rank
+            g = (top & -top).bit_length() - 1
+            group = groups[g]
+            w = g << 6 | (group & -group).bit_length() - 1
+            word = words[w]
+            r = w << 6 | (word & -word).bit_length() - 1
+            words[w] = word = word & (word - 1)
+            if not word:
+                groups[g] = group = group & (group - 1)
+                if not group:
+                    top &= top - 1
+            bucket, buckets[r] = buckets[r], []
+            bucket.sort()                                               # leftmost first
+            for at, i in enumerate(bucket, 1):
+                if pair[i] != r:                                        # stale: this pair has changed since
                     continue
-                pair[i] = r
-                bucket = buckets[r]
-                if bucket:
-                    heappush(bucket, i)
+                j = after[i]
+                k = after[i] = after[j]
+                pair[j] = -1
+                least = r
+                if first[k]:
+                    pair[i] = -1
                 else:
-                    bucket.append(i)
+                    before[k] = i
+                    q = pair[i] = rank_of(raw[i:after[k]], -1)
+                    if q >= 0:
+                        if not buckets[q]:
+                            words[q >> 6] |= 1 << (q & 63)
+                            groups[q >> 12] |= 1 << (q >> 6 & 63)
+                            top |= 1 << (q >> 12)
+                        buckets[q].append(i)
+                        least = q
+                if not first[i]:
+                    h = before[i]
+                    q = pair[h] = rank_of(raw[h:k], -1)
+                    if q >= 0:
+                        if not buckets[q]:
+                            words[q >> 6] |= 1 << (q & 63)
+                            groups[q >> 12] |= 1 << (q >> 6 & 63)
+                            top |= 1 << (q >> 12)
+                        buckets[q].append(h)
+                        if q < least:
+                            least = q
+                if least < r and at < len(bucket):                      # a lower rank comes first
+                    buckets[r] = bucket[at:]
                     words[r >> 6] |= 1 << (r & 63)
                     groups[r >> 12] |= 1 << (r >> 6 & 63)
                     top |= 1 << (r >> 12)
-            while top:                      # pop the lowest rank's leftmost position
-                g = (top & -top).bit_length() - 1
-                group = groups[g]
-                w = g << 6 | (group & -group).bit_length() - 1
-                word = words[w]
-                r = w << 6 | (word & -word).bit_length() - 1
-                bucket = buckets[r]
-                i = heappop(bucket)
-                if not bucket:
-                    word &= word - 1
-                    words[w] = word
-                    if not word:
-                        group &= group - 1
-                        groups[g] = group
-                        if not group:
-                            top &= top - 1
-                if pair[i] == r:            # else stale: this pair has changed since
                     break
-            else:
-                break
-            j = after[i]
-            k = after[i] = after[j]
-            pair[j] = -1
-            fresh = []
-            h = before[i]
-            if h >= 0:
-                fresh.append((rank_of(raw[h:k]), h))
-            if k < n:
-                before[k] = i
-                fresh.append((rank_of(raw[i:after[k]]), i))
-            else:
-                pair[i] = -1
-        out, i, packed = [], 0, self.packed
-        while i < n:
-            out.append(packed[raw[i:after[i]]])
-            i = after[i]
-        return b"".join(out)
-
-    def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, self.split(text)))
+        made = dict.fromkeys(todo)
+        for piece, i in zip(todo, starts.tolist()):
+            end, ids = i + len(piece), []
+            while i < end:
+                k = after[i]
+                ids.append(packed[raw[i:k]])
+                i = k
+            made[piece] = b"".join(ids)
+        return [packed.get(p) or made[p] for p in pieces]
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -131,7 +197,9 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
 
 @lru_cache(maxsize=4)
 def _encoder(data: bytes, pattern: str) -> Encoder:
-    return Encoder(read_ranks(data), pattern)
+    import public_tokenizers
+
+    return Encoder(read_ranks(data), pattern, pattern == public_tokenizers.PATTERN)
 
 
 @lru_cache(maxsize=4)
@@ -164,8 +232,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
 
     @F.pandas_udf(T.BinaryType())
     def ids(texts: pd.Series) -> pd.Series:
-        encode_one = _encoder(shared.value, pattern).encode
-        return pd.Series([encode_one(t) for t in texts], dtype=object)
+        return pd.Series(_encoder(shared.value, pattern).encode(list(texts)), dtype=object)
 
     return df.withColumn(out_col, ids(whole_text(text_col)))
 
