@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, lm, simhash, toxicity
+from . import bpe, lm, pages, simhash, toxicity
 
 QUERIES = {
     "op1_byte_bpe": bpe.query,
     "op4_simhash": simhash.query,
     "op6_toxicity": toxicity.query,
+    "op9_page_text": pages.query,
     "op10_lm_score": lm.query,
 }
 
