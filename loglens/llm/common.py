@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, ship_package
@@ -47,3 +48,18 @@ def whole_text(col: str | Column) -> Column:
 def fold(doc_id: str, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod``; null ids stay null."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % mod
+
+
+def prefix_sums(df: DataFrame, group: list[str], bucket: str, order: list, value: str | Column, out: str) -> DataFrame:
+    """Add ``out``: the sum of ``value`` over the rows before this one in its group.
+
+    Rows of a group are ordered by ``bucket``, then by ``order``. Only the rows of one bucket are
+    ever sorted in one task; buckets are joined by their sums, so a group may hold any share of all
+    rows. ``group`` and ``bucket`` must not be null; the sum is a long."""
+    value = F.col(value) if isinstance(value, str) else value
+    keys, before = [*group, bucket], fresh(df, "before")
+    sums = df.groupBy(*keys).agg(F.sum(value).alias(before))
+    above = F.sum(before).over(W.partitionBy(*group).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1))
+    sums = sums.select(*keys, F.coalesce(above, F.lit(0)).alias(before))
+    inside = F.sum(value).over(W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1))
+    return df.join(sums, keys).withColumn(out, (F.col(before) + F.coalesce(inside, F.lit(0))).cast("long")).drop(before)

@@ -43,7 +43,8 @@ LEAST_PAIR = 2              # pairs seen once are smoothed as unseen
 HEAVY_WORDS = 1 << 19       # words whose exact counts are broadcast: 12 bytes each
 BUCKET_TOKENS = 1 << 21     # tokens for each bucket of the key space, on average
 CHUNK_TOKENS = 1 << 22      # tokens that a task gathers before it counts them
-VOCABULARY = 1 << 20        # words that a task remembers
+VOCABULARY = 1 << 19        # words that a task remembers
+TOGETHER = 1 << 21          # characters of texts that a task works on at a time
 TUNE_DOCS = 400
 GRID = list(product((0.02, 0.1, 0.5, 1.0), (2.0, 20.0, 200.0, 2000.0, 20000.0, 1e6)))
 
@@ -101,6 +102,14 @@ def _tokens(texts, words: Words) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts), starts
 
 
+def _portions(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The same rows, in frames of about ``TOGETHER`` characters; a longer text has its own."""
+    for frame in frames:
+        if len(frame):
+            size = frame["text"].str.len().cumsum() // TOGETHER
+            yield from (part for _, part in frame.groupby(size.to_numpy()))
+
+
 def _contexts(keys: np.ndarray, starts: np.ndarray) -> np.ndarray:
     before = np.empty_like(keys)
     before[1:] = keys[:-1]
@@ -129,9 +138,7 @@ def _count_task(bits: int):
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, gathered, n = Words(), [[], []], 0
-        for frame in frames:
-            if not len(frame):
-                continue
+        for frame in _portions(frames):
             if len(words) > VOCABULARY:
                 words = Words()
             ids, starts = _tokens(frame["text"], words)
@@ -291,19 +298,16 @@ class Model:
 def _tune_task(shared):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = Model(shared.value)
-        for frame in frames:
-            if len(frame):
-                less = [np.maximum(x - 1, 0) for x in model.ngrams(*model.tokens(frame["text"]))]
-                yield pd.DataFrame({"cell": range(len(GRID)), "total": [float(model.log10(*less, *g).sum()) for g in GRID]})
+        for frame in _portions(frames):
+            less = [np.maximum(x - 1, 0) for x in model.ngrams(*model.tokens(frame["text"]))]
+            yield pd.DataFrame({"cell": range(len(GRID)), "total": [float(model.log10(*less, *g).sum()) for g in GRID]})
     return run
 
 
 def _score_task(shared, a: float, m: float):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = Model(shared.value)
-        for frame in frames:
-            if not len(frame):
-                continue
+        for frame in _portions(frames):
             ids, starts = model.tokens(frame["text"])
             score = np.add.reduceat(model.log10(*model.ngrams(ids, starts), a, m), starts)
             exact = model.exact[ids]
@@ -311,7 +315,7 @@ def _score_task(shared, a: float, m: float):
             ends = np.append(starts[1:], len(ids))
             keys = model.keys[ids].view(np.int64)
             yield pd.DataFrame({
-                "row": frame["row"], "doc_id": frame["doc_id"], "held_out": frame["held_out"], "n_tokens": ends - starts,
+                "row": frame["row"].to_numpy(), "doc_id": frame["doc_id"].array, "held_out": frame["held_out"].to_numpy(), "n_tokens": ends - starts,
                 "heavy_n": np.add.reduceat((~rare).astype(np.int64), starts),
                 "heavy_log": np.add.reduceat(np.where(rare, 0.0, np.log10(np.maximum(exact, 0) + 1.0)), starts),
                 "score": score, "rare": [keys[s:e][rare[s:e]] for s, e in zip(starts, ends)]})
