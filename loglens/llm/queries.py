@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from . import bpe, lm, pages, simhash, toxicity
+from . import ann, bpe, chat, lm, mixing, pages, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_byte_bpe": bpe.query,
+    "op3_mix": mixing.query,
     "op4_simhash": simhash.query,
+    "op5_shards": sharding.query,
     "op6_toxicity": toxicity.query,
+    "op7_chat_rotation": chat.query,
+    "op8_permutation_index": ann.query,
     "op9_page_text": pages.query,
     "op10_lm_score": lm.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_mix": mixing.SQL, "op7_chat_rotation": chat.SQL}
