@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from .common import table, whole_text
 
 #: Entries of a worker's memory of encoded pieces, and the longest that it keeps.
-CACHE_ENTRIES = 1 << 19
+CACHE_ENTRIES = 3 << 19
 CACHE_CHARS = 48
 #: Characters of texts that a worker encodes together (a longer text goes alone).
 TOGETHER = 1 << 20
@@ -58,8 +58,8 @@ class Encoder:
         for k, v in ranks.items():
             if len(k) == 2:
                 self.of_two[k[0] << 8 | k[1]] = v
-        self.cuttings: dict[str, bytes] = {}    # what stands between two spaces, with the space before it
-        self.pieces: dict[str, bytes] = {}      # pre-tokens
+        self.led: dict[str, bytes] = {}     # what stands between two spaces, with the space before it
+        self.bare: dict[str, bytes] = {}    # other pre-tokens
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out, some, size = [], [], 0
@@ -74,35 +74,38 @@ class Encoder:
     def _together(self, texts: list[str]) -> list[bytes]:
         cut = [t.split(" ") if self.cuts and not _SPACES(t) else None for t in texts]
         whole = [t if c is None else c[0] for t, c in zip(texts, cut)]      # no space before these
-        known = self._known({x for c in cut if c for x in c[1:]}, set(whole))
-        return [b"".join([known[""][w], *map(known[" "].__getitem__, c[1:] if c else ())]) for w, c in zip(whole, cut)]
-
-    def _known(self, cuttings: set[str], whole: set[str]) -> dict[str, dict[str, bytes]]:
-        """Ids of all cuttings (key: space) and of all whole texts (key: empty)."""
-        if len(self.cuttings) + len(cuttings) > CACHE_ENTRIES:
-            self.cuttings.clear()
-        new = [c for c in cuttings if c not in self.cuttings]
-        split = [self.split(" " + c) for c in new]
-        split_whole = {w: self.split(w) for w in whole}
-        if len(self.pieces) > CACHE_ENTRIES:
-            self.pieces.clear()
-        missing = {p for ps in split for p in ps} | {p for ps in split_whole.values() for p in ps}
-        missing = [p for p in missing if p not in self.pieces]
-        made = dict(zip(missing, self.merge([p.encode("utf-8", "surrogatepass") for p in missing])))
-        self.pieces.update(made)
-        ids = self.pieces.__getitem__
-        self.cuttings.update((c, b"".join(map(ids, ps))) for c, ps in zip(new, split))
-        out = {"": {w: b"".join(map(ids, ps)) for w, ps in split_whole.items()}, " ": self.cuttings}
-        for p in missing:
-            if len(p) > CACHE_CHARS:
-                del self.pieces[p]
-        long = [c for c in new if len(c) > CACHE_CHARS]
-        if long:
-            out[" "] = dict(self.cuttings)
-            for c in long:
-                del self.cuttings[c]
+        whole_ids, long = self._learn({x for c in cut if c for x in c[1:]}, set(whole))
+        out = [b"".join([whole_ids[w], *map(self.led.__getitem__, c[1:] if c else ())]) for w, c in zip(whole, cut)]
+        for x in long:
+            self.led.pop(x, None)
+            self.bare.pop(x, None)
         return out
 
+    def _learn(self, cuttings: set[str], whole: set[str]) -> tuple[dict[str, bytes], list[str]]:
+        """Have ``led`` hold all cuttings. Returns the ids of all whole texts, and what is too long to remember."""
+        for kept in (self.led, self.bare):
+            if len(kept) > CACHE_ENTRIES:
+                kept.clear()
+        led, bare = self.led, self.bare
+        new = [c for c in cuttings if c not in led]
+        # letters after one space are one pre-token, so they need no pattern
+        split = {c: self.split(" " + c) for c in new if not (self.cuts and c.isalpha())}
+        split_whole = {w: self.split(w) for w in whole}
+        pieces = {p for ps in (*split.values(), *split_whole.values()) for p in ps}
+        after_space = {p[1:] for p in pieces if self.cuts and p[0] == " " and p[1:].isalpha()}
+        after_space.update(c for c in new if c not in split)
+        todo = [(led, x, " " + x) for x in after_space if x not in led]
+        todo += [(bare, p, p) for p in pieces if not (self.cuts and p[0] == " " and p[1:].isalpha()) and p not in bare]
+        for (kept, x, _), ids in zip(todo, self.merge([p.encode("utf-8", "surrogatepass") for _, _, p in todo])):
+            kept[x] = ids
+
+        def join(ps: list[str]) -> bytes:
+            return b"".join(led[p[1:]] if self.cuts and p[0] == " " and p[1:].isalpha() else bare[p] for p in ps)
+
+        led.update([(c, join(ps)) for c, ps in split.items()])
+        long = [c for c in new if len(c) > CACHE_CHARS] + [x for _, x, p in todo if len(p) > CACHE_CHARS]
+        return {w: join(ps) for w, ps in split_whole.items()}, long
+
     def merge(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of each piece."""
         packed = self.packed
