@@ -12,6 +12,7 @@ witness of the template, and is not used.
 
 Order and pairing use narrow rows (host, path, hashes of lines): a global range sort, an index from
 partition sizes, and a join on it, so a host with a third of all pages is spread over many tasks.
+Pages are cut once for their hashes and again for their lines, which saves storing all lines.
 
 Defined results: null html is an empty page with empty text; a null or odd URL has an empty host
 and sorts first; repeated rows each get their row; without a neighbour only the markup decides.
@@ -135,58 +136,59 @@ def shared(own: list[int], other: list[int]) -> list[bool]:
     return out
 
 
-def template(own: list[int], zones: list[int], others: list[list[int]]) -> list[bool]:
-    """Which lines a neighbour shows to be template."""
+def deleted(own: list[int], others: list[list[int]]) -> list[bool]:
+    """Which lines (hash, and zone in the low bit) a neighbour shows to be template."""
     out = [False] * len(own)
     for other in others:
         common = shared(own, other)
-        if any(z == OPEN and not c for z, c in zip(zones, common)):     # else a copy of the page
-            out = [a or b for a, b in zip(out, common)]
+        if any(x & 1 == OPEN and not c for x, c in zip(own, common)):   # else a copy of the page
+            out = [a or (b and x & 1 == OPEN) for a, b, x in zip(out, common, own)]
     return out
 
 
-def _lines(html: pd.Series) -> pd.DataFrame:
-    found = [lines(h) for h in html]
-    return pd.DataFrame({"lines": [[t for t, _ in f] for f in found], "zones": [[z for _, z in f] for f in found],
-                         "hashes": [[xxhash.xxh64_intdigest(t) - (1 << 63) for t, _ in f] for f in found]})
+def _items(html: pd.Series) -> pd.Series:
+    return pd.Series([[(xxhash.xxh64_intdigest(t) & ~1 | z) - (1 << 63) for t, z in lines(h) if z != AROUND] for h in html], dtype=object)
 
 
-def _template(hashes: pd.Series, zones: pd.Series, before: pd.Series, after: pd.Series) -> pd.Series:
-    return pd.Series([template(list(h), list(z), [list(o) for o in (b, a) if o is not None and len(o)])
-                      for h, z, b, a in zip(hashes, zones, before, after)], dtype=object)
+def _text(html: pd.Series) -> pd.Series:
+    return pd.Series(["\n".join(t for t, z in lines(h) if z != AROUND) for h in html], dtype=object)
+
+
+def _deleted(items: pd.Series, before: pd.Series, after: pd.Series) -> pd.Series:
+    return pd.Series([deleted(x.tolist(), [o.tolist() for o in (b, a) if o is not None and len(o)]) for x, b, a in zip(items, before, after)], dtype=object)
 
 
 def neighbours(rows: DataFrame) -> DataFrame:
-    """Add ``before`` and ``after``: the hashes of the nearest pages by path on the same host, null if none."""
+    """page, items, and the items of the nearest pages by path on the same host: before, after (null if none)."""
     spark = rows.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = ["host", "path", "row"]
-    sorted_rows = staged(rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
-                         .withColumn("part", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))), "sorted")
-    offset, offsets = 0, {}
-    for r in sorted_rows.groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect():   # one number a partition
-        offsets[r["part"]] = offset
+    order = ["host", "path", "page"]
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    by_url = staged(rows.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()).withColumn("place", place).drop("path"), "by-url")
+    offset, offsets = 0, []
+    for r in by_url.groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect():     # one number a partition
+        offsets += [F.lit(r["part"]), F.lit(offset)]
         offset += r["n"]
-    start = F.element_at(F.create_map(*[F.lit(x) for kv in offsets.items() for x in kv]), F.col("part")) if offsets else F.lit(0)
-    at = staged(sorted_rows.withColumn("index", (start + F.col("place")).cast("long")).drop("part", "place"), "indexed")
-    side = lambda step, name: at.select((F.col("index") + step).alias("index"), F.col("host").alias(f"{name}_host"), F.col("hashes").alias(name))
+    start = F.element_at(F.create_map(*offsets), F.col("part")) if offsets else F.lit(0)
+    at = by_url.select((start + F.col("place")).cast("long").alias("index"), "page", "host", "items")
+    side = lambda step, name: at.select((F.col("index") + step).alias("index"), F.col("host").alias(f"{name}_host"), F.col("items").alias(name))
     both = at.join(side(1, "before"), "index", "left").join(side(-1, "after"), "index", "left")
     own = lambda name: F.when(F.col(f"{name}_host") == F.col("host"), F.col(name)).alias(name)
-    return both.select("row", "hashes", "zones", own("before"), own("after"))
+    return both.select("page", "items", own("before"), own("after"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text of every row of ``pages``."""
+    """page_id, url, text of every row of ``pages``. Equal rows are one page and get the same text."""
+    own = pages.select("page_id", "url", whole_text("html").alias("html"), F.xxhash64("page_id", "url", "html").alias("page"))
     url = whole_text("url")
     host = F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1))
     path = F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://)?[^/?#]*([^?#]*)", 1)
-    cut_lines = F.pandas_udf(_lines, "lines array<string>, zones array<int>, hashes array<long>")
-    find_template = F.pandas_udf(_template, "array<boolean>")
-    cut = staged(pages.select("page_id", "url", cut_lines(whole_text("html")).alias("x"), host.alias("host"), path.alias("path"))
-                 .select(F.monotonically_increasing_id().alias("row"), "page_id", "url", "host", "path", "x.*"), "lines")
-    marks = neighbours(cut.select("row", "host", "path", "zones", "hashes")).select("row", find_template("hashes", "zones", "before", "after").alias("template"))
-    keep = F.expr("filter(lines, (t, i) -> zones[i] = 1 or (zones[i] = 0 and not template[i]))")
-    return cut.drop("hashes", "host", "path").join(marks, "row").select("page_id", "url", F.array_join(keep, "\n").alias("text"))
+    items, text, find = F.pandas_udf(_items, "array<long>"), F.pandas_udf(_text, "string"), F.pandas_udf(_deleted, "array<boolean>")
+    paired = neighbours(own.select("page", host.alias("host"), path.alias("path"), items("html").alias("items")))
+    marks = paired.select("page", find("items", "before", "after").alias("deleted")).groupBy("page").agg(F.min("deleted").alias("deleted"))
+    cut = own.select("page_id", "url", "page", text("html").alias("text")).join(marks, "page")
+    left = F.expr("array_join(filter(split(text, '\n'), (t, i) -> not deleted[i]), '\n')")
+    return cut.select("page_id", "url", F.when(F.col("text") == "", "").otherwise(left).alias("text"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
