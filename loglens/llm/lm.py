@@ -42,8 +42,8 @@ BITS_PER_ENTRY = 12
 LEAST_PAIR = 2              # pairs seen once are smoothed as unseen
 HEAVY_WORDS = 1 << 19       # words whose exact counts are broadcast: 12 bytes each
 BUCKET_TOKENS = 1 << 21     # tokens for each bucket of the key space, on average
-CHUNK_TOKENS = 1 << 22      # tokens that a task gathers before it counts them
-VOCABULARY = 1 << 19        # words that a task remembers
+CHUNK_TOKENS = 1 << 20      # tokens that a task gathers before it counts them
+VOCABULARY = 1 << 18        # words that a task remembers
 TOGETHER = 1 << 21          # characters of texts that a task works on at a time
 TUNE_DOCS = 400
 GRID = list(product((0.02, 0.1, 0.5, 1.0), (2.0, 20.0, 200.0, 2000.0, 20000.0, 1e6)))
