@@ -40,6 +40,19 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def keyed(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` with a 64-bit key of each row's values, and the key's name. Equal rows share their key."""
+    name = fresh(df, "row_key")
+    values = [F.col(f"`{c}`").cast("string") if "map<" in kind else F.col(f"`{c}`") for c, kind in df.dtypes]
+    return df.withColumn(name, F.xxhash64(*values)), name
+
+
+def numbered(df: DataFrame, key: str) -> tuple[DataFrame, str]:
+    """``df`` with the number, from 1, of each row among those of its key, and that column's name."""
+    name = fresh(df, "row_number")
+    return df.withColumn(name, F.row_number().over(W.partitionBy(key).orderBy(key))), name
+
+
 def whole_text(col: str | Column) -> Column:
     """The text, null as the empty string."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))

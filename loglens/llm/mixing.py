@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, prefix_sums, staged, table, whole_text
+from .common import WORD, fresh, keyed, numbered, prefix_sums, staged, table, whole_text
 
 REPEATS = 3                 # a source's words are used so often at most
 SLOTS, BLOCK = 1 << 16, 1024            # slots wanted for small inputs, and words of a slot at most
@@ -70,13 +70,13 @@ def slots(shares: DataFrame, block: int, n_slots: int) -> DataFrame:
     return ranked.unionByName(tail.select((F.lit(n_slots) + F.col("rank")).alias("slot"), "key", "rank"))
 
 
-def mix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def mix(docs: DataFrame, also: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """The rows (row, doc_id, key, size, source_size, target) and the mix (slot, key, row, from_word, n_words).
 
-    ``docs``: doc_id, source, size. ``from_word`` counts from the start of the row's document."""
+    ``docs``: doc_id, source, size, and columns ``also`` that the rows keep. ``from_word`` counts from the start of the row's document."""
     key = F.coalesce(F.concat(F.lit("0"), "source"), F.lit("1"))        # sorts like the source, null last
     order = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    rows = staged(docs.select("doc_id", key.alias("key"), F.col("size").cast("long").alias("size"), order.alias("order"), F.monotonically_increasing_id().alias("row")), "sized")
+    rows = staged(docs.select(*also, "doc_id", key.alias("key"), F.col("size").cast("long").alias("size"), order.alias("order"), F.monotonically_increasing_id().alias("row")), "sized")
     n, total = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     block = max(1, min(BLOCK, total // SLOTS))
     shares = staged(sources(rows), "sources")
@@ -94,20 +94,32 @@ def mix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return placed, mixed
 
 
-def taken(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target, taken of every row of ``docs`` (doc_id, source, size)."""
-    rows, mixed = mix(docs)
+def taken(docs: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, size, source_size, target, taken, and the columns ``also``, of every row of ``docs`` (doc_id, source, size)."""
+    rows, mixed = mix(docs, also)
     per_row = mixed.groupBy("row").agg(F.sum("n_words").alias("taken"))
-    return rows.join(per_row, "row", "left").select("row", "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    return rows.join(per_row, "row", "left").select(*also, "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size: the words of each whole text."""
-    return docs.select("doc_id", "source", F.regexp_count(whole_text("text"), F.lit(WORD)).cast("long").alias("size"))
+def sized(docs: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, source, size (the words of each whole text), and the columns ``also``."""
+    return docs.select(*also, "doc_id", "source", F.regexp_count(whole_text("text"), F.lit(WORD)).cast("long").alias("size"))
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes its words, rounded to whole documents."""
+    rows, key = keyed(docs)
+    narrow = rows.select("doc_id", "source", "text", F.col(key).alias("document"))
+    words = taken(sized(narrow, ("document",)), ("document",))
+    times = words.groupBy(F.col("document").alias(key)).agg(F.round(F.sum("taken") / F.max("size")).cast("int").alias("times")).where("times > 0")
+    copies = fresh(rows, "times")
+    one, number = numbered(rows.join(times.withColumnRenamed("times", copies), key), key)
+    each = F.explode(F.sequence(F.lit(1), F.col(copies)))
+    return one.where(F.col(number) == 1).withColumn(copies, each).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return taken(sized(table(spark, sf_dir, "documents"))).drop("row")
+    return taken(sized(table(spark, sf_dir, "documents")))
 
 
 #: The same rows in closed form: a document is gone through as often as its source's target says.

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, chat, lm, mixing, pages, sharding, simhash, toxicity
+from . import ann, bpe, chat, lm, mixing, pages, quality, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_byte_bpe": bpe.query,
+    "op2_quality_rules": quality.query,
     "op3_mix": mixing.query,
     "op4_simhash": simhash.query,
     "op5_shards": sharding.query,

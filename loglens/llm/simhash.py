@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import staged, table, whole_text
+from .common import keyed, numbered, staged, table, whole_text
 
 SEED = 42
 #: Shingles whose bits are laid out at a time: 64 bytes each.
@@ -114,17 +114,28 @@ def components(edges: DataFrame) -> DataFrame | None:
     return roots
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 2) -> DataFrame:
-    """doc_id, fingerprint (long), component_id (smallest doc_id reachable) of every row of ``docs``."""
-    own = staged(fingerprints(docs.select("doc_id", "text"), shingle).select("doc_id", "fingerprint"), "fingerprints")
+def near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 2, also: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fingerprint (long), component_id (smallest doc_id reachable) of every row of ``docs``.
+
+    Also ``root``, a fingerprint that names the component, and the columns ``also`` of ``docs``."""
+    own = staged(fingerprints(docs.select("doc_id", "text", *also), shingle).select("doc_id", "fingerprint", *also), "fingerprints")
     classes = own.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"))
     roots = components(links(classes.select("fingerprint"), max_distance))
-    if roots is None:
-        return own.join(classes, "fingerprint").select("doc_id", "fingerprint", F.col("first_id").alias("component_id"))
-    rooted = classes.join(roots, classes.fingerprint == roots.node, "left").select("fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root"))
+    rooted = classes.withColumn("root", F.col("fingerprint"))
+    if roots is not None:
+        rooted = classes.join(roots, classes.fingerprint == roots.node, "left").select("fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = staged(rooted.join(least, "root").select("fingerprint", "component_id"), "components")
-    return own.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    named = staged(rooted.join(least, "root").select("fingerprint", "component_id", "root"), "components")
+    return own.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id", "root", *also)
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, max_distance: int = 2) -> DataFrame:
+    """One row of each component, that with the smallest id, with all columns of ``docs``."""
+    rows, key = keyed(docs)
+    found = near_duplicates(rows.select("doc_id", "text", F.col(key).alias("row")), shingle, max_distance, also=("row",))
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
+    stay, number = numbered(rows.join(first.select(F.col("first.row").alias(key)), key, "left_semi"), key)
+    return stay.where(F.col(number) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
