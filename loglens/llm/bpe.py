@@ -15,6 +15,7 @@ columns stay. Every row is encoded on its own, so ties and repeated rows need no
 from __future__ import annotations
 
 import base64
+import gc
 import re
 from functools import lru_cache
 
@@ -63,19 +64,24 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out, some, size = [], [], 0
-        for t in texts:
-            some.append(t)
-            size += len(t)
-            if size >= TOGETHER:
-                out += self._together(some)
-                some, size = [], 0
-        return out + self._together(some)
+        gc.disable()                        # there are no cycles, only very many short strings
+        try:
+            for t in texts:
+                some.append(t)
+                size += len(t)
+                if size >= TOGETHER:
+                    out += self._together(some)
+                    some, size = [], 0
+            return out + self._together(some)
+        finally:
+            gc.enable()
 
     def _together(self, texts: list[str]) -> list[bytes]:
         cut = [t.split(" ") if self.cuts and not _SPACES(t) else None for t in texts]
         whole = [t if c is None else c[0] for t, c in zip(texts, cut)]      # no space before these
         whole_ids, long = self._learn({x for c in cut if c for x in c[1:]}, set(whole))
-        out = [b"".join([whole_ids[w], *map(self.led.__getitem__, c[1:] if c else ())]) for w, c in zip(whole, cut)]
+        ids = self.led.__getitem__
+        out = [b"".join([whole_ids[w], *map(ids, c[1:])]) if c and len(c) > 1 else whole_ids[w] for w, c in zip(whole, cut)]
         for x in long:
             self.led.pop(x, None)
             self.bare.pop(x, None)
@@ -92,19 +98,16 @@ class Encoder:
         split = {c: self.split(" " + c) for c in new if not (self.cuts and c.isalpha())}
         split_whole = {w: self.split(w) for w in whole}
         pieces = {p for ps in (*split.values(), *split_whole.values()) for p in ps}
-        after_space = {p[1:] for p in pieces if self.cuts and p[0] == " " and p[1:].isalpha()}
-        after_space.update(c for c in new if c not in split)
-        todo = [(led, x, " " + x) for x in after_space if x not in led]
-        todo += [(bare, p, p) for p in pieces if not (self.cuts and p[0] == " " and p[1:].isalpha()) and p not in bare]
+        after_space = {p: p[1:] for p in pieces if self.cuts and p[0] == " " and p[1:].isalpha()}
+        todo = [(led, x, " " + x) for x in {*after_space.values(), *(c for c in new if c not in split)} if x not in led]
+        todo += [(bare, p, p) for p in pieces if p not in after_space and p not in bare]
         for (kept, x, _), ids in zip(todo, self.merge([p.encode("utf-8", "surrogatepass") for _, _, p in todo])):
             kept[x] = ids
-
-        def join(ps: list[str]) -> bytes:
-            return b"".join(led[p[1:]] if self.cuts and p[0] == " " and p[1:].isalpha() else bare[p] for p in ps)
-
-        led.update([(c, join(ps)) for c, ps in split.items()])
+        ids_of = {p: led[after_space[p]] if p in after_space else bare[p] for p in pieces}.__getitem__
+        for c, ps in split.items():
+            led[c] = b"".join(map(ids_of, ps))
         long = [c for c in new if len(c) > CACHE_CHARS] + [x for _, x, p in todo if len(p) > CACHE_CHARS]
-        return {w: join(ps) for w, ps in split_whole.items()}, long
+        return {w: b"".join(map(ids_of, ps)) for w, ps in split_whole.items()}, long
 
     def merge(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of each piece."""
@@ -205,20 +208,35 @@ def _encoder(data: bytes, pattern: str) -> Encoder:
     return Encoder(read_ranks(data), pattern, pattern == public_tokenizers.PATTERN)
 
 
-@lru_cache(maxsize=4)
-def _vocabulary(data: bytes) -> list[bytes | None]:
-    ranks = read_ranks(data)
-    out: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
-    for token, rank in ranks.items():
-        out[rank] = token
-    return out
+class Decoder:
+    """Ids -> bytes, from one long run of all tokens' bytes."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        n = max(ranks.values(), default=-1) + 1
+        self.size = np.full(n, -1, np.int64)        # -1: no such id
+        self.start = np.zeros(n, np.int64)
+        self.blob = np.frombuffer(b"".join(ranks), np.uint8)
+        at = 0
+        for token, rank in ranks.items():
+            self.size[rank], self.start[rank] = len(token), at
+            at += len(token)
+
+    def decode(self, packed: bytes) -> bytes | None:
+        ids, out = np.frombuffer(packed, "<u4"), []
+        for at in range(0, len(ids), TOGETHER):
+            some = ids[at:at + TOGETHER]
+            if some.max() >= len(self.size) or (size := self.size[some]).min() < 0:
+                return None
+            ends = np.cumsum(size)
+            where = np.repeat(self.start[some] - ends + size, size)
+            where += np.arange(len(where))
+            out.append(self.blob[where].tobytes())
+        return b"".join(out)
 
 
-def _unpack(ids: bytes, vocabulary: list[bytes | None]) -> bytes | None:
-    try:
-        return b"".join(map(vocabulary.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-    except (IndexError, TypeError):         # an id that the vocabulary lacks
-        return None
+@lru_cache(maxsize=4)
+def _decoder(data: bytes) -> Decoder:
+    return Decoder(read_ranks(data))
 
 
 def _broadcast(spark: SparkSession, ranks_path: str):
@@ -246,8 +264,8 @@ def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: str =
 
     @F.pandas_udf(T.BinaryType())
     def decoded(ids: pd.Series) -> pd.Series:
-        vocabulary = _vocabulary(shared.value)
-        return pd.Series([None if x is None else _unpack(x, vocabulary) for x in ids], dtype=object)
+        decode_one = _decoder(shared.value).decode
+        return pd.Series([None if x is None else decode_one(x) for x in ids], dtype=object)
 
     return df.withColumn(out_col, decoded(F.col(ids_col)))
 
