@@ -27,7 +27,7 @@ from .common import WORD, fresh, keyed, numbered, prefix_sums, staged, table, wh
 REPEATS = 3                 # a source's words are used so often at most
 SLOTS, BLOCK = 1 << 16, 1024            # slots wanted for small inputs, and words of a slot at most
 CELLS = 4096                # of the grid
-ROWS = 4096                 # of a bucket of documents or slots, on average
+ROWS = 1024                 # of a bucket of documents or slots, on average
 _GOLDEN = 1327217885        # 2^31 / golden ratio, rounded to an odd number
 _UNIT = 1 << 31
 
