@@ -13,9 +13,17 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]"
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Send fewer whole texts at a time to Python workers than Spark's 10,000 rows, unless the session says otherwise."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, "1000")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given Parquet tables, by a path that only Spark has to understand."""
     ship_package(spark)
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -38,7 +38,8 @@ TERMS = 4096
 STEMS = (4, 5, 6)                       # letters of a prefix
 PRECISION, CHANCE = 0.9, 0.01
 WINDOW = 6
-WORDS, STEPS = 1 << 19, 1 << 18         # of a worker's memory
+WORDS, STEPS = 1 << 18, 1 << 18         # of a worker's memory
+KEYS = 1 << 18                          # counted in a task before they are sent on
 
 _QUOTES = "\"'“”„‟«»‹›‘’‚"
 _STRIP = _QUOTES + ".,;:!?()[]{}<>…|*#$%&_~`+=/\\-–—"
@@ -229,7 +230,7 @@ def _support(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             words = set(words)
             own.update((_WORD, w, "") for w in words)
             own.update((_STEM, p, "") for p in {w[:n] for w in words for n in STEMS if len(w) > n})
-        if len(seen[0]) + len(seen[1]) > 1 << 20:
+        if len(seen[0]) + len(seen[1]) > KEYS:
             yield flush()
     if seen[0] or seen[1]:
         yield flush()
