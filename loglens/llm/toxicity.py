@@ -51,7 +51,7 @@ _REPORTED = frozenset("said says say saying quote quoted quotes quoting wrote wr
 EXACT, PREFIX, MISSPELLED, TWICE = 1, 2, 3, 4
 _FEATURES = 4
 #: Prior mean of the bias and of the weights of exact, prefix, misspelled and quoted hits.
-_PRIOR = np.array([-3.0, 4.5, 4.5, 3.0, 1.0])
+_PRIOR = np.array([-3.0, 5.0, 5.0, 4.5, 1.0])
 
 
 def edits(term: str) -> int:
@@ -303,7 +303,7 @@ def _trusted(words: DataFrame, lexicon: list[tuple[str, bool, int]]) -> list[tup
 
     allowed = [e for _, _, e in lexicon]
     for r in words.mapInPandas(near, "term int, kind int, toxic long, clean long").groupBy("term", "kind").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).collect():
-        if r["clean"] > 1 and r["toxic"] < PRECISION * (r["toxic"] + r["clean"]):
+        if r["clean"] and r["toxic"] < PRECISION * (r["toxic"] + r["clean"]):
             allowed[r["term"]] = min(allowed[r["term"]], r["kind"] - MISSPELLED)
     return [(t, p, e) for (t, p, _), e in zip(lexicon, allowed)]
 
