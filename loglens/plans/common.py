@@ -25,6 +25,12 @@ def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_access_log(lines(spark, sf_dir))
 
 
+def parsed_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parsed log written once per application and input (S10): consumers read its columns pruned."""
+    from ..sources.files import materialize
+    return materialize(spark, lambda: parsed(spark, sf_dir), stage_path(spark, "parsed", sf_dir))
+
+
 def with_event_type(df: DataFrame) -> DataFrame:
     """The event type is the first url path segment of the stand-in log (``/<type>/<id>``)."""
     return df.withColumn("event_type", F.regexp_extract("url", r"^/([^/]+)/", 1))
@@ -32,11 +38,11 @@ def with_event_type(df: DataFrame) -> DataFrame:
 
 def parsed_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed log plus the event type (for keyed series)."""
-    return with_event_type(parsed(spark, sf_dir))
+    return with_event_type(parsed_stage(spark, sf_dir))
 
 
 def hourly(spark: SparkSession, sf_dir: str, keys: Sequence[str] = ()) -> DataFrame:
-    src = parsed_typed(spark, sf_dir) if keys else parsed(spark, sf_dir)
+    src = parsed_typed(spark, sf_dir) if keys else parsed_stage(spark, sf_dir)
     return windowed_traffic(drop_unparsed(src), keys=keys)
 
 
@@ -69,11 +75,14 @@ def staged(df: DataFrame) -> DataFrame:
 
 
 def stage_path(spark: SparkSession, name: str, sf_dir: str, keys: Sequence[str] = ()) -> str:
-    """Shared-folder path of a stage output for this application and input folder."""
+    """Shared-folder path of a stage output for this application and this state of the input:
+    rewritten input files (other names, lengths or times) get a new stage."""
     import hashlib
     from ..session import checkpoint_root
+    from ..sources.files import file_states
     app = spark.sparkContext.applicationId
-    tag = hashlib.sha1(f"{app}:{sf_dir}:{','.join(keys)}".encode()).hexdigest()[:12]
+    state = file_states(spark, f"{sf_dir}/events.parquet")
+    tag = hashlib.sha1(f"{app}:{sf_dir}:{','.join(keys)}:{state}".encode()).hexdigest()[:12]
     return f"{checkpoint_root(spark)}/loglens/stages/{name}-{tag}"
 
 

@@ -32,7 +32,7 @@ def q_parquet_roundtrip(spark, sf):
     "UNION ALL SELECT 'status_codes', CAST(status AS VARCHAR), count(*) FROM parsed GROUP BY status")))
 def q_write_collection(spark, sf):
     """Top addresses and status counts overwritten into two store collections, read back."""
-    p = common.parsed(spark, sf)
+    p = common.parsed_stage(spark, sf)
     root = scratch_path(spark, "store")
     top = files.write_collection(traffic.top_k(p, "ip", 10), "logs_db", "top_ips", root=root)
     st = files.write_collection(traffic.distribution(p, "status"), "logs_db", "status_codes", root=root)
@@ -84,8 +84,8 @@ def q_landing_manifest(spark, sf):
 def q_archive_ingest(spark, sf):
     """Zip archives (per day and id block; a folder entry and one member per event type) -> member lines."""
     root = scratch_path(spark, "archives")
-    landing.write_day_archives(stand_in.log_lines(spark, sf, with_ids=True), root).collect()
-    return landing.archive_ingest(spark, f"{root}/*.zip")
+    landing.write_day_archives(stand_in.log_lines(spark, sf, with_ids=True), root).write.format("noop").mode("overwrite").save()
+    return landing.archive_ingest(spark, f"{root}/*.zip").select("archive", "member", "line_no", "value")
 
 
 @register("stream_parse_log", O.with_ctes(*O.BASE, body=(
@@ -119,6 +119,17 @@ def q_stream_hourly_append(spark, sf):
                            "append")
 
 
+@register("stream_hourly_update", O.with_ctes(*O.HOURLY_CTES, body="SELECT * FROM hourly"))
+def q_stream_hourly_update(spark, sf):
+    """Update mode, a few files per trigger: each batch writes its changed windows, the newest row of
+    each window is read (T2). The watermark is as long as the log, so files may land in any order."""
+    land = stand_in.write_log_files(spark, sf, scratch_path(spark, "landing"), by_day=True)
+    stream = landing.landing_stream(spark, f"{land}/*", max_files_per_trigger=16)
+    agg = logstream.stream_hourly_traffic(stream, "3660 days")
+    return logstream.drain(spark, agg, scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt"),
+                           "update")
+
+
 @register("stream_hourly_by_type", O.with_ctes(*O.HOURLY_CTES[:2], O.HOURLY_KEYED, body="SELECT * FROM hourly_k"))
 def q_stream_hourly_by_type(spark, sf):
     """Keyed streaming state: hourly windows per event type (taken from the url path)."""

@@ -57,7 +57,7 @@ def q_parse_log_time(spark, sf):
     "WHERE event_time IS NOT NULL")))
 def q_drop_unparsed(spark, sf):
     """Parsed log restricted to rows with a timestamp."""
-    return traffic.drop_unparsed(common.parsed(spark, sf))
+    return traffic.drop_unparsed(common.parsed_stage(spark, sf))
 
 
 @register("top_ips", O.with_ctes(*O.BASE, body=(

@@ -32,9 +32,12 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 partition_by: Iterable[str] = ()) -> str:
-    """Parquet write, overwrite by default; optional partition columns for pruning."""
-    w = df.write.mode(mode)
+    """Parquet write, overwrite by default; optional partition columns for pruning.
+
+    With partition columns the rows are first clustered by them, large values split and
+    small ones merged by size, so that a value gets few files and no task a whole hot value."""
     cols = list(partition_by)
+    w = (df.hint("rebalance", *cols) if cols else df).write.mode(mode)
     if cols:
         w = w.partitionBy(*cols)
     w.parquet(path)
@@ -42,8 +45,9 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def write_metrics(df: DataFrame, path: str) -> str:
-    """One-file JSON, overwritten (S3). Metric records are one row per model (and series)."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    """JSON, overwritten (S3). Metric records are one row per model (and series); small
+    partitions are merged by size, so a few records make one file and many series several."""
+    df.hint("rebalance").write.mode("overwrite").json(path)
     return path
 
 
@@ -115,6 +119,31 @@ def make_dirs(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is directly in ``path``; none if it does not exist."""
+    fs, p = _hadoop_fs(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop_fs(spark, path)
+    fs.delete(p, True)
+
+
+def qualify(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme and authority that the session's Hadoop configuration gives it."""
+    fs, p = _hadoop_fs(spark, path)
+    return fs.makeQualified(p).toString()
+
+
+def file_states(spark: SparkSession, path: str) -> str:
+    """Name, length and modification time of the file at ``path`` or of the files in that folder."""
+    fs, p = _hadoop_fs(spark, path)
+    if not fs.exists(p):
+        return ""
+    return ";".join(sorted(f"{f.getPath().getName()},{f.getLen()},{f.getModificationTime()}" for f in fs.listStatus(p)))
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """A stage output is complete when its ``_SUCCESS`` marker exists."""
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS")

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .files import qualify
+
 
 def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None,
                    clean_source: str | None = None, archive_dir: str | None = None) -> DataFrame:
@@ -57,16 +59,24 @@ def _open_binary(path: str):
         return open(p, "rb")
     if "://" not in path:
         return open(path, "rb")
-    from pyarrow import fs as pafs
-    filesystem, inner = pafs.FileSystem.from_uri(path)
+    filesystem, inner = _arrow_fs(path)
     return filesystem.open_input_file(inner)
 
 
+def _arrow_fs(uri: str):
+    """pyarrow's filesystem and inner path; Hadoop's names for S3 are mapped to pyarrow's."""
+    from pyarrow import fs as pafs
+    scheme, rest = uri.split("://", 1)
+    return pafs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}")
+
+
 MEMBER_SCHEMA = T.StructType([T.StructField("archive_path", T.StringType()),
                               T.StructField("member", T.StringType()),
                               T.StructField("member_size", T.LongType())])
 LINE_SCHEMA = T.StructType([T.StructField("archive", T.StringType()), T.StructField("member", T.StringType()),
-                            T.StructField("line_no", T.LongType()), T.StructField("value", T.StringType())])
+                            T.StructField("line_no", T.LongType()), T.StructField("value", T.StringType()),
+                            T.StructField("archive_path", T.StringType()),
+                            T.StructField("member_path", T.StringType())])
 
 
 def _list_members(it):
@@ -93,20 +103,25 @@ def _read_members(batch_rows: int):
                         line = raw.rstrip(b"\n")
                         if line.endswith(b"\r"):
                             line = line[:-1]
-                        buf.append((arch, base, n, line.decode("utf-8", errors="replace")))
+                        buf.append((arch, base, n, line.decode("utf-8", errors="replace"), path, member))
                         if len(buf) >= batch_rows:
-                            yield pd.DataFrame(buf, columns=["archive", "member", "line_no", "value"])
+                            yield pd.DataFrame(buf, columns=LINE_SCHEMA.names)
                             buf = []
                 if buf:
-                    yield pd.DataFrame(buf, columns=["archive", "member", "line_no", "value"])
+                    yield pd.DataFrame(buf, columns=LINE_SCHEMA.names)
     return fn
 
 
+#: Bytes of members for each task, about.
+MEMBER_BYTES = 128 << 20
+
+
 def archive_ingest(spark: SparkSession, pattern: str, partitions: int | None = None,
                    batch_rows: int = 20000) -> DataFrame:
     """Every regular member of every zip archive -> rows ``(archive, member, line_no, value)``.
 
-    Directory entries are skipped and member names reduced to their base name. Only
+    Directory entries are skipped and member names reduced to their base name; the full
+    paths are in ``archive_path`` and ``member_path``, which tell equal base names apart. Only
     archive *paths* travel through Spark (``binaryFile`` with content pruned): a task
     lists each archive's central directory, members are spread over tasks, and each
     member is streamed line by line on an executor, so no archive or member is ever
@@ -114,7 +129,10 @@ def archive_ingest(spark: SparkSession, pattern: str, partitions: int | None = N
     """
     paths = spark.read.format("binaryFile").load(pattern).select("path")
     members = paths.mapInPandas(_list_members, MEMBER_SCHEMA)
-    n = partitions or spark.sparkContext.defaultParallelism
+    n = partitions
+    if not n:       # from the members' sizes, which the central directories list
+        n_bytes = members.agg(F.sum("member_size")).first()[0] or 0
+        n = max(spark.sparkContext.defaultParallelism, -(-n_bytes // MEMBER_BYTES))
     members = members.repartition(n, "archive_path", "member")
     return members.mapInPandas(_read_members(batch_rows), LINE_SCHEMA)
 
@@ -130,8 +148,7 @@ def _write_bytes(target: str, data: bytes) -> None:
         with open(local, "wb") as fh:
             fh.write(data)
         return
-    from pyarrow import fs as pafs
-    filesystem, inner = pafs.FileSystem.from_uri(target)
+    filesystem, inner = _arrow_fs(target)
     with filesystem.open_output_stream(inner) as out:
         out.write(data)
 
@@ -161,6 +178,7 @@ def write_day_archives(lines: DataFrame, root: str, members_col: str = "event_ty
     """Stand-in archives: one zip per (day, block of ``block`` event ids), each with a
     ``logs/`` folder entry and one member per ``members_col`` value, lines in
     ``event_id`` order. Test input only."""
+    root = qualify(lines.sparkSession, root)    # a path without a scheme may be on HDFS
     df = lines.select(F.date_format("ts", "yyyy-MM-dd").alias("day"),
                       F.floor(F.col("event_id") / block).alias("block"), "event_id", members_col, "value")
     return df.groupBy("day", "block").applyInPandas(_write_zip_fn(root, members_col),

@@ -1,7 +1,7 @@
 """Physical plan shape: pruning, partial aggregation, top-k, window partitioning."""
 
 from loglens.operators import series, traffic
-from loglens.plans import common
+from loglens.plans import QUERIES, common
 from tests.conftest import SF_MID
 
 
@@ -10,9 +10,11 @@ def _plan(df) -> str:
 
 
 def test_scan_prunes_columns(spark):
-    p = _plan(common.hourly(spark, SF_MID))
+    p = _plan(common.parsed(spark, SF_MID))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in p
     assert "props" not in p
+    # the hourly series reads two columns of the parsed stage
+    assert "ReadSchema: struct<bytes:bigint,event_time:timestamp_ntz>" in _plan(common.hourly(spark, SF_MID))
 
 
 def test_partial_aggregation_before_shuffle(spark):
@@ -57,3 +59,11 @@ def test_partitioned_parsed_table_prunes_days(spark):
     assert "PartitionFilters: [isnotnull(event_date" in plan and "2024-01-05" in plan
     assert "ReadSchema: struct<ip:string,status:int>" in plan
     assert one_day.count() > 0
+
+
+def test_unused_fields_are_not_parsed(spark):
+    """Top addresses need one field of the parse; both collections read the written parse."""
+    plan = QUERIES["top_ips"](spark, SF_MID)._jdf.queryExecution().optimizedPlan().toString()
+    assert " AS ip#" in plan and " AS user_agent#" not in plan and " AS url#" not in plan
+    status = _plan(traffic.distribution(common.parsed_stage(spark, SF_MID), "status"))
+    assert "ReadSchema: struct<status:int>" in status and "regexp" not in status

@@ -52,7 +52,9 @@ def test_archive_ingest_skips_dirs_and_uses_base_names(spark):
         zf.writestr("y.txt", b"only\n")
     with open(os.path.join(root, "one.zip"), "wb") as fh:
         fh.write(buf.getvalue())
-    rows = sorted(tuple(r) for r in landing.archive_ingest(spark, root + "/*.zip").collect())
+    full = landing.archive_ingest(spark, root + "/*.zip").collect()
+    rows = sorted(tuple(r)[:4] for r in full)
+    assert {r.member_path for r in full} == {"a/b/x.log", "y.txt"} and {r.archive_path[-8:] for r in full} == {"/one.zip"}
     assert rows == [("one.zip", "x.log", 1, "l1"), ("one.zip", "x.log", 2, "l2"), ("one.zip", "x.log", 3, "l3"),
                     ("one.zip", "y.txt", 1, "only")]
 
@@ -90,3 +92,19 @@ def test_ship_package_zips_the_library_once(spark):
     with zipfile.ZipFile(path[5:] if path.startswith("file:") else path) as zf:
         names = set(zf.namelist())
     assert {"loglens/__init__.py", "loglens/plans/registry.py", "loglens/operators/lsq.py"} <= names
+
+
+def test_object_store_paths():
+    from pyarrow import fs as pafs
+    for scheme in ("s3a", "s3"):
+        filesystem, inner = landing._arrow_fs(f"{scheme}://bucket/folder/x.zip?region=us-east-1")
+        assert isinstance(filesystem, pafs.S3FileSystem) and inner == "bucket/folder/x.zip"
+
+
+def test_rewritten_input_gets_a_new_stage(spark):
+    from loglens.plans import common
+    root = tempfile.mkdtemp(prefix="loglens-stage-")
+    path = common.stage_path(spark, "parsed", root)
+    spark.range(3).write.parquet(f"{root}/events.parquet")
+    other = common.stage_path(spark, "parsed", root)
+    assert path != other and other == common.stage_path(spark, "parsed", root)
