@@ -2,17 +2,18 @@
 
 The reference trains an LSTM on the seasonal model's in-sample residuals. Here the
 correction is a penalised (ridge / elastic net / lasso) autoregression on the
-scaled, clipped residuals (the same inputs and the same lookback rule), and the multi-step correction is a fold over
-the horizon written with Spark's higher-order array functions, so it runs inside
-the JVM per series without any Python.
+scaled, clipped residuals (the same inputs and the same lookback rule); the multi-step
+correction is a recursion over the horizon of each series, one row a series.
 """
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import decay
 from .ridge import L1_RATIOS, RIDGE_GRID, fit_ridge_validated
@@ -64,6 +65,28 @@ def fit_residual_corrector(resid: DataFrame, n_train: DataFrame, order: str, key
     return tail.join(models.drop("lookback"), on=keys, how="left").join(lookback, on=keys, how="inner")
 
 
+def _recursion(keys):
+    """One row a series -> its scaled predictions; a step costs the same at any horizon."""
+    def one(r) -> list:
+        if r["coef"] is None:
+            return [0.0] * max(0, int(r["steps"]))
+        c0, used = float(r["coef"][0]), [float(c) for c in r["used"]]
+        win = deque((float("nan") if x is None else float(x) for x in r["win"]), maxlen=len(used) or 1)
+        out = []
+        for _ in range(int(r["steps"])):
+            p = c0 + sum(c * x for c, x in zip(used, win))
+            win.append(p)
+            out.append(p)
+        return [None if p != p else p for p in out]
+
+    def fn(it):
+        for pdf in it:
+            if len(pdf):
+                pdf["preds"] = [one(r) for r in pdf.to_dict("records")]
+                yield pdf[[*keys, "resid_mean", "resid_std", "coef", "preds"]]
+    return fn
+
+
 def recursive_forecast(models: DataFrame, horizon: DataFrame, keys: Sequence[str],
                        rate: float = DECAY_RATE) -> DataFrame:
     """Feed each prediction back into the window for ``steps`` steps, invert the scaling
@@ -81,17 +104,12 @@ def recursive_forecast(models: DataFrame, horizon: DataFrame, keys: Sequence[str
     used = F.slice(coef, F.lit(2 + MAX_LOOKBACK) - L, L)
     win0 = F.slice(F.col("window"), F.lit(MAX_LOOKBACK + 1) - L, L)
 
-    def step(acc, _i):
-        p = F.element_at(coef, 1) + F.aggregate(F.zip_with(used, acc["win"], lambda c, x: c * x),
-                                                F.lit(0.0), lambda a, b: a + b)
-        return F.struct(F.concat(F.slice(acc["win"], 2, MAX_LOOKBACK), F.array(p)).alias("win"),
-                        F.concat(acc["preds"], F.array(p)).alias("preds"))
-
-    init = F.struct(win0.alias("win"), F.array().cast("array<double>").alias("preds"))
-    preds = F.aggregate(F.sequence(F.lit(1), F.col("steps")), init, step, lambda acc: acc["preds"])
+    fields = [m.schema[k] for k in keys] + [T.StructField("resid_mean", T.DoubleType()), T.StructField("resid_std", T.DoubleType()),
+                                            T.StructField("coef", T.ArrayType(T.DoubleType())), T.StructField("preds", T.ArrayType(T.DoubleType()))]
+    m = m.select(*keys, "resid_mean", "resid_std", "coef", "steps", used.alias("used"), win0.alias("win")).mapInPandas(
+        _recursion(keys), T.StructType(fields))
     sd = F.when(F.col("resid_std") == 0, F.lit(1.0)).otherwise(F.col("resid_std"))
-    out = m.select(*keys, F.when(coef.isNull() | (F.col("steps") <= 0), F.array_repeat(F.lit(0.0), F.col("steps")))
-                   .otherwise(preds).alias("preds"), sd.alias("_sd"), F.col("resid_mean").alias("_mu"),
+    out = m.select(*keys, "preds", sd.alias("_sd"), F.col("resid_mean").alias("_mu"),
                    coef.isNull().alias("_skip"))
     out = out.select(*keys, "_sd", "_mu", "_skip", F.posexplode("preds").alias("step", "p"))
     corr = F.when(F.col("_skip"), F.lit(0.0)).otherwise((F.col("p") * F.col("_sd") + F.col("_mu"))

@@ -4,10 +4,10 @@ of all series at once (J2, M8-M10).
 Not maximum likelihood: each candidate is fitted by two-stage (Hannan-Rissanen)
 least squares, which needs only lags, joins and aggregations:
 
-1. Every series row is copied once per differencing pair (d, sd) of the grid (four
-   copies); one window per (series, d, D) produces the differenced target
-   ``w = (1-B)^d (1-B^m)^D y``, its lags and the differenced exogenous inputs, all
-   as plain ``lag``s of the raw columns under a single sort.
+1. One window per series produces all lags of the raw columns; then every row is copied
+   once per differencing pair (d, sd) of the grid (four copies), where the differenced
+   target ``w = (1-B)^d (1-B^m)^D y``, its lags and the differenced exogenous inputs are
+   sums of those lags.
 2. Stage 1, a long autoregression of ``w`` on its first K lags and the inputs, gives
    innovations ``e`` (one Gram aggregation + one solve per (series, d, D), joined back).
 3. Stage 2 regresses ``w`` on the seasonal AR lags ``i + m*j``, the MA lags of ``e``
@@ -168,6 +168,28 @@ def _solve_candidates(keys, grid, ar_set, ma_set, n_exog, m):
     return fn
 
 
+def _solve_used(keys, k):
+    """Least squares on the regressors that are not all zero, rows with the same ones at once."""
+    def fn(it):
+        for pdf in it:
+            if pdf.empty:
+                continue
+            xtx = lsq.unpack_batch(np.stack(pdf["train_xtx"].to_numpy()), k)
+            xty = np.stack(pdf["train_xty"].to_numpy())
+            used = np.einsum("rii->ri", xtx) > 0
+            out = pdf[list(keys)].copy()
+            out["n_fit"] = pdf["train_n"].to_numpy()
+            coef = [None] * len(pdf)
+            for pattern in np.unique(used, axis=0):
+                rows = np.flatnonzero((used == pattern).all(axis=1))
+                beta, _ = lsq.solve_batch(xtx[rows], xty[rows], np.flatnonzero(pattern).tolist())
+                for r, b in zip(rows, beta):
+                    coef[r] = None if np.isnan(b).any() else b.tolist()
+            out["_coef"] = coef
+            yield out
+    return fn
+
+
 def fit_seasonal(df: DataFrame, order: str, y: str, exog: Sequence[str], keys: Sequence[str] = (),
                  split_col: str = "split", m: int = SEASONAL_PERIOD, grid=SEASONAL_GRID,
                  long_ar: int | None = None, stage=None, carry: Sequence[str] = ()) -> SeasonalFit:
@@ -188,14 +210,14 @@ def fit_seasonal(df: DataFrame, order: str, y: str, exog: Sequence[str], keys: S
     ma_set = ar_lags(max(grid["q"]), max(grid["sq"]), m)
     K = long_ar or (max(ar_set) + 2)
     pairs = sorted({(c["d"], c["sd"]) for c in grid_candidates(grid)})
-    x = df.select("*", F.explode(F.array(*[F.struct(F.lit(a).alias("d"), F.lit(b).alias("sd"))
-                                           for a, b in pairs])).alias("_dd")).select("*", "_dd.d", "_dd.sd").drop("_dd")
     gkeys = keys + ["d", "sd"]
-    w = Window.partitionBy(*gkeys).orderBy(order)
+    w1, w = (Window.partitionBy(*k).orderBy(order) for k in (keys, gkeys))
     dd, DD = F.col("d"), F.col("sd")
     max_shift = K + m + 1
-    x = x.select("*", *[F.lag(y, j).over(w).cast("double").alias(f"_y{j}") for j in range(1, max_shift + 1)],
-                 *[F.lag(e, j).over(w).cast("double").alias(f"_{e}{j}") for e in exog for j in (1, m, m + 1)])
+    x = df.select("*", *[F.lag(y, j).over(w1).cast("double").alias(f"_y{j}") for j in range(1, max_shift + 1)],
+                  *[F.lag(e, j).over(w1).cast("double").alias(f"_{e}{j}") for e in exog for j in (1, m, m + 1)])
+    x = x.select("*", F.explode(F.array(*[F.struct(F.lit(a).alias("d"), F.lit(b).alias("sd"))
+                                          for a, b in pairs])).alias("_dd")).select("*", "_dd.d", "_dd.sd").drop("_dd")
 
     def ycol(j):
         return F.col(y).cast("double") if j == 0 else F.col(f"_y{j}")
@@ -225,12 +247,17 @@ def fit_seasonal(df: DataFrame, order: str, y: str, exog: Sequence[str], keys: S
     x = x.withColumn("e", F.when(train, F.col("w") - lsq.dot(x1, F.col("coef1"))))
     x = x.select(*base_cols, "w", *[f"w_l{s}" for s in ar_set], *dx, "e",
                  *[F.lag("e", s).over(w).alias(f"e_l{s}") for s in ma_set])
+    x2 = [f"w_l{s}" for s in ar_set] + [f"e_l{s}" for s in ma_set] + dx
+    complete = F.lit(True)
+    for c in ["w", *x2]:
+        complete = complete & F.col(c).isNotNull()
+    same_hour = Window.partitionBy(*keys, order)
+    x = x.withColumn("_common", F.sum(complete.cast("int")).over(same_hour) == F.lit(len(pairs)))
     if stage is not None:
         x = stage(x)
 
     # Stage 2: one Gram per (series, d, D), every candidate a sub-matrix solve.
-    x2 = [f"w_l{s}" for s in ar_set] + [f"e_l{s}" for s in ma_set] + dx
-    g2 = lsq.gram_stats(x, gkeys, x2, "w", masks={"train": train})
+    g2 = lsq.gram_stats(x, gkeys, x2, "w", masks={"train": train & F.col("_common")})
     cand_schema = _stage_solve_schema(
         g2, keys, "cand_idx int, p int, d int, q int, sp int, sd int, sq int, n_obs bigint, aic double, "
                   "coef array<double>")
@@ -240,13 +267,24 @@ def fit_seasonal(df: DataFrame, order: str, y: str, exog: Sequence[str], keys: S
     series_keys = df.select(*keys).distinct()
     full = (candidate_grid(series_keys, grid, m).drop("m")
             .join(cands.drop(*GRID_ORDER), on=[*keys, "cand_idx"], how="left"))
+    if stage is not None:
+        full = stage(full)      # read for the winner, by its refit and by the caller
     # AIC rounded for ranking: fits that are equal up to float noise (e.g. a lag that
     # duplicates an exogenous input) fall back to grid order, like a strict "<" scan
     rank = Window.partitionBy(*keys).orderBy(F.round("aic", 6).asc_nulls_last(),
                                              (F.col("cand_idx") == default_index(grid)).desc(),
                                              F.col("cand_idx").asc())
     best = full.withColumn("_rk", F.row_number().over(rank)).filter(F.col("_rk") == 1).drop("_rk")
-    return SeasonalFit(keys, order, x, full, best, x2, exog, m, ar_set, ma_set)
+    fit = SeasonalFit(keys, order, x, full, best, x2, exog, m, ar_set, ma_set)
+
+    # Final fit of the winner on every train row that has its own regressors.
+    g3 = lsq.gram_stats(_best_design(fit).select(*keys, split_col, "w", *_own_regressors(fit)), keys, x2, "w",
+                        masks={"train": train})
+    refit = g3.mapInPandas(_solve_used(keys, 1 + len(x2)), _stage_solve_schema(g3, keys, "n_fit bigint, _coef array<double>"))
+    best = best.join(refit, on=keys, how="left").withColumn(
+        "coef", F.when(F.col("coef").isNotNull(), F.coalesce("_coef", "coef"))).drop("_coef")
+    fit.best = stage(best) if stage is not None else best
+    return fit
 
 
 def order_strings(df: DataFrame) -> DataFrame:
@@ -261,9 +299,59 @@ def _best_design(fit: SeasonalFit) -> DataFrame:
     return fit.design.join(b, on=[*fit.keys, "d", "sd"], how="inner")
 
 
-def _get(arr, idx1):
-    """1-based element, 0.0 when before the start or NULL (history shorter than a lag)."""
-    return F.when(idx1 >= 1, F.coalesce(F.element_at(arr, idx1), F.lit(0.0))).otherwise(F.lit(0.0))
+def _own_regressors(fit: SeasonalFit) -> list:
+    """Stage-2 regressors of the winner in a row of ``_best_design``: 0 for lags it does not use."""
+    def lag(c, s, low, high):
+        return F.when((F.col(low) >= s % fit.m) & (F.col(high) >= s // fit.m), F.col(c)).otherwise(F.lit(0.0)).alias(c)
+
+    n = len(fit.ar_set)
+    return ([lag(c, s, "p", "sp") for c, s in zip(fit.x2, fit.ar_set)]
+            + [lag(c, s, "q", "sq") for c, s in zip(fit.x2[n:], fit.ma_set)]
+            + [F.col(c) for c in fit.x2[n + len(fit.ma_set):]])
+
+
+def _recursion(keys, A, M, n_exog, m, lags):
+    """One row a series -> its forecasts. ``lags``: per exogenous input None (observed), 0 (held
+    at its mean) or the target lag that it is; a step costs the same at any horizon."""
+    def one(r) -> list | None:
+        if r["coef"] is None:
+            return [None] * len(r["t_test"])
+        coef, d, D = np.asarray(r["coef"], float).tolist(), int(r["d"]), int(r["sd"])
+        h, n = len(r["y_hist"]), len(r["t_test"])
+        Y, W, E = ([float("nan") if v is None else float(v) for v in r[c]] + [0.0] * n for c in ("y_hist", "w_hist", "e_hist"))
+        X = [[float("nan") if v is None else float(v) for v in r[f"x{j}_hist"]] + [0.0] * n for j in range(n_exog)]
+        ar = [(s, c) for s, c in zip(A, coef[1:]) if c]
+        ma = [(s, c) for s, c in zip(M, coef[1 + len(A):]) if c]
+        inputs = [(j, c) for j, c in enumerate(coef[1 + len(A) + len(M):]) if c]
+        back = lambda a, i: a[i] if i >= 0 else float("nan")
+        shifts = [(-1.0, 1)] * d + [(-1.0, m)] * D + [(1.0, m + 1)] * (d * D)
+        for t in range(h, h + n):
+            v = coef[0]
+            for s_, c in ar:
+                v += c * back(W, t - s_)
+            for s_, c in ma:
+                v += c * back(E, t - s_)
+            for j, c in inputs:
+                if lags[j] is None:
+                    dx = r[f"dx{j}_test"][t - h]
+                    dx = float("nan") if dx is None else dx
+                else:
+                    if lags[j]:
+                        X[j][t] = (back(Y, t - lags[j]) - r[f"_mu{j}"]) / (r[f"_sd{j}"] or 1.0)
+                    dx = X[j][t] + sum(k * back(X[j], t - q) for k, q in shifts)
+                v += c * dx
+            W[t] = v
+            Y[t] = v - sum(k * back(Y, t - q) for k, q in shifts)
+        return [None if v != v else v for v in Y[h:]]
+
+    def fn(it):
+        for pdf in it:
+            if len(pdf):
+                out = pdf[list(keys)].copy()
+                out["t"] = pdf["t_test"]
+                out["f"] = [one(r) for r in pdf.to_dict("records")]
+                yield out
+    return fn
 
 
 def seasonal_forecast(fit: SeasonalFit, y: str, split_col: str = "split", exog_mode: str = "observed",
@@ -277,95 +365,49 @@ def seasonal_forecast(fit: SeasonalFit, y: str, split_col: str = "split", exog_m
     any other input is unknown and held at its fitted mean (0 on the z scale).
     Future innovations are 0. Output: keys, order, step (0-based), seasonal_forecast.
 
-    The recursion is a fold (``aggregate``) over the series' ordered test rows,
-    evaluated in the JVM. Each series contributes one row holding the lag history
-    (at most ~m + 2 train rows when ``row_idx``/``n_train`` are present) and its
-    test horizon.
+    Each series contributes one row holding its test horizon and as many of its last
+    train rows as the lags reach; a series without them, or with a NULL where a used
+    lag falls, forecasts NULL.
     """
     if exog_mode not in ("observed", "recursive"):
         raise ValueError("exog_mode must be 'observed' or 'recursive'")
     lag_inputs = dict(lag_inputs or {})
     keys, order, m = fit.keys, fit.order, fit.m
-    A, M = fit.ar_set, fit.ma_set
-    exog = fit.exog
+    A, M, exog = fit.ar_set, fit.ma_set, fit.exog
     dxc = fit.x2[len(A) + len(M):]
-    rows = _best_design(fit)
-    if "row_idx" in rows.columns and "n_train" in rows.columns:
-        history = max(max(A), max(M), m + 1) + 1
-        rows = rows.filter(F.col("row_idx") >= F.col("n_train") - history)
-    stats = sorted({c for v in lag_inputs.values() for c in v[1:]})
+    history = max([*A, *M, m + 1]) + 1
+    last = Window.partitionBy(*keys, split_col).orderBy(F.col(order).desc())
+    rows = _best_design(fit).withColumn("_back", F.row_number().over(last))
+    rows = rows.filter((F.col(split_col) == "test") | (F.col("_back") <= history))
+    lags = [None if exog_mode == "observed" else lag_inputs.get(e, (0,))[0] for e in exog]
+    stats = [F.first(lag_inputs[e][i]).cast("double").alias(f"{n}{j}") for j, e in enumerate(exog) if lags[j]
+             for i, n in ((1, "_mu"), (2, "_sd"))]
     rec = F.struct(F.col(order).alias("t"), (F.col(split_col) == "test").alias("is_test"),
                    F.col(y).cast("double").alias("y"), F.col("w").alias("w"), F.col("e").alias("e"),
                    *[F.col(c).cast("double").alias(f"x{j}") for j, c in enumerate(exog)],
                    *[F.col(c).alias(f"dx{j}") for j, c in enumerate(dxc)])
     g = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(rec)).alias("r"), F.first("coef").alias("coef"),
-                                F.first("d").cast("double").alias("_dif"),
-                                F.first("sd").cast("double").alias("_sdif"),
-                                *[F.first(c).alias(c) for c in stats])
-    hist = F.filter("r", lambda x: ~x["is_test"])
-    test = F.filter("r", lambda x: x["is_test"])
-    coef, dd, DD = F.col("coef"), F.col("_dif"), F.col("_sdif")
-
-    def c(i):
-        return F.element_at(coef, i + 1)
-
-    def field(name):
-        return lambda x: F.coalesce(x[name], F.lit(0.0))
-
-    init = F.struct(F.transform(hist, field("y")).alias("y"), F.transform(hist, field("w")).alias("w"),
-                    F.transform(hist, field("e")).alias("e"),
-                    *[F.transform(hist, field(f"x{j}")).alias(f"x{j}") for j in range(len(exog))],
-                    F.array().cast("array<double>").alias("p"))
-
-    def step(acc, x):
-        n = F.size(acc["y"])                                   # 0-based position of the new row
-        cur_x, cur_dx = [], []
-        for j, name in enumerate(exog):
-            if exog_mode == "recursive":
-                if name in lag_inputs:
-                    lag, mu, sd = lag_inputs[name]
-                    sdv = F.when(F.col(sd) == 0, F.lit(1.0)).otherwise(F.col(sd))
-                    xv = (_get(acc["y"], n - lag + 1) - F.col(mu)) / sdv
-                else:
-                    xv = F.lit(0.0)
-                hx = acc[f"x{j}"]
-                dxv = xv - dd * _get(hx, n) - DD * _get(hx, n - m + 1) + dd * DD * _get(hx, n - m)
-            else:
-                xv = F.coalesce(x[f"x{j}"], F.lit(0.0))
-                dxv = F.coalesce(x[f"dx{j}"], F.lit(0.0))
-            cur_x.append(xv)
-            cur_dx.append(dxv)
-        v = c(0)
-        for i, s_ in enumerate(A):
-            v = v + c(1 + i) * _get(acc["w"], n - s_ + 1)
-        for i, s_ in enumerate(M):
-            v = v + c(1 + len(A) + i) * _get(acc["e"], n - s_ + 1)
-        for j in range(len(exog)):
-            v = v + c(1 + len(A) + len(M) + j) * cur_dx[j]
-        level = v + dd * _get(acc["y"], n) + DD * _get(acc["y"], n - m + 1) - dd * DD * _get(acc["y"], n - m)
-        return F.struct(F.concat(acc["y"], F.array(level)).alias("y"), F.concat(acc["w"], F.array(v)).alias("w"),
-                        F.concat(acc["e"], F.array(F.lit(0.0))).alias("e"),
-                        *[F.concat(acc[f"x{j}"], F.array(cur_x[j])).alias(f"x{j}") for j in range(len(exog))],
-                        F.concat(acc["p"], F.array(level)).alias("p"))
-
-    preds = F.when(coef.isNull(), F.array_repeat(F.lit(None).cast("double"), F.size(test))).otherwise(
-        F.aggregate(test, init, step, lambda acc: acc["p"]))
-    out = g.select(*keys, F.posexplode(F.arrays_zip(F.transform(test, lambda x: x["t"]).alias("t"),
-                                                    preds.alias("f"))).alias("step", "z"))
+                                F.first("d").alias("d"), F.first("sd").alias("sd"), *stats)
+    hist, test = F.filter("r", lambda x: ~x["is_test"]), F.filter("r", lambda x: x["is_test"])
+    part = lambda a, name: F.transform(a, lambda x: x[name])
+    g = g.select(*keys, "coef", "d", "sd", *[c for c in g.columns if c.startswith(("_mu", "_sd"))],
+                 part(test, "t").alias("t_test"), *[part(hist, c).alias(f"{c}_hist") for c in ("y", "w", "e")],
+                 *[part(hist, f"x{j}").alias(f"x{j}_hist") for j in range(len(exog))],
+                 *[part(test, f"dx{j}").alias(f"dx{j}_test") for j in range(len(exog))])
+    schema = T.StructType([g.schema[k] for k in keys] + [T.StructField("t", g.schema["t_test"].dataType),
+                                                         T.StructField("f", T.ArrayType(T.DoubleType()))])
+    out = g.mapInPandas(_recursion(keys, A, M, len(exog), m, lags), schema)
+    out = out.select(*keys, F.posexplode(F.arrays_zip("t", "f")).alias("step", "z"))
     return out.select(*keys, F.col("z.t").alias(order), F.col("step").cast("bigint").alias("step"),
                       F.col("z.f").alias("seasonal_forecast"))
 
 
 def seasonal_residuals(fit: SeasonalFit, burn_in: int = SEASONAL_PERIOD, split_col: str = "split") -> DataFrame:
-    """One-step in-sample residuals of the winning candidate on train rows, first
-    ``burn_in`` dropped per series (M10 + W11)."""
-    rows = _best_design(fit).filter(F.col(split_col) == "train")
-    complete = F.lit(True)
-    for c in fit.x2:
-        complete = complete & F.col(c).isNotNull()
-    r = (rows.filter(complete & F.col("coef").isNotNull())
-             .select(*fit.keys, fit.order, (F.col("w") - lsq.dot(fit.x2, F.col("coef"))).alias("residual")))
-    return drop_burn_in(r, fit.order, burn_in, fit.keys)
+    """One-step in-sample residuals of the winning candidate on every train row that has the
+    winner's own regressors, first ``burn_in`` dropped per series (M10 + W11)."""
+    rows = _best_design(fit).filter((F.col(split_col) == "train") & F.col("coef").isNotNull())
+    r = rows.select(*fit.keys, fit.order, (F.col("w") - lsq.dot(_own_regressors(fit), F.col("coef"))).alias("residual"))
+    return drop_burn_in(r, fit.order, burn_in, fit.keys).filter(F.col("residual").isNotNull())
 
 
 def strip_series(df: DataFrame) -> DataFrame:
