@@ -18,6 +18,7 @@ import base64
 import gc
 import re
 from functools import lru_cache
+from itertools import filterfalse, islice
 
 import numpy as np
 import pandas as pd
@@ -79,7 +80,13 @@ class Encoder:
     def _together(self, texts: list[str]) -> list[bytes]:
         cut = [t.split(" ") if self.cuts and not _SPACES(t) else None for t in texts]
         whole = [t if c is None else c[0] for t, c in zip(texts, cut)]      # no space before these
-        whole_ids, long = self._learn({x for c in cut if c for x in c[1:]}, set(whole))
+        if len(self.led) > CACHE_ENTRIES:
+            self.led.clear()
+        new: set[str] = set()
+        for c in cut:
+            if c:
+                new.update(filterfalse(self.led.__contains__, islice(c, 1, None)))
+        whole_ids, long = self._learn(new, set(whole))
         ids = self.led.__getitem__
         out = [b"".join([whole_ids[w], *map(ids, c[1:])]) if c and len(c) > 1 else whole_ids[w] for w, c in zip(whole, cut)]
         for x in long:
@@ -87,13 +94,11 @@ class Encoder:
             self.bare.pop(x, None)
         return out
 
-    def _learn(self, cuttings: set[str], whole: set[str]) -> tuple[dict[str, bytes], list[str]]:
-        """Have ``led`` hold all cuttings. Returns the ids of all whole texts, and what is too long to remember."""
-        for kept in (self.led, self.bare):
-            if len(kept) > CACHE_ENTRIES:
-                kept.clear()
+    def _learn(self, new: set[str], whole: set[str]) -> tuple[dict[str, bytes], list[str]]:
+        """Add the new cuttings to ``led``. Returns the ids of all whole texts, and what is too long to remember."""
+        if len(self.bare) > CACHE_ENTRIES:
+            self.bare.clear()
         led, bare = self.led, self.bare
-        new = [c for c in cuttings if c not in led]
         # letters after one space are one pre-token, so they need no pattern
         split = {c: self.split(" " + c) for c in new if not (self.cuts and c.isalpha())}
         split_whole = {w: self.split(w) for w in whole}
