@@ -31,9 +31,10 @@ def union_metrics(dfs: Sequence[DataFrame]) -> DataFrame:
     return u.select(*METRIC_COLUMNS)
 
 
-def _model_rank():
-    return F.coalesce(F.array_position(F.array(*[F.lit(m) for m in MODEL_ORDER]), F.col("model")),
-                      F.lit(len(MODEL_ORDER) + 1))
+def _model_rank(models):
+    order = list(models)
+    return F.coalesce(F.array_position(F.array(*[F.lit(m) for m in order]), F.col("model")),
+                      F.lit(len(order) + 1))
 
 
 def _long(metrics: DataFrame) -> DataFrame:
@@ -41,16 +42,16 @@ def _long(metrics: DataFrame) -> DataFrame:
     return metrics.selectExpr("model", f"stack({len(METRICS)}, {stack}) AS (metric, value)")
 
 
-def leaderboard(metrics: DataFrame) -> DataFrame:
-    """Rows = metrics, columns = models in slot order."""
+def leaderboard(metrics: DataFrame, models: dict[str, str] = MODEL_COLUMNS) -> DataFrame:
+    """Rows = metrics, columns = models in slot order (C1). ``models``: name -> column, in order."""
     long = _long(metrics)
-    p = long.groupBy("metric").pivot("model", MODEL_ORDER).agg(F.first("value"))
-    return p.select("metric", *[F.col(f"`{m}`").alias(MODEL_COLUMNS[m]) for m in MODEL_ORDER])
+    p = long.groupBy("metric").pivot("model", list(models)).agg(F.first("value"))
+    return p.select("metric", *[F.col(f"`{m}`").alias(c) for m, c in models.items()])
 
 
-def metric_winners(metrics: DataFrame) -> DataFrame:
+def metric_winners(metrics: DataFrame, models=MODEL_ORDER) -> DataFrame:
     """Winner per metric: lowest rmse/mae/mape, highest r2; NaN never wins; ties by slot."""
-    long = _long(metrics).withColumn("model_rank", _model_rank())
+    long = _long(metrics).withColumn("model_rank", _model_rank(models))
     sign = F.when(F.col("metric") == "r2", F.lit(-1.0)).otherwise(F.lit(1.0))
     w = Window.partitionBy("metric").orderBy((F.col("value").isNull() | F.isnan("value")).asc(),
                                              (F.col("value") * sign).asc(), F.col("model_rank").asc())
@@ -58,9 +59,9 @@ def metric_winners(metrics: DataFrame) -> DataFrame:
                 .select("metric", F.col("model").alias("winner"), "value"))
 
 
-def overall_winner(winners: DataFrame) -> DataFrame:
+def overall_winner(winners: DataFrame, models=MODEL_ORDER) -> DataFrame:
     """The model with most metric wins; ties by slot order."""
     wins = winners.groupBy(F.col("winner").alias("model")).agg(F.count(F.lit(1)).alias("wins"))
-    w = Window.orderBy(F.col("wins").desc(), _model_rank().asc())
+    w = Window.orderBy(F.col("wins").desc(), _model_rank(models).asc())
     return (wins.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
                 .select("model", "wins", F.lit(len(METRICS)).alias("n_metrics")))

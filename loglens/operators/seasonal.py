@@ -208,7 +208,7 @@ def fit_seasonal(df: DataFrame, order: str, y: str, exog: Sequence[str], keys: S
         raise ValueError("d and sd must be 0 or 1")
     ar_set = ar_lags(max(grid["p"]), max(grid["sp"]), m)
     ma_set = ar_lags(max(grid["q"]), max(grid["sq"]), m)
-    K = long_ar or (max(ar_set) + 2)
+    K = long_ar or (max(ar_set, default=0) + 2)
     pairs = sorted({(c["d"], c["sd"]) for c in grid_candidates(grid)})
     gkeys = keys + ["d", "sd"]
     w1, w = (Window.partitionBy(*k).orderBy(order) for k in (keys, gkeys))

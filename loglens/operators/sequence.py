@@ -100,6 +100,8 @@ def fit_sequence_regressor(df: DataFrame, order: str = "hour_timestamp", keys: S
     models = fit_ridge_validated(seqs, keys, xcols, y, fit_mask=train & ~F.col("is_val"),
                                  val_mask=train & F.col("is_val"), ridges=ridges, l1_ratios=l1_ratios)
     models = models.withColumn("model", F.lit("linear"))
+    if stage is not None:
+        models = stage(models)      # read for the choice, the scores and by the caller
     test = seqs.filter(~train)
     lo, hi = F.col(f"{target}__min"), F.col(f"{target}__max")
     if keys:
@@ -107,7 +109,7 @@ def fit_sequence_regressor(df: DataFrame, order: str = "hour_timestamp", keys: S
         pred = inverse_minmax(lsq.dot(xcols, F.col("coef")), lo, hi)
         return models, test.select(*keys, order, F.col(target).cast("double").alias("actual"),
                                    pred.alias("prediction"))
-    ridge_row = models.first()
+    ridge_row = models.first() if with_gbt else None
     ridge_mse = ridge_row["val_mse"] if ridge_row is not None else None
     gbt_mse, gbt_model = _gbt_candidate(seqs, xcols, y) if with_gbt else (None, None)
     if gbt_mse is not None and (ridge_mse is None or gbt_mse < ridge_mse):

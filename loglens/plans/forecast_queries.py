@@ -75,7 +75,7 @@ def q_seasonal_difference(spark, sf):
 
 @register("lag_matrix", O.with_ctes(*O.FEATURE_CTES, body=(
     "SELECT hour_timestamp, request_count, " + ", ".join(
-        f"lag(request_count, {k}) OVER w AS request_count_lag{k}" for k in series.ar_lags(2, 1, 24))
+        f"lag(request_count, {k}) OVER w AS request_count_lag{k}" for k in (1, 2, 24, 25, 26))
     + " FROM features WINDOW w AS (ORDER BY hour_timestamp)")))
 def q_lag_matrix(spark, sf):
     """All seasonal AR lags i + 24 j (i <= 2, j <= 1) as columns, one window."""
@@ -209,9 +209,9 @@ def q_seasonal_residuals(spark, sf):
 
 @register("sequence_regressor")
 def q_sequence_regressor(spark, sf):
-    """Six-hour, five-feature lookback regressor: test metrics and chosen ridge (M7)."""
+    """Six-hour, five-feature lookback regressor, linear and tree candidates: test metrics and what was chosen (M7)."""
     f = common.features_stage(spark, sf)
-    models, pred = sequence.fit_sequence_regressor(f, ORDER, stage=common.staged)
+    models, pred = sequence.fit_sequence_regressor(f, ORDER, stage=common.staged, with_gbt=True)
     m = evaluate.regression_metrics(pred, "actual", "prediction")
     chosen = models.select(F.struct("model", "ridge", "l1_ratio").alias("c")).scalar()
     return common.rounded(m.select("*", *[chosen.getField(c).alias(c) for c in ("model", "ridge", "l1_ratio")]))

@@ -328,3 +328,50 @@ def test_batched_validated_solver_equals_per_row(spark):
             for i in range(m):
                 ref = _fit(fx[i], fy[i], fn[i], range(k), lam, l1)
                 np.testing.assert_allclose(batch[i], ref, rtol=1e-6, atol=1e-8)
+
+
+def test_winner_does_not_depend_on_the_unit(spark):
+    """All candidates of a series are fitted on the same rows; the count times 10,000 gives the same winner."""
+    from loglens.plans import common
+    from loglens.plans import forecast_queries as FQ
+    from tests.conftest import SF_MID
+    data = FQ.forecast_inputs(spark, SF_MID)
+    found = []
+    for scale in (1, 10_000):
+        own = data.withColumn("request_count", F.col("request_count") * scale)
+        fit = seasonal.fit_seasonal(own, "hour_timestamp", "request_count", ["total_bytes_z", "prev_count_z"], stage=common.staged)
+        assert fit.candidates.filter("n_obs is not null").select("n_obs").distinct().count() == 1
+        found.append(fit.best.select("cand_idx").first()[0])
+    assert found[0] == found[1]
+
+
+def test_residuals_keep_every_row_of_the_winner(spark):
+    """A winner without lags loses no train row but the burn-in."""
+    from loglens.plans import baseline_queries as BQ
+    from tests.conftest import SF_MID
+    data, fit = BQ.exogenous_fit(spark, SF_MID)
+    assert seasonal.seasonal_residuals(fit).count() == data.filter("split = 'train'").count() - 24
+
+
+def test_recursion_is_linear_in_the_horizon(spark):
+    import time
+    schema = "k string, lookback int, window array<double>, coef array<double>, resid_mean double, resid_std double"
+    models = spark.createDataFrame([("a", 3, [0.0, 0.0, 0.0, 0.1, 0.2, 0.3], [0.01, 0.0, 0.0, 0.0, 0.1, 0.2, 0.3], 0.0, 1.0)], schema)
+    took = {}
+    for steps in (40_000, 40_000, 80_000):
+        t0 = time.perf_counter()
+        horizon = spark.createDataFrame([("a", steps)], "k string, steps int")
+        assert hybrid.recursive_forecast(models, horizon, ["k"]).count() == steps
+        took[steps] = time.perf_counter() - t0
+    assert took[80_000] < 3 * took[40_000] + 1
+
+
+def test_missing_history_forecasts_null(spark):
+    """A used lag that falls on a NULL gives NULL, not an invented level."""
+    import datetime
+    rows = [(datetime.datetime(2024, 1, 1) + datetime.timedelta(hours=i), float((i * 7) % 13) if i != 79 else None, float(i % 5), "train" if i < 80 else "test") for i in range(90)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, y double, x double, split string")
+    grid = {"p": (1,), "d": (0,), "q": (0,), "sp": (0,), "sd": (0,), "sq": (0,)}
+    fit = seasonal.fit_seasonal(df, "ts", "y", ["x"], grid=grid)
+    got = [r.seasonal_forecast for r in seasonal.seasonal_forecast(fit, "y").orderBy("step").collect()]
+    assert len(got) == 10 and got[0] is None
