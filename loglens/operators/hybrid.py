@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..functions.columns import decay
 from .ridge import L1_RATIOS, RIDGE_GRID, fit_ridge_validated
 from .sequence import validation_size
-from .series import adaptive_lookback, lag_columns, series_window, standard_scale_clip
+from .series import adaptive_lookback, inverse_standard, lag_columns, series_window, standard_scale_clip
 
 # Residual lookback bounds, minimum sequences, clip bound, decay rate.
 MAX_LOOKBACK = 6
@@ -108,12 +108,9 @@ def recursive_forecast(models: DataFrame, horizon: DataFrame, keys: Sequence[str
                                             T.StructField("coef", T.ArrayType(T.DoubleType())), T.StructField("preds", T.ArrayType(T.DoubleType()))]
     m = m.select(*keys, "resid_mean", "resid_std", "coef", "steps", used.alias("used"), win0.alias("win")).mapInPandas(
         _recursion(keys), T.StructType(fields))
-    sd = F.when(F.col("resid_std") == 0, F.lit(1.0)).otherwise(F.col("resid_std"))
-    out = m.select(*keys, "preds", sd.alias("_sd"), F.col("resid_mean").alias("_mu"),
-                   coef.isNull().alias("_skip"))
-    out = out.select(*keys, "_sd", "_mu", "_skip", F.posexplode("preds").alias("step", "p"))
-    corr = F.when(F.col("_skip"), F.lit(0.0)).otherwise((F.col("p") * F.col("_sd") + F.col("_mu"))
-                                                         * decay(F.col("step"), rate))
+    out = m.select(*keys, "resid_std", "resid_mean", coef.isNull().alias("_skip"), F.posexplode("preds").alias("step", "p"))
+    level = inverse_standard(F.col("p"), F.col("resid_mean"), F.col("resid_std"))
+    corr = F.when(F.col("_skip"), F.lit(0.0)).otherwise(level * decay(F.col("step"), rate))
     return out.select(*keys, F.col("step").cast("bigint").alias("step"), corr.alias("correction"))
 
 

@@ -30,15 +30,18 @@ LABEL = "request_count"
 LIVE_HOURS = [(2000, 10), (5000, 14), (100, 3), (8000, 18)]
 
 
+def assembler(cols: Sequence[str] = FEATURES, out: str = "features") -> VectorAssembler:
+    return VectorAssembler(inputCols=list(cols), outputCol=out)
+
+
 def assemble(df: DataFrame, cols: Sequence[str] = FEATURES, out: str = "features") -> DataFrame:
     """Columns -> one dense vector column (M1)."""
-    return VectorAssembler(inputCols=list(cols), outputCol=out).transform(df)
+    return assembler(cols, out).transform(df)
 
 
 def linreg_pipeline(features: Sequence[str] = FEATURES, label: str = LABEL) -> Pipeline:
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     lr = LinearRegression(featuresCol="features", labelCol=label)
-    return Pipeline(stages=[assembler, lr])
+    return Pipeline(stages=[assembler(features), lr])
 
 
 def fit_linreg(train: DataFrame, features: Sequence[str] = FEATURES, label: str = LABEL) -> PipelineModel:

@@ -13,7 +13,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import improvement_pct, quality_grade
-from ..operators import evaluate, hybrid, leaderboard, seasonal, series
+from ..operators import evaluate, hybrid, leaderboard, linear, seasonal, series, traffic
 from ..session import scratch_path
 from ..sources import files
 from . import common
@@ -198,3 +198,43 @@ def q_lag_weight_recursion(spark, sf):
         F.array(zero, zero, zero, *[F.max(F.when(F.col("back") == i, F.col("x_sc"))) for i in (3, 2, 1)]).alias("window"))
     horizon = models.select(*keys, F.lit(24).alias("steps"))
     return common.rounded(hybrid.recursive_forecast(models, horizon, keys))
+
+
+# ---- operators that had no query of their own -------------------------------------------
+
+@register("row_count", O.with_ctes(*O.HOURLY_CTES[:2], O.HOURLY_KEYED, body="SELECT event_type, count(*) AS n_rows FROM hourly_k GROUP BY event_type"))
+def q_row_count(spark, sf):
+    """Hours per event type (A4)."""
+    return traffic.row_count(common.hourly(spark, sf, ["event_type"]), ["event_type"])
+
+
+@register("assemble", O.with_ctes(*O.FEATURE_CTES, O.SPLIT, """cyc2 AS (
+  SELECT *, sin(2 * pi() * hour(hour_timestamp) / 24.0) AS hour_sin, cos(2 * pi() * hour(hour_timestamp) / 24.0) AS hour_cos FROM split)""", body=(
+    "SELECT hour_timestamp, CAST(prev_count AS DOUBLE) AS x1, round(hour_sin, 6) + 0.0 AS x2, round(hour_cos, 6) + 0.0 AS x3 FROM cyc2")))
+def q_assemble(spark, sf):
+    """The linear model's feature vector, taken apart again (M1)."""
+    from pyspark.ml.functions import vector_to_array
+
+    x = linear.assemble(lr_inputs(spark, sf)).select(ORDER, vector_to_array("features").alias("x"))
+    return common.rounded(x.select(ORDER, *[F.col("x")[i].alias(f"x{i + 1}") for i in range(3)]))
+
+
+@register("standard_scale_inverse", O.with_ctes(*O.FEATURE_CTES, body=(
+    "SELECT hour_timestamp, round(CASE WHEN stddev_pop(r) OVER () = 0 THEN r ELSE avg(r) OVER () + stddev_pop(r) OVER () "
+    "* greatest(-3.0, least(3.0, (r - avg(r) OVER ()) / stddev_pop(r) OVER ())) END, 6) + 0.0 AS change FROM "
+    "(SELECT hour_timestamp, CAST(request_count - prev_count AS DOUBLE) AS r FROM features)")))
+def q_standard_scale_inverse(spark, sf):
+    """The hour-over-hour change scaled, clipped at three deviations and scaled back (W10 inverse)."""
+    f = common.features(spark, sf).select(ORDER, (F.col(Y) - F.col("prev_count")).cast("double").alias("change"))
+    sc = series.standard_scale_clip(f, "change", 3.0)
+    back = series.inverse_standard(F.col("change_sc"), F.col("change__mean"), F.col("change__std"))
+    return common.rounded(sc.select(ORDER, back.alias("change")))
+
+
+@register("filled_hours_by_type", O.with_ctes(*O.HOURLY_CTES[:2], O.HOURLY_KEYED, body=(
+    "SELECT g.event_type, g.hour_timestamp, coalesce(h.request_count, 0) AS request_count, coalesce(h.total_bytes, 0) AS total_bytes FROM ("
+    "SELECT event_type, unnest(generate_series(min(hour_timestamp), max(hour_timestamp), INTERVAL 1 HOUR)) AS hour_timestamp FROM hourly_k GROUP BY event_type) g "
+    "LEFT JOIN hourly_k h ON g.event_type = h.event_type AND g.hour_timestamp = h.hour_timestamp")))
+def q_filled_hours_by_type(spark, sf):
+    """Hourly series per event type with empty hours as zeros, so that lag 24 is 24 hours."""
+    return common.hourly(spark, sf, ["event_type"], fill_gaps=True)

@@ -41,9 +41,9 @@ def parsed_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_event_type(parsed_stage(spark, sf_dir))
 
 
-def hourly(spark: SparkSession, sf_dir: str, keys: Sequence[str] = ()) -> DataFrame:
+def hourly(spark: SparkSession, sf_dir: str, keys: Sequence[str] = (), fill_gaps: bool = False) -> DataFrame:
     src = parsed_typed(spark, sf_dir) if keys else parsed_stage(spark, sf_dir)
-    return windowed_traffic(drop_unparsed(src), keys=keys)
+    return windowed_traffic(drop_unparsed(src), keys=keys, fill_gaps=fill_gaps)
 
 
 def features(spark: SparkSession, sf_dir: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -86,10 +86,12 @@ def stage_path(spark: SparkSession, name: str, sf_dir: str, keys: Sequence[str]
     return f"{checkpoint_root(spark)}/loglens/stages/{name}-{tag}"
 
 
-def features_stage(spark: SparkSession, sf_dir: str, keys: Sequence[str] = ()) -> DataFrame:
+def features_stage(spark: SparkSession, sf_dir: str, keys: Sequence[str] = (), fill_gaps: bool = False) -> DataFrame:
     """The hourly feature table written once per application and input (S10), then
-    read by every model query, as the reference's feature stage is: the raw log is
-    parsed and aggregated once, the models read a table of one row per hour and key."""
+    read by every model query: the raw log is
+    parsed and aggregated once, the models read a table of one row per hour and key.
+    With ``fill_gaps`` empty hours are rows of zeros, so that a lag of 24 rows is one of 24 hours."""
     from ..sources.files import materialize
     keys = list(keys)
-    return materialize(spark, lambda: features(spark, sf_dir, keys), stage_path(spark, "features", sf_dir, keys))
+    name = "features-filled" if fill_gaps else "features"
+    return materialize(spark, lambda: lag_features(hourly(spark, sf_dir, keys, fill_gaps), keys=keys), stage_path(spark, name, sf_dir, keys))

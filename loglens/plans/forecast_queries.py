@@ -23,7 +23,8 @@ def forecast_inputs(spark, sf, keys=()):
     """Hourly features, 80/20 split, exogenous inputs z-scored over all rows. Derived
     cheaply from the materialised feature stage; the seasonal design built on it is
     the table that gets staged."""
-    s = series.chrono_split(common.features_stage(spark, sf, keys), ORDER, keys=keys)
+    # keyed series have empty hours; filled, their seasonal lags are hours and not rows
+    s = series.chrono_split(common.features_stage(spark, sf, keys, fill_gaps=bool(keys)), ORDER, keys=keys)
     return series.zscore_scale(s, EXOG, keys=keys)
 
 

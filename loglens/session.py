@@ -40,6 +40,8 @@ def get_session(master: str | None = None, app: str = "loglens",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
+    if _is_local(spark) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None):
+        ship_package(spark)     # the workers can import this package from any working folder
     return spark
 
 
