@@ -33,7 +33,9 @@ from .common import table, whole_text
 CACHE_ENTRIES = 3 << 19
 CACHE_CHARS = 48
 #: Characters of texts that a worker encodes together (a longer text goes alone).
-TOGETHER = 1 << 20
+TOGETHER = 1 << 18
+#: Bytes of pieces that share one queue (a longer piece has its own): they and their lists stay in a core's cache.
+QUEUED = 1 << 14
 #: White space before a space.
 _SPACES = re.compile(r"\s ").search
 
@@ -56,10 +58,16 @@ class Encoder:
         self.words = [0] * ((n >> 6) + 1)
         self.groups = [0] * ((n >> 12) + 1)
         self.packed = {k: v.to_bytes(4, "little") for k, v in ranks.items()}
+        self.of_byte = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
         self.of_two = np.full(1 << 16, -1, np.int32)
-        for k, v in ranks.items():
-            if len(k) == 2:
-                self.of_two[k[0] << 8 | k[1]] = v
+        self.pairs: dict[int, int] = {}     # left token << 20 | right token -> the token that both make
+        for token, rank in ranks.items():
+            if len(token) == 2:
+                self.of_two[token[0] << 8 | token[1]] = rank
+            for cut in range(1, len(token)):
+                a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if a is not None and b is not None:
+                    self.pairs[a << 20 | b] = rank
         self.led: dict[str, bytes] = {}     # what stands between two spaces, with the space before it
         self.bare: dict[str, bytes] = {}    # other pre-tokens
 
@@ -118,10 +126,19 @@ class Encoder:
         """Ids of each piece."""
         packed = self.packed
         todo = [p for p in pieces if p not in packed]
-        if not todo:
-            return [packed[p] for p in pieces]
+        made: dict[bytes, bytes] = {}
+        start = size = 0
+        for end, piece in enumerate(todo, 1):
+            size += len(piece)
+            if size >= QUEUED or end == len(todo):
+                self._merge(todo[start:end], made)
+                start, size = end, 0
+        return [packed.get(p) or made[p] for p in pieces]
+
+    def _merge(self, todo: list[bytes], made: dict[bytes, bytes]) -> None:
+        """Add the ids of some pieces, which share one queue, to ``made``."""
         raw = b"".join(todo)
-        n, rank_of, top = len(raw), self.ranks.get, 0
+        n, rank_of, top = len(raw), self.pairs.get, 0
         buckets, words, groups = self.buckets, self.words, self.groups
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))   # linked list: starts of tokens
         starts = np.cumsum([0] + [len(p) for p in todo])
@@ -131,6 +148,7 @@ class Encoder:
         ranks = np.append(self.of_two[codes[:-1] << 8 | codes[1:]], -1)
         ranks[starts[1:] - 1] = -1                                      # pairs over the end of a piece
         pair = ranks.tolist()                                           # rank of the pair that starts here; -1: none
+        token = self.of_byte[codes].tolist()                            # token that starts here; -1: none
         first = first.tobytes()
         by = np.argsort(ranks, kind="stable")
         by = by[np.searchsorted(ranks[by], 0):]
@@ -154,18 +172,19 @@ class Encoder:
                     top &= top - 1
             bucket, buckets[r] = buckets[r], []
             bucket.sort()                                               # leftmost first
+            left = r << 20
             for at, i in enumerate(bucket, 1):
                 if pair[i] != r:                                        # stale: this pair has changed since
                     continue
                 j = after[i]
                 k = after[i] = after[j]
-                pair[j] = -1
-                least = r
+                pair[j] = token[j] = -1
+                token[i] = least = r
                 if first[k]:
                     pair[i] = -1
                 else:
                     before[k] = i
-                    q = pair[i] = rank_of(raw[i:after[k]], -1)
+                    q = pair[i] = rank_of(left | token[k], -1)
                     if q >= 0:
                         if not buckets[q]:
                             words[q >> 6] |= 1 << (q & 63)
@@ -175,7 +194,7 @@ class Encoder:
                         least = q
                 if not first[i]:
                     h = before[i]
-                    q = pair[h] = rank_of(raw[h:k], -1)
+                    q = pair[h] = rank_of(token[h] << 20 | r, -1)
                     if q >= 0:
                         if not buckets[q]:
                             words[q >> 6] |= 1 << (q & 63)
@@ -190,15 +209,11 @@ class Encoder:
                     groups[r >> 12] |= 1 << (r >> 6 & 63)
                     top |= 1 << (r >> 12)
                     break
-        made = dict.fromkeys(todo)
-        for piece, i in zip(todo, starts.tolist()):
-            end, ids = i + len(piece), []
-            while i < end:
-                k = after[i]
-                ids.append(packed[raw[i:k]])
-                i = k
-            made[piece] = b"".join(ids)
-        return [packed.get(p) or made[p] for p in pieces]
+        tokens = np.array(token, np.int32)
+        live = tokens >= 0
+        ids = tokens[live].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(live)[starts[1:] - 1]).tolist()
+        made.update((p, ids[a:b]) for p, a, b in zip(todo, [0, *ends], ends))
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
