@@ -29,8 +29,8 @@ from pyspark.sql import types as T
 
 from .common import table, whole_text
 
-#: Entries of a worker's memory of encoded pieces, and the longest that it keeps.
-CACHE_ENTRIES = 3 << 19
+#: Entries of a worker's memory of encoded pieces (about 200 bytes each), and the longest that it keeps.
+CACHE_ENTRIES = 1 << 21
 CACHE_CHARS = 48
 #: Characters of texts that a worker encodes together (a longer text goes alone).
 TOGETHER = 1 << 18
@@ -103,7 +103,7 @@ class Encoder:
         return out
 
     def _learn(self, new: set[str], whole: set[str]) -> tuple[dict[str, bytes], list[str]]:
-        """Add the new cuttings to ``led``. Returns the ids of all whole texts, and what is too long to remember."""
+        """Add the new cuttings to ``led``. Returns the ids of all whole texts, and what is not worth remembering."""
         if len(self.bare) > CACHE_ENTRIES:
             self.bare.clear()
         led, bare = self.led, self.bare
@@ -119,7 +119,8 @@ class Encoder:
         ids_of = {p: led[after_space[p]] if p in after_space else bare[p] for p in pieces}.__getitem__
         for c, ps in split.items():
             led[c] = b"".join(map(ids_of, ps))
-        long = [c for c in new if len(c) > CACHE_CHARS] + [x for _, x, p in todo if len(p) > CACHE_CHARS]
+        # what holds the end of a line hardly comes again
+        long = [c for c in new if len(c) > CACHE_CHARS or "\n" in c] + [x for _, x, p in todo if len(p) > CACHE_CHARS]
         return {w: b"".join(map(ids_of, ps)) for w, ps in split_whole.items()}, long
 
     def merge(self, pieces: list[bytes]) -> list[bytes]:
