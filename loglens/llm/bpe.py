@@ -242,17 +242,38 @@ class Decoder:
             self.size[rank], self.start[rank] = len(token), at
             at += len(token)
 
-    def decode(self, packed: bytes) -> bytes | None:
-        ids, out = np.frombuffer(packed, "<u4"), []
-        for at in range(0, len(ids), TOGETHER):
+    def decode(self, packed: list[bytes | None]) -> list[bytes | None]:
+        """The bytes of each row of ids; null for null ids and for rows with an unknown id."""
+        out: list[bytes | None] = []
+        some: list[bytes] = []
+        size = 0
+        for row in packed:
+            some.append(row or b"")
+            size += len(some[-1])
+            if size >= 4 * TOGETHER:
+                out += self._together(some)
+                some, size = [], 0
+        out += self._together(some)
+        return [None if row is None else found for row, found in zip(packed, out)]
+
+    def _together(self, rows: list[bytes]) -> list[bytes | None]:
+        ids = np.frombuffer(b"".join(rows), "<u4")
+        if not len(ids):
+            return [b""] * len(rows)
+        if ids.max() >= len(self.size) or self.size[ids].min() < 0:
+            return [None] if len(rows) == 1 else [x for r in rows for x in self._together([r])]
+        parts, stops = [], []
+        for at in range(0, len(ids), TOGETHER):     # a very long row is cut
             some = ids[at:at + TOGETHER]
-            if some.max() >= len(self.size) or (size := self.size[some]).min() < 0:
-                return None
-            ends = np.cumsum(size)
-            where = np.repeat(self.start[some] - ends + size, size)
-            where += np.arange(len(where))
-            out.append(self.blob[where].tobytes())
-        return b"".join(out)
+            size = self.size[some]
+            ends = np.cumsum(size, dtype=np.int64)
+            where = np.repeat((self.start[some] - ends + size).astype(np.int32), size)
+            where += np.arange(len(where), dtype=np.int32)
+            parts.append(self.blob[where].tobytes())
+            stops.append(ends + (stops[-1][-1] if stops else 0))
+        blob = b"".join(parts)
+        stop = np.concatenate([[0], *stops])[np.cumsum([0] + [len(r) // 4 for r in rows])].tolist()
+        return [blob[x:y] for x, y in zip(stop, stop[1:])]
 
 
 @lru_cache(maxsize=4)
@@ -285,8 +306,7 @@ def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: str =
 
     @F.pandas_udf(T.BinaryType())
     def decoded(ids: pd.Series) -> pd.Series:
-        decode_one = _decoder(shared.value).decode
-        return pd.Series([None if x is None else decode_one(x) for x in ids], dtype=object)
+        return pd.Series(_decoder(shared.value).decode(list(ids)), dtype=object)
 
     return df.withColumn(out_col, decoded(F.col(ids_col)))
 
