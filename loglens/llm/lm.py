@@ -4,19 +4,17 @@ Words and word pairs of the training documents are counted exactly, by hashed ke
 the key space. A Bloom filter then holds, for each n-gram of count c, one entry for every level
 up to ``level(c) = 1 + floor(log1.5 c)``; a count is read back by probing level after level until
 one is missing. The filter has one segment per order and bucket, is built where its counts are,
-and is broadcast. Probabilities are Dirichlet-smoothed, from probes alone:
+and is probed there. Probabilities are Dirichlet-smoothed, from probes alone:
 
     P1(w) = (c(w) + a) / (N + a (V + 1)),  P(w | v) = (c(v w) + m P1(w)) / (c(v) + m)
 
 ``a`` and ``m`` are chosen from a small grid by leave-one-out likelihood on a bounded sample of
 training documents (``TUNE_DOCS``).
 
-What is broadcast is bounded: the filter by ``max_filter_bytes``, the table of exact counts of
-frequent words by ``HEAVY_WORDS``. All words are always in the counts. The filter holds all words
-and all pairs seen twice or more for as long as they fit; beyond that the least count it holds
-rises (pairs first), and rarer n-grams are smoothed as unseen. Nothing else depends on the size:
-the exact add-one base looks up frequent words in the broadcast table and joins all others with
-the distributed counts.
+Documents are cut into chunks of tokens. A chunk sends each bucket its distinct n-grams, with their
+counts in its training documents, and gets back the level of each, and of words the exact count. So
+all n-grams are in the filter at every input size, nothing is broadcast, and a task holds one chunk
+or one bucket.
 
 Defined results: a null text is empty and scores its end token only; a null ``doc_id`` counts as
 training; repeated rows each count and each get their row; with no training document the model
@@ -31,6 +29,7 @@ from itertools import product
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,11 +38,10 @@ from .common import fold, staged, table, whole_text
 BASE = 1.5                  # of the levels
 PROBES = 4                  # bits of an entry
 BITS_PER_ENTRY = 12
-LEAST_PAIR = 2              # pairs seen once are smoothed as unseen
-HEAVY_WORDS = 1 << 19       # words whose exact counts are broadcast: 12 bytes each
+LEAST_PAIR = 2              # of `cutoffs` alone
+HEAVY_WORDS = 1 << 19       # not used: all exact counts come with the answers
 BUCKET_TOKENS = 1 << 21     # tokens for each bucket of the key space, on average
-CHUNK_TOKENS = 1 << 20      # tokens that a task gathers before it counts them
-VOCABULARY = 1 << 18        # words that a task remembers
+CHUNK_TOKENS = 1 << 20      # tokens of a chunk; a longer text is one chunk
 TOGETHER = 1 << 21          # characters of texts that a task works on at a time
 TUNE_DOCS = 400
 GRID = list(product((0.02, 0.1, 0.5, 1.0), (2.0, 20.0, 200.0, 2000.0, 20000.0, 1e6)))
@@ -121,70 +119,111 @@ def _bucket(keys: np.ndarray, bits: int) -> np.ndarray:
     return (keys >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
 
 
-_COUNTED = "order int, bucket long, keys binary, counts binary"
-_MERGED = _COUNTED + ", n_keys long, n_total long"
+_TOKENS = "chunk long, doc_ids array<long>, no_id array<boolean>, held array<boolean>, sizes array<long>, words binary, ids binary"
+_COUNTED = "order int, bucket long, chunk long, keys binary, counts binary"
+_ANSWERS = "order int, bucket long, chunk long, levels binary, counts binary, n_keys long, n_total long"
+_LEVELS = "doc_id long, no_id boolean, held_out boolean, n_tokens long, n_known long, exact_log double, levels binary"
+
+
+def _chunk_task(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row a chunk: its rows, the keys of its words in order of appearance, and its tokens as numbers of words."""
+    words, ids, sizes, doc_ids, no_id, held, chunk = Words(), [], [], [], [], [], TaskContext.get().partitionId() << 32
+
+    def flush() -> pd.DataFrame:
+        width = max(1, (len(words) - 1).bit_length() + 7 >> 3)      # bytes of a number; all lowest bytes come first
+        planes = np.concatenate(ids).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width].T.tobytes()
+        return pd.DataFrame({"chunk": [chunk], "doc_ids": [doc_ids], "no_id": [no_id], "held": [held], "sizes": [np.concatenate(sizes)],
+                             "words": [np.array(words.keys_, "<u8").tobytes()], "ids": [planes]})
+
+    for frame in _portions(frames):
+        own, starts = _tokens(frame["text"], words)
+        ids.append(own)
+        sizes.append(np.diff(np.append(starts, len(own))))
+        doc_ids += frame["doc_id"].tolist()
+        no_id += frame["no_id"].tolist()
+        held += frame["held_out"].tolist()
+        if sum(map(len, ids)) >= CHUNK_TOKENS:
+            yield flush()
+            words, ids, sizes, doc_ids, no_id, held, chunk = Words(), [], [], [], [], [], chunk + 1
+    if ids:
+        yield flush()
+
+
+def _chunk(words: bytes, planes: bytes, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of a chunk's words, numbers of its tokens, where its texts start, and keys of the pairs."""
+    keys = np.frombuffer(words, "<u8")
+    ids = np.zeros(int(sizes.sum()), np.uint32)
+    for i, plane in enumerate(np.frombuffer(planes, np.uint8).reshape(-1, len(ids))):
+        ids |= plane.astype(np.uint32) << np.uint32(8 * i)
+    starts = np.cumsum(sizes) - sizes
+    own = keys[ids]
+    return keys, ids, starts, _pair_keys(_contexts(own, starts), own)
 
 
 def _count_task(bits: int):
-    def flush(gathered: list[list[np.ndarray]]) -> Iterator[pd.DataFrame]:
-        rows = []
-        for order, arrays in enumerate(gathered, 1):
-            keys, counts = np.unique(np.concatenate(arrays), return_counts=True)
-            at = _bucket(keys, bits)
-            for part in np.split(np.arange(len(keys)), np.flatnonzero(np.diff(at)) + 1):
-                rows.append((order, int(at[part[0]]), keys[part].tobytes(), counts[part].astype("<u4").tobytes()))
-            arrays.clear()
-        yield pd.DataFrame(rows, columns=["order", "bucket", "keys", "counts"])
+    def rows(order: int, chunk: int, keys: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
+        at = _bucket(keys, bits)
+        edges = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(keys)]
+        return pd.DataFrame([(order, int(at[s]), chunk, keys[s:e].tobytes(), counts[s:e].astype("<u4").tobytes()) for s, e in zip(edges, edges[1:])],
+                            columns=["order", "bucket", "chunk", "keys", "counts"])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, gathered, n = Words(), [[], []], 0
-        for frame in _portions(frames):
-            if len(words) > VOCABULARY:
-                words = Words()
-            ids, starts = _tokens(frame["text"], words)
-            keys = np.array(words.keys_, _U)[ids]
-            gathered[0].append(keys)
-            gathered[1].append(_pair_keys(_contexts(keys, starts), keys))
-            n += len(keys)
-            if n >= CHUNK_TOKENS:
-                yield from flush(gathered)
-                n = 0
-        if n:
-            yield from flush(gathered)
+        for frame in frames:
+            for chunk, held, sizes, words, planes in zip(frame["chunk"], frame["held"], frame["sizes"], frame["words"], frame["ids"]):
+                keys, ids, _, pairs = _chunk(words, planes, np.asarray(sizes))
+                train = np.repeat(~np.asarray(held, bool), sizes)
+                by = np.argsort(keys)
+                yield rows(1, chunk, keys[by], np.bincount(ids[train], minlength=len(keys))[by])
+                pairs, at = np.unique(pairs, return_inverse=True)
+                yield rows(2, chunk, pairs, np.bincount(at[train], minlength=len(pairs)))
     return run
 
 
-def _merge(group: pd.DataFrame) -> pd.DataFrame:
-    """All counts of one bucket; of pairs only those in the model's reach."""
+def _answer(group: pd.DataFrame) -> pd.DataFrame:
+    """Builds the filter of one bucket from all its counts, and gives each chunk the levels of the n-grams it sent."""
     order = int(group["order"].iloc[0])
-    keys = np.concatenate([np.frombuffer(x, "<u8") for x in group["keys"]])
-    counts = np.concatenate([np.frombuffer(x, "<u4") for x in group["counts"]]).astype(np.int64)
-    by = np.argsort(keys, kind="stable")
-    keys, counts = keys[by], counts[by]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    keys, counts = keys[first], np.add.reduceat(counts, first)
-    total = int(counts.sum())
-    if order == 2:
-        keep = counts >= LEAST_PAIR
-        keys, counts = keys[keep], counts[keep]
-    return pd.DataFrame({"order": [order], "bucket": [int(group["bucket"].iloc[0])], "keys": [keys.tobytes()], "counts": [counts.astype("<i8").tobytes()], "n_keys": [len(keys)], "n_total": [total]})
-
-
-def ngram_counts(train: DataFrame, bits: int) -> DataFrame:
-    """Exact counts of words (order 1) and pairs (order 2), one row per order and bucket."""
-    parts = train.select("text").mapInPandas(_count_task(bits), _COUNTED)
-    return parts.groupBy("order", "bucket").applyInPandas(_merge, _MERGED)
-
-
-def _histogram(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        for order, counts in zip(frame["order"], frame["counts"]):
-            n = np.bincount(level(np.frombuffer(counts, "<i8")))
-            yield pd.DataFrame({"order": order, "lv": np.arange(len(n)), "n": n})
+    keys, at = np.unique(np.concatenate([np.frombuffer(x, "<u8") for x in group["keys"]]), return_inverse=True)
+    sent = [np.frombuffer(x, "<u4") for x in group["counts"]]
+    counts = np.bincount(at, np.concatenate(sent), len(keys)).astype("<i8")     # exact below 2^53
+    seen = counts > 0
+    merged = pd.DataFrame({"order": [order], "bucket": [0], "keys": [keys[seen].tobytes()], "counts": [counts[seen].tobytes()]})
+    least = {1: 1, 2: 1}
+    segment = next(_segment_task(least)(iter([merged])))["bits"].iloc[0]
+    probed = Filter(0, least, [(order, 0, segment)])
+    levels = np.concatenate([probed.levels(x, order).astype(np.uint8) for x in np.array_split(keys, 1 + (len(keys) >> 17))])
+    parts = np.split(at, np.cumsum([len(x) for x in sent])[:-1])
+    out = group[["order", "bucket", "chunk"]].copy()
+    out["levels"] = [levels[x].tobytes() for x in parts]
+    out["counts"] = [counts[x].tobytes() if order == 1 else b"" for x in parts]
+    out["n_keys"], out["n_total"] = [[total] + [0] * (len(out) - 1) for total in (int(seen.sum()), int(counts.sum()))]
+    return out
+
+
+def _levels_of_chunk(chunk: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+    """Per row the exact base, and the levels of its words, of their contexts and of the pairs, one after the other."""
+    answers = answers.sort_values(["order", "bucket"])      # keys of a bucket are sorted, and all above those of lower ones
+    one, two = (answers[answers["order"] == o] for o in (1, 2))
+    (doc_ids, no_id, held, sizes, words, planes), = zip(*(chunk[c] for c in ("doc_ids", "no_id", "held", "sizes", "words", "ids")))
+    sizes = np.asarray(sizes)
+    keys, ids, starts, pairs = _chunk(words, planes, sizes)
+    by = np.argsort(keys)
+    word, exact = np.empty(len(keys), np.uint8), np.empty(len(keys), np.int64)
+    word[by] = np.frombuffer(b"".join(one["levels"]), np.uint8)
+    exact[by] = np.frombuffer(b"".join(one["counts"]), "<i8")
+    pair = np.frombuffer(b"".join(two["levels"]), np.uint8)[np.unique(pairs, return_inverse=True)[1]]
+    own, counts = word[ids], exact[ids]
+    context = np.empty_like(own)
+    context[1:] = own[:-1]
+    context[starts] = word[0]       # texts begin as often as they end
+    context = np.maximum(context, pair)
+    return pd.DataFrame({
+        "doc_id": doc_ids, "no_id": no_id, "held_out": held, "n_tokens": sizes, "n_known": np.add.reduceat((counts > 0).astype(np.int64), starts),
+        "exact_log": np.add.reduceat(np.log10(counts + 1.0), starts),
+        "levels": [np.concatenate([x[s:s + n] for x in (own, context, pair)]).tobytes() for s, n in zip(starts, sizes)]})
 
 
 def cutoffs(per_level: dict[int, dict[int, int]], max_bytes: int) -> dict[int, int]:
-    """The least level of each order that the filter holds: as low as its size allows."""
+    """The least level of each order that a filter of bounded size could hold. ``score`` does not cut: its filter holds all."""
     least = {1: 1, 2: int(level(np.array([LEAST_PAIR]))[0])}
 
     def size(order: int) -> int:
@@ -221,7 +260,7 @@ def _segment_task(least: dict[int, int]):
 
 
 class Filter:
-    """The broadcast filter; ``counts`` probes it."""
+    """Segments of the filter; ``levels`` and ``counts`` probe them."""
 
     def __init__(self, bits: int, least: dict[int, int], segments: list[tuple[int, int, bytes]]):
         self.bits, self.least = bits, least
@@ -234,6 +273,9 @@ class Filter:
 
     def counts(self, keys: np.ndarray, order: int) -> np.ndarray:
         """Approximate counts, 0 where nothing is found; never below an entry's own level."""
+        return _VALUES[self.levels(keys, order)]
+
+    def levels(self, keys: np.ndarray, order: int) -> np.ndarray:
         at = _bucket(keys, self.bits)
         live = np.flatnonzero(self.size[order][at])
         found, lv = np.zeros(len(keys), np.int64), self.least[order]
@@ -249,140 +291,63 @@ class Filter:
                 live, own, size, start = live[hit], own[hit], size[hit], start[hit]
             found[live] = lv
             lv += 1
-        return _VALUES[found]
-
-
-class Model:
-    """What a worker needs to score: the filter, exact counts of frequent words, totals, a and m."""
-
-    def __init__(self, shared: dict):
-        self.filter = Filter(shared["bits"], shared["least"], shared["segments"])
-        self.heavy_keys, self.heavy_counts = (np.frombuffer(x, t) for x, t in zip(shared["heavy"], ("<u8", "<i8")))
-        self.n, self.v = shared["n"], shared["v"]
-        self.forget()
-
-    def forget(self) -> None:
-        self.words, self.keys = Words(), np.empty(0, _U)
-        self.approx, self.exact = np.empty(0), np.empty(0, np.int64)
-
-    def tokens(self, texts) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.words) > VOCABULARY:
-            self.forget()
-        ids, starts = _tokens(texts, self.words)
-        new = np.array(self.words.keys_[len(self.keys):], _U)
-        if len(new):
-            at = np.searchsorted(self.heavy_keys, new)
-            known = at < len(self.heavy_keys)
-            known[known] = self.heavy_keys[at[known]] == new[known]
-            exact = np.full(len(new), -1, np.int64)
-            exact[known] = self.heavy_counts[at[known]]
-            self.keys = np.concatenate([self.keys, new])
-            self.approx = np.concatenate([self.approx, self.filter.counts(new, 1)])
-            self.exact = np.concatenate([self.exact, exact])
-        return ids, starts
-
-    def ngrams(self, ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Approximate counts of each token, of its context, and of the pair."""
-        keys, words = self.keys[ids], self.approx[ids]
-        pairs = self.filter.counts(_pair_keys(_contexts(keys, starts), keys), 2)
-        context = np.empty_like(words)
-        context[1:] = words[:-1]
-        context[starts] = self.approx[0]    # texts begin as often as they end
-        return words, np.maximum(context, pairs), pairs
-
-    def log10(self, words, context, pairs, a: float, m: float) -> np.ndarray:
-        one = (words + a) / (self.n + a * (self.v + 1))
-        return np.log10((pairs + m * one) / (context + m))
-
-
-def _tune_task(shared):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = Model(shared.value)
-        for frame in _portions(frames):
-            less = [np.maximum(x - 1, 0) for x in model.ngrams(*model.tokens(frame["text"]))]
-            yield pd.DataFrame({"cell": range(len(GRID)), "total": [float(model.log10(*less, *g).sum()) for g in GRID]})
-    return run
+        return found
 
 
-def _score_task(shared, a: float, m: float):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = Model(shared.value)
-        for frame in _portions(frames):
-            ids, starts = model.tokens(frame["text"])
-            score = np.add.reduceat(model.log10(*model.ngrams(ids, starts), a, m), starts)
-            exact = model.exact[ids]
-            rare = exact < 0
-            ends = np.append(starts[1:], len(ids))
-            keys = model.keys[ids].view(np.int64)
-            yield pd.DataFrame({
-                "row": frame["row"].to_numpy(), "doc_id": frame["doc_id"].array, "held_out": frame["held_out"].to_numpy(), "n_tokens": ends - starts,
-                "heavy_n": np.add.reduceat((~rare).astype(np.int64), starts),
-                "heavy_log": np.add.reduceat(np.where(rare, 0.0, np.log10(np.maximum(exact, 0) + 1.0)), starts),
-                "score": score, "rare": [keys[s:e][rare[s:e]] for s, e in zip(starts, ends)]})
-    return run
+def _log10(levels: np.ndarray, n: int, v: int, a: float, m: float, less: int = 0) -> np.ndarray:
+    """Of rows of levels (word, context, pair); with ``less`` 1, as if the token had not been counted."""
+    words, context, pairs = (np.maximum(_VALUES[x] - less, 0) for x in levels)
+    return np.log10((pairs + m * ((words + a) / (n + a * (v + 1)))) / (context + m))
+
 
+def _joined(blobs) -> np.ndarray:
+    return np.concatenate([np.frombuffer(x, np.uint8).reshape(3, -1) for x in blobs], axis=1)
 
-def _pairs_task(below: int):
+
+def _tune_task(n: int, v: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for raw, counts in zip(frame["keys"], frame["counts"]):
-                n = np.frombuffer(counts, "<i8")
-                keep = n < below
-                yield pd.DataFrame({"key": np.frombuffer(raw, "<i8")[keep], "c": n[keep]})
+            if len(frame):
+                levels = _joined(frame["levels"]).astype(np.int32)
+                codes, times = np.unique(levels[0] << 14 | levels[1] << 7 | levels[2], return_counts=True)
+                levels = np.stack([codes >> 14, codes >> 7 & 127, codes & 127])
+                yield pd.DataFrame({"cell": range(len(GRID)), "total": [float(times @ _log10(levels, n, v, *g, 1)) for g in GRID]})
     return run
 
 
-def _heavy_task(least: int):
+def _score_task(n: int, v: int, a: float, m: float):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for bucket, raw, counts in zip(frame["bucket"], frame["keys"], frame["counts"]):
-                n = np.frombuffer(counts, "<i8")
-                keep = n >= least
-                yield pd.DataFrame({"bucket": [bucket], "keys": [np.frombuffer(raw, "<u8")[keep].tobytes()], "counts": [n[keep].tobytes()]})
+            if len(frame):
+                sizes = frame["n_tokens"].to_numpy()
+                out = frame[["doc_id", "no_id", "held_out", "n_tokens", "n_known"]].copy()
+                out["train_tokens"] = n
+                out["base_score"] = frame["exact_log"] - sizes * np.log10(float(n + v + 1))
+                out["score"] = np.add.reduceat(_log10(_joined(frame["levels"]), n, v, a, m), np.cumsum(sizes) - sizes)
+                yield out
     return run
 
 
 def score(docs: DataFrame, held_out_mod: int = 7, held_out_rest: int = 2, max_filter_bytes: int = 128 << 20) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of ``docs``."""
-    spark = docs.sparkSession
-    own = docs.select("doc_id", whole_text("text").alias("text"), F.coalesce(fold("doc_id", held_out_mod) == held_out_rest, F.lit(False)).alias("held_out"))
-    train = own.where(~F.col("held_out"))
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of ``docs``.
+
+    ``max_filter_bytes`` bounds the mean segment of a bucket: there are as many buckets as that takes."""
+    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), whole_text("text").alias("text"), F.coalesce(fold("doc_id", held_out_mod) == held_out_rest, F.lit(False)).alias("held_out"))
     n_chars, n_train = own.agg(F.sum(F.length("text") + 1), F.count(F.when(~F.col("held_out"), 1))).first()
-    bits = max(0, int(np.ceil(np.log2(max(1, (n_chars or 0) / 6 / BUCKET_TOKENS)))))
-    merged = staged(ngram_counts(train, bits), "ngrams")
-
-    n, v = (x or 0 for x in merged.where("order = 1").agg(F.sum("n_total"), F.sum("n_keys")).first())
-    per_level: dict[int, dict[int, int]] = {}
-    for r in merged.mapInPandas(_histogram, "order int, lv long, n long").groupBy("order", "lv").agg(F.sum("n").alias("n")).collect():
-        per_level.setdefault(r["order"], {})[r["lv"]] = r["n"]
-    least = cutoffs(per_level, max_filter_bytes)
-    words = per_level.get(1, {})
-    heavy_level = 1
-    while sum(c for lv, c in words.items() if lv >= heavy_level) > HEAVY_WORDS:
-        heavy_level += 1
-    ones = merged.where("order = 1")
-    heavy = ones.mapInPandas(_heavy_task(_least(heavy_level)), "bucket long, keys binary, counts binary").collect()
-    heavy.sort(key=lambda r: r["bucket"])   # a bucket's keys are sorted, and all above those of lower buckets
-    segments = merged.mapInPandas(_segment_task(least), "order int, bucket long, bits binary").collect()
-    shared = spark.sparkContext.broadcast({
-        "bits": bits, "least": least, "segments": [(r["order"], r["bucket"], bytes(r["bits"])) for r in segments],
-        "heavy": tuple(b"".join(bytes(r[c]) for r in heavy) for c in ("keys", "counts")), "n": n, "v": v})
-    del segments, heavy
+    most = min(BUCKET_TOKENS, max(1, max_filter_bytes * 8 // BITS_PER_ENTRY))       # a token adds one entry at most
+    bits = max(0, int(np.ceil(np.log2(max(1, (n_chars or 0) / 6 / most)))))
+    chunks = staged(own.mapInPandas(_chunk_task, _TOKENS), "chunks")
+    answers = staged(chunks.drop("doc_ids", "no_id").mapInPandas(_count_task(bits), _COUNTED).groupBy("order", "bucket").applyInPandas(_answer, _ANSWERS), "answers")
+    n, v = (x or 0 for x in answers.where("order = 1").agg(F.sum("n_total"), F.sum("n_keys")).first())
+    levels = staged(chunks.groupBy("chunk").cogroup(answers.drop("n_keys", "n_total").groupBy("chunk")).applyInPandas(_levels_of_chunk, _LEVELS), "levels")
 
     share = min(1.0, TUNE_DOCS / max(1, n_train))
-    sample = train.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 20)) < int(share * (1 << 20))).select("text")
-    totals = {r["cell"]: r["total"] for r in sample.mapInPandas(_tune_task(shared), "cell long, total double").groupBy("cell").agg(F.sum("total").alias("total")).collect()}
+    sample = levels.where(~F.col("held_out")).where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 20)) < int(share * (1 << 20))).select("levels")
+    totals = {r["cell"]: r["total"] for r in sample.mapInPandas(_tune_task(n, v), "cell long, total double").groupBy("cell").agg(F.sum("total").alias("total")).collect()}
     a, m = GRID[max(totals, key=lambda c: (totals[c], -c))] if totals else (1.0, 20.0)
 
-    scored = staged(own.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "held_out", "text").mapInPandas(
-        _score_task(shared, a, m), "row long, doc_id long, held_out boolean, n_tokens long, heavy_n long, heavy_log double, score double, rare array<long>"), "scored")
-    rare = scored.select("row", F.explode("rare").alias("key"))
-    counts = ones.mapInPandas(_pairs_task(_least(heavy_level)), "key long, c long")
-    more = rare.join(counts, "key").groupBy("row").agg(F.count("*").alias("n"), F.sum(F.log10(F.col("c") + 1.0)).alias("log"))
-    known = F.col("heavy_n") + F.coalesce("n", F.lit(0))
-    base = F.col("heavy_log") + F.coalesce("log", F.lit(0.0)) - F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))
-    return scored.drop("rare").join(more, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", known.cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
+    scored = levels.mapInPandas(_score_task(n, v, a, m), "doc_id long, no_id boolean, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return scored.withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id"))).drop("no_id")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,6 +70,47 @@ def test_small_filter_still_scores(spark, sf_dir):
     assert len(got) == docs.count() and all(r["score"] < 0 for r in got)
 
 
+def exact_scores(rows):
+    """Total score of held-out rows by all counts, quantised, and by the grid's best cell over all training rows."""
+    one, two, held = collections.Counter(), collections.Counter(), {i: zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows}
+    grams = [(i, [(v, w) for v, w in zip([b" begin"] + tokens(t), tokens(t))]) for i, t in rows]
+    for i, pairs in grams:
+        if not held[i]:
+            one.update(w for _, w in pairs)
+            two.update(pairs)
+    n, v, begin = sum(one.values()), len(one), one[b" end"]
+
+    def value(c):
+        return lm._VALUES[lm.level(np.array([c]))[0]] if c else 0.0
+
+    found = {h: np.array([(value(one[w]), value(begin if b == b" begin" else one[b]), value(two[b, w])) for i, pairs in grams if held[i] == h for b, w in pairs]).T for h in (False, True)}
+
+    def total(x, a, m):
+        return np.log10((x[2] + m * ((x[0] + a) / (n + a * (v + 1)))) / (np.maximum(x[1], x[2]) + m)).sum()
+
+    best = max(lm.GRID, key=lambda g: total(np.maximum(found[False] - 1, 0), *g))
+    return total(found[True], *best)
+
+
+@pytest.mark.parametrize("bound", [1 << 27, 1000])
+def test_all_ngrams_count_whatever_the_bound(spark, sf_dir, bound):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    want = exact_scores([(r["doc_id"], r["text"]) for r in docs.collect()])
+    got = sum(r["score"] for r in lm.score(docs, max_filter_bytes=bound).collect() if r["held_out"])
+    assert math.isclose(got, want, rel_tol=0.01)
+
+
+def test_chunks_and_buckets_do_not_change_results(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    whole = {r["doc_id"]: r for r in lm.score(docs).collect()}
+    monkeypatch.setattr(lm, "TOGETHER", 1000)
+    monkeypatch.setattr(lm, "CHUNK_TOKENS", 500)
+    monkeypatch.setattr(lm, "BUCKET_TOKENS", 3000)
+    for r in lm.score(docs.repartition(5)).collect():
+        w = whole[r["doc_id"]]
+        assert r[1:5] == w[1:5] and math.isclose(r["base_score"], w["base_score"], rel_tol=1e-9) and math.isclose(r["score"], w["score"], rel_tol=0.1)
+
+
 def test_odd_rows(spark, odd_docs):
     rows = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
     got = sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], round(r["base_score"], 6)) for r in lm.score(odd_docs).collect())
