@@ -8,8 +8,7 @@ and is probed there. Probabilities are Dirichlet-smoothed, from probes alone:
 
     P1(w) = (c(w) + a) / (N + a (V + 1)),  P(w | v) = (c(v w) + m P1(w)) / (c(v) + m)
 
-``a`` and ``m`` are chosen from a small grid by leave-one-out likelihood on a bounded sample of
-training documents (``TUNE_DOCS``).
+``a`` and ``m`` are chosen from a small grid by leave-one-out likelihood of all training documents.
 
 Documents are cut into chunks of tokens. A chunk sends each bucket its distinct n-grams, with their
 counts in its training documents, and gets back the level of each, and of words the exact count. So
@@ -43,7 +42,6 @@ HEAVY_WORDS = 1 << 19       # not used: all exact counts come with the answers
 BUCKET_TOKENS = 1 << 21     # tokens for each bucket of the key space, on average
 CHUNK_TOKENS = 1 << 20      # tokens of a chunk; a longer text is one chunk
 TOGETHER = 1 << 21          # characters of texts that a task works on at a time
-TUNE_DOCS = 400
 GRID = list(product((0.02, 0.1, 0.5, 1.0), (2.0, 20.0, 200.0, 2000.0, 20000.0, 1e6)))
 
 _U = np.uint64
@@ -333,7 +331,7 @@ def score(docs: DataFrame, held_out_mod: int = 7, held_out_rest: int = 2, max_fi
 
     ``max_filter_bytes`` bounds the mean segment of a bucket: there are as many buckets as that takes."""
     own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), whole_text("text").alias("text"), F.coalesce(fold("doc_id", held_out_mod) == held_out_rest, F.lit(False)).alias("held_out"))
-    n_chars, n_train = own.agg(F.sum(F.length("text") + 1), F.count(F.when(~F.col("held_out"), 1))).first()
+    n_chars = own.agg(F.sum(F.length("text") + 1)).first()[0]
     most = min(BUCKET_TOKENS, max(1, max_filter_bytes * 8 // BITS_PER_ENTRY))       # a token adds one entry at most
     bits = max(0, int(np.ceil(np.log2(max(1, (n_chars or 0) / 6 / most)))))
     chunks = staged(own.mapInPandas(_chunk_task, _TOKENS), "chunks")
@@ -341,10 +339,9 @@ def score(docs: DataFrame, held_out_mod: int = 7, held_out_rest: int = 2, max_fi
     n, v = (x or 0 for x in answers.where("order = 1").agg(F.sum("n_total"), F.sum("n_keys")).first())
     levels = staged(chunks.groupBy("chunk").cogroup(answers.drop("n_keys", "n_total").groupBy("chunk")).applyInPandas(_levels_of_chunk, _LEVELS), "levels")
 
-    share = min(1.0, TUNE_DOCS / max(1, n_train))
-    sample = levels.where(~F.col("held_out")).where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 20)) < int(share * (1 << 20))).select("levels")
-    totals = {r["cell"]: r["total"] for r in sample.mapInPandas(_tune_task(n, v), "cell long, total double").groupBy("cell").agg(F.sum("total").alias("total")).collect()}
-    a, m = GRID[max(totals, key=lambda c: (totals[c], -c))] if totals else (1.0, 20.0)
+    train = levels.where(~F.col("held_out")).select("levels")
+    totals = {r["cell"]: r["total"] for r in train.mapInPandas(_tune_task(n, v), "cell long, total double").groupBy("cell").agg(F.sum("total").alias("total")).collect()}
+    a, m = GRID[max(totals, key=lambda c: (totals[c], -c))] if totals else GRID[0]     # without training all give the same
 
     scored = levels.mapInPandas(_score_task(n, v, a, m), "doc_id long, no_id boolean, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return scored.withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id"))).drop("no_id")

@@ -100,6 +100,14 @@ def test_all_ngrams_count_whatever_the_bound(spark, sf_dir, bound):
     assert math.isclose(got, want, rel_tol=0.01)
 
 
+def test_smoothing_weights_come_from_all_training_documents(spark, monkeypatch):
+    rng = np.random.default_rng(3)      # words in any order: pairs say nothing, so m must be large
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 200, 100))) for i in range(200)]
+    monkeypatch.setattr(lm, "TUNE_DOCS", 0, raising=False)      # once the size of a sample
+    got = sum(r["score"] for r in lm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r["held_out"])
+    assert math.isclose(got, exact_scores(rows), rel_tol=0.01)
+
+
 def test_chunks_and_buckets_do_not_change_results(spark, sf_dir, monkeypatch):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     whole = {r["doc_id"]: r for r in lm.score(docs).collect()}
