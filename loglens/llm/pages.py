@@ -4,11 +4,13 @@ Every page is cut into lines (the text of its blocks, in page order). Pages are
 and URL path; each is compared with its neighbours on both sides in that order. Lines are aligned
 with a longest common subsequence, and lines shared with a neighbour are deleted as template.
 
-What the markup itself decides is checked afterwards: lines inside an ``article`` or ``main`` are
-the page's own even if shared (copies and quoted passages stay), and lines inside navigation,
-header, footer, sidebar, notice, advert, form, comment and script markup are never main text, even
-if only one page has them. A neighbour that shares all of a page's open lines is a copy, not a
-witness of the template, and is not used.
+The markup is a check on that. A line outside all main markup goes if one neighbour shares it; a line
+inside a ``main`` (or an element named so), which may hold template too, if two do; a line inside an
+``article``, which is one text, only if at least three neighbours that are not versions of the page do,
+and no such neighbour lacks it (so quoted passages stay). Lines inside navigation, header, footer,
+sidebar, notice, advert, form, comment and script markup are never main text, even if only one page
+has them. A neighbour that shares all lines of a page is a copy, not a witness of the template, and
+is not used; one that shares three quarters of them or more is a version.
 
 Order and pairing use narrow rows (host, path, hashes of lines): a global range sort, an index from
 partition sizes, and a join on it, so a host with a third of all pages is spread over many tasks.
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import staged, table, whole_text
 
-OPEN, MAIN, AROUND = 0, 1, 2
+OPEN, MAIN, AROUND, ARTICLE = 0, 1, 2, 3
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|svg|iframe)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
                     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|</?[a-zA-Z][^<>]*>", re.S | re.I)
@@ -39,12 +41,12 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
                     "span strike strong sub sup time tt u var wbr".split())
 _AROUND = frozenset("nav header footer aside form menu dialog button select head noscript iframe object".split())
-_MAIN = frozenset("article main".split())
 _HINT = re.compile(r"(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _AROUND_HINT = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|header|footer|sidebar\w*|side|aside|"
                           r"widgets?|cookies?|consent|notices?|popup|modal|newsletter|subscribe|share|social|related|comments?|replies|reply|disqus|login|search|"
                           r"complementary|contentinfo|navigation|banner)(?:$|[\s_-])", re.I)
-_MAIN_HINT = re.compile(r"(?:^|[\s_-])(?:article\w*|main|post-body|entry-content)(?:$|[\s_-])", re.I)
+_MAIN_HINT = re.compile(r"(?:^|[\s_-])main(?:$|[\s_-])", re.I)
+_ARTICLE_HINT = re.compile(r"(?:^|[\s_-])(?:article\w*|post-body|entry-content)(?:$|[\s_-])", re.I)
 _SELF_CLOSED_BY = {"p": frozenset("p div ul ol li table article section h1 h2 h3 h4 h5 h6 header footer nav aside form blockquote pre main".split()),
                    "li": frozenset(["li"]), "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]),
                    "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "option": frozenset(["option"])}
@@ -55,11 +57,13 @@ def _zone(tag: str, attributes: str, outer: int) -> int:
     if outer == AROUND:
         return AROUND
     hints = " ".join(x.strip("\"'") for x in _HINT.findall(attributes)) if "=" in attributes else ""
-    if tag == "header" and outer == MAIN:       # an article's own heading
-        return MAIN
+    if tag == "header" and outer in (MAIN, ARTICLE):       # an article's own heading
+        return outer
     if tag in _AROUND or (hints and tag not in ("body", "html") and _AROUND_HINT.search(hints)):
         return AROUND
-    if tag in _MAIN or (hints and _MAIN_HINT.search(hints)):
+    if tag == "article" or (hints and _ARTICLE_HINT.search(hints)):
+        return ARTICLE
+    if outer == OPEN and (tag == "main" or (hints and _MAIN_HINT.search(hints))):
         return MAIN
     return outer
 
@@ -137,17 +141,23 @@ def shared(own: list[int], other: list[int]) -> list[bool]:
 
 
 def deleted(own: list[int], others: list[list[int]]) -> list[bool]:
-    """Which lines (hash, and zone in the low bit) a neighbour shows to be template."""
-    out = [False] * len(own)
+    """Which lines (hash, and zone in the two low bits) the neighbours show to be template."""
+    n, witnesses = len(own), 0
+    times, in_others = [0] * n, [0] * n
     for other in others:
         common = shared(own, other)
-        if any(x & 1 == OPEN and not c for x, c in zip(own, common)):   # else a copy of the page
-            out = [a or (b and x & 1 == OPEN) for a, b, x in zip(out, common, own)]
-    return out
+        if all(common):                         # a copy of the page
+            continue
+        times = [k + c for k, c in zip(times, common)]
+        if 4 * common.count(False) > n:         # else a version of it
+            witnesses += 1
+            in_others = [k + c for k, c in zip(in_others, common)]
+    least = {OPEN: 1, MAIN: 2}
+    return [k == witnesses >= 3 if x & 3 == ARTICLE else t >= least[x & 3] for x, t, k in zip(own, times, in_others)]
 
 
 def _items(html: pd.Series) -> pd.Series:
-    return pd.Series([[(xxhash.xxh64_intdigest(t) & ~1 | z) - (1 << 63) for t, z in lines(h) if z != AROUND] for h in html], dtype=object)
+    return pd.Series([[(xxhash.xxh64_intdigest(t) & ~3 | z) - (1 << 63) for t, z in lines(h) if z != AROUND] for h in html], dtype=object)
 
 
 def _text(html: pd.Series) -> pd.Series:

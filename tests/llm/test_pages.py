@@ -49,6 +49,26 @@ def test_articles_keep_shared_passages_and_copies_stay(spark):
     assert set(text_of(spark, copies).values()) == {"All the same"}
 
 
+def test_template_lines_inside_main_go(spark):
+    shop = "<div>Welcome to the shop</div><div>Thing {} is fine.</div><div>Call us today</div>"
+    for around in ("<main>{}</main>", "<div id=main>{}</div>"):
+        got = text_of(spark, [(i, f"http://h.example/{i:03}", page(around.format(shop.format(i)))) for i in range(40)])
+        assert {i: got[i] for i in range(1, 39)} == {i: f"Thing {i} is fine." for i in range(1, 39)}
+
+
+def test_zones_of_shared_lines():
+    def items(zone, *lines):
+        return [4 * x | zone for x in lines]
+    a = pages.ARTICLE
+    others = [items(a, 1, 2, 10 + i, 20 + i) for i in range(4)]
+    assert pages.deleted(items(a, 1, 2, 3, 4), others) == [True, True, False, False]
+    assert not any(pages.deleted(items(a, 1, 2, 3, 4), others[:2]))                             # too few
+    assert not any(pages.deleted(items(a, 1, 2, 3, 4), others[:3] + [items(a, 8, 9)]))          # one lacks them
+    assert not any(pages.deleted(items(a, 1, 2, 3, 4), [items(a, 1, 2, 3, 10 + i) for i in range(4)]))      # versions
+    assert pages.deleted(items(pages.MAIN, 1, 2), [items(pages.MAIN, 1, 10 + i) for i in range(2)]) == [True, False]
+    assert not any(pages.deleted(items(pages.MAIN, 1, 2), [items(pages.MAIN, 1, 2)] * 4))       # copies
+
+
 def test_markup():
     html = ("<!doctype html><head><title>no</title></head><body><header>top</header><nav><a href='/'>x</a></nav><!-- <p>no</p> --><div class=\"ad\">buy</div>"
             "<main><h1>A &amp; B</h1><p>one <b>two</b>\n three<br>four &lt;tag&gt; &copy;<p title='a > b'>five<ul><li>six<li>seven</ul><div class='comments'><p>spam</p></div>"
