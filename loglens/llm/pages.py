@@ -1,8 +1,9 @@
 """HTML extraction by differencing pages with the nearest URL (operator 9).
 
-Every page is cut into lines (the text of its blocks, in page order). Pages are ordered by host
-and URL path; each is compared with its neighbours on both sides in that order. Lines are aligned
-with a longest common subsequence, and lines shared with a neighbour are deleted as template.
+Every page is cut into lines (the text of its blocks, in page order). Pages of one host with equal
+lines are one content, at the first of their URL paths. Contents are ordered by host and path; each is
+compared with the ``SIDE`` nearest on both sides in that order. Lines are aligned with a longest
+common subsequence, and lines shared with neighbours are deleted as template, in all copies alike.
 
 The markup is a check on that. A line outside all main markup goes if one neighbour shares it; a line
 inside a ``main`` (or an element named so), which may hold template too, if two do; a line inside an
@@ -13,7 +14,8 @@ has them. A neighbour that shares all lines of a page is a copy, not a witness o
 is not used; one that shares three quarters of them or more is a version.
 
 Order and pairing use narrow rows (host, path, hashes of lines): a global range sort, an index from
-partition sizes, and a join on it, so a host with a third of all pages is spread over many tasks.
+partition sizes, and blocks of that index which overlap by ``SIDE``, so a host with a third of all
+pages is spread over many tasks.
 Pages are cut once for their hashes and again for their lines, which saves storing all lines.
 
 Defined results: null html is an empty page with empty text; a null or odd URL has an empty host
@@ -26,14 +28,18 @@ from __future__ import annotations
 import re
 from html import unescape
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import staged, table, whole_text
 
 OPEN, MAIN, AROUND, ARTICLE = 0, 1, 2, 3
+SIDE = 2                    # neighbours on each side
+BLOCK = 256                 # contents that are paired together
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|svg|iframe)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
                     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|</?[a-zA-Z][^<>]*>", re.S | re.I)
@@ -156,47 +162,57 @@ def deleted(own: list[int], others: list[list[int]]) -> list[bool]:
     return [k == witnesses >= 3 if x & 3 == ARTICLE else t >= least[x & 3] for x, t, k in zip(own, times, in_others)]
 
 
-def _items(html: pd.Series) -> pd.Series:
-    return pd.Series([[(xxhash.xxh64_intdigest(t) & ~3 | z) - (1 << 63) for t, z in lines(h) if z != AROUND] for h in html], dtype=object)
+def _cut(html: str) -> tuple[str, int, list[int]]:
+    """The lines that may be text, joined; their items; a hash of these."""
+    kept = [(t, z) for t, z in lines(html) if z != AROUND]
+    items = [(xxhash.xxh64_intdigest(t) & ~3 | z) - (1 << 63) for t, z in kept]
+    return "\n".join(t for t, _ in kept), xxhash.xxh64_intdigest(np.array(items, "<i8").tobytes()) - (1 << 63), items
 
 
-def _text(html: pd.Series) -> pd.Series:
-    return pd.Series(["\n".join(t for t, z in lines(h) if z != AROUND) for h in html], dtype=object)
+def _items(html: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([_cut(h)[1:] for h in html], columns=["content", "items"])
 
 
-def _deleted(items: pd.Series, before: pd.Series, after: pd.Series) -> pd.Series:
-    return pd.Series([deleted(x.tolist(), [o.tolist() for o in (b, a) if o is not None and len(o)]) for x, b, a in zip(items, before, after)], dtype=object)
+def _text(html: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([_cut(h)[:2] for h in html], columns=["text", "content"])
+
+
+def _deleted(items: pd.Series, others: pd.Series) -> pd.Series:
+    return pd.Series([deleted(x.tolist(), [o.tolist() for o in near if o is not None]) for x, near in zip(items, others)], dtype=object)
 
 
 def neighbours(rows: DataFrame) -> DataFrame:
-    """page, items, and the items of the nearest pages by path on the same host: before, after (null if none)."""
+    """host, content, items, and the items of the nearest other contents by path on the same host: others."""
     spark = rows.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = ["host", "path", "page"]
+    order = ["host", "path", "content"]
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    by_url = staged(rows.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()).withColumn("place", place).drop("path"), "by-url")
+    one = rows.where(F.size("items") > 0).groupBy("host", "content").agg(F.min("path").alias("path"), F.first("items").alias("items"))
+    by_url = staged(one.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()).withColumn("place", place).drop("path"), "by-url")
     offset, offsets = 0, []
     for r in by_url.groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect():     # one number a partition
         offsets += [F.lit(r["part"]), F.lit(offset)]
         offset += r["n"]
     start = F.element_at(F.create_map(*offsets), F.col("part")) if offsets else F.lit(0)
-    at = by_url.select((start + F.col("place")).cast("long").alias("index"), "page", "host", "items")
-    side = lambda step, name: at.select((F.col("index") + step).alias("index"), F.col("host").alias(f"{name}_host"), F.col("items").alias(name))
-    both = at.join(side(1, "before"), "index", "left").join(side(-1, "after"), "index", "left")
-    own = lambda name: F.when(F.col(f"{name}_host") == F.col("host"), F.col(name)).alias(name)
-    return both.select("page", "items", own("before"), own("after"))
+    at = by_url.select((start + F.col("place")).cast("long").alias("index"), "host", "content", "items")
+    block = lambda step: F.floor((F.col("index") + step) / BLOCK)
+    blocks = at.withColumn("block", F.explode(F.array_distinct(F.array(block(-SIDE), block(0), block(SIDE)))))
+    w = W.partitionBy("block").orderBy("index")
+    steps = [k for k in range(-SIDE, SIDE + 1) if k]
+    near = [F.when(F.lag("host", k).over(w) == F.col("host"), F.lag("items", k).over(w)) for k in steps]
+    return blocks.withColumn("others", F.array(*near)).where(F.col("block") == block(0)).select("host", "content", "items", "others")
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text of every row of ``pages``. Equal rows are one page and get the same text."""
-    own = pages.select("page_id", "url", whole_text("html").alias("html"), F.xxhash64("page_id", "url", "html").alias("page"))
+    """page_id, url, text of every row of ``pages``. Equal lines on one host get the same text."""
     url = whole_text("url")
     host = F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1))
     path = F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://)?[^/?#]*([^?#]*)", 1)
-    items, text, find = F.pandas_udf(_items, "array<long>"), F.pandas_udf(_text, "string"), F.pandas_udf(_deleted, "array<boolean>")
-    paired = neighbours(own.select("page", host.alias("host"), path.alias("path"), items("html").alias("items")))
-    marks = paired.select("page", find("items", "before", "after").alias("deleted")).groupBy("page").agg(F.min("deleted").alias("deleted"))
-    cut = own.select("page_id", "url", "page", text("html").alias("text")).join(marks, "page")
+    own = pages.select("page_id", "url", host.alias("host"), path.alias("path"), whole_text("html").alias("html"))
+    items, text, find = F.pandas_udf(_items, "content long, items array<long>"), F.pandas_udf(_text, "text string, content long"), F.pandas_udf(_deleted, "array<boolean>")
+    paired = neighbours(own.select("host", "path", items("html").alias("cut")).select("host", "path", "cut.*"))
+    marks = paired.select("host", "content", find("items", "others").alias("deleted"))
+    cut = own.select("page_id", "url", "host", text("html").alias("cut")).select("page_id", "url", "host", "cut.*").join(marks, ["host", "content"], "left")
     left = F.expr("array_join(filter(split(text, '\n'), (t, i) -> not deleted[i]), '\n')")
     return cut.select("page_id", "url", F.when(F.col("text") == "", "").otherwise(left).alias("text"))
 

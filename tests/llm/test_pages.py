@@ -53,7 +53,20 @@ def test_template_lines_inside_main_go(spark):
     shop = "<div>Welcome to the shop</div><div>Thing {} is fine.</div><div>Call us today</div>"
     for around in ("<main>{}</main>", "<div id=main>{}</div>"):
         got = text_of(spark, [(i, f"http://h.example/{i:03}", page(around.format(shop.format(i)))) for i in range(40)])
-        assert {i: got[i] for i in range(1, 39)} == {i: f"Thing {i} is fine." for i in range(1, 39)}
+        assert got == {i: f"Thing {i} is fine." for i in range(40)}
+
+
+def test_copies_of_one_url_get_the_same_text(spark):
+    shop = "<div>Welcome to the shop</div><div>Thing {} is fine.</div><div>Call us today</div>"
+    rows = [(i, f"http://h.example/{i // 20:03}?ref={i % 20}", page(shop.format(i // 20))) for i in range(100)]
+    assert text_of(spark, rows) == {i: f"Thing {i // 20} is fine." for i in range(100)}
+
+
+def test_neighbours_reach_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(pages, "BLOCK", 3)
+    rows = spark.createDataFrame([("h", f"/{i:03}", i, [i]) for i in range(30)], "host string, path string, content long, items array<long>")
+    got = {r["content"]: sorted(x[0] for x in r["others"] if x is not None) for r in pages.neighbours(rows).collect()}
+    assert got == {i: [k for k in range(i - pages.SIDE, i + pages.SIDE + 1) if k != i and 0 <= k < 30] for i in range(30)}
 
 
 def test_zones_of_shared_lines():
