@@ -6,8 +6,9 @@ conversation for one speaker is the concatenation of its segments by ``position`
 carries its place in it (``start`` to ``end``, in characters) and the span to learn from
 (``loss_start`` to ``loss_end``: the speaker's own words and the end mark; null elsewhere).
 
-Rows stay one a message and speaker, and places come from bucketed running sums, so a
-conversation with a third of all messages is never gathered in one task.
+Rows stay one a message and speaker. Messages are sorted once by range, equal ones spread too, and
+cut into buckets of ``ROWS``; places come from running sums of buckets. So no task gathers a
+conversation, whatever its share of all messages and however its turns repeat.
 
 Defined results: a null role speaks as ``unknown``; null text is empty; rows with null ``conv_id``
 form one conversation; messages are ordered by turn (null last), then role, then text, and equal
@@ -20,27 +21,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import prefix_sums, table, whole_text
+from .common import prefix_sums, staged, table, whole_text
 
 SYSTEM = "system"
-TURNS = 64                  # of a bucket
+ROWS = 4096                 # messages of a bucket
 
 
 def rotate(messages: DataFrame) -> DataFrame:
     """conv_id, speaker, position, turn, role, segment, start, end, loss_start, loss_end."""
     own = messages.select("conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("unknown")).alias("role"), whole_text("text").alias("text"))
+    own = own.withColumn("conv", F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.lit("")))
+    order = [F.col("conv"), F.col("turn").asc_nulls_last(), F.col("role"), F.col("text"), F.col("tie")]
+    n = int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # `at` is partition << 33 | row within it: the order of all messages
+    own = staged(own.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange(n, *order).sortWithinPartitions(*order)
+                 .withColumn("at", F.monotonically_increasing_id()).drop("tie"), "messages")
     speakers = own.where(F.col("role") != SYSTEM).groupBy(F.col("conv_id").alias("of"), F.col("role").alias("speaker")).agg(F.lit(1).alias("one")).drop("one")
     speaks = F.col("role") == F.col("speaker")
     head = F.when(speaks, "<|im_start|>assistant\n").when(F.col("role") == SYSTEM, f"<|im_start|>{SYSTEM}\n").otherwise(F.concat(F.lit("<|im_start|>user name="), "role", F.lit("\n")))
     both = own.join(speakers, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")
     both = both.withColumn("head", F.length(head)).withColumn("segment", F.concat(head, "text", F.lit("<|im_end|>\n")))
-    both = both.withColumn("conv", F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.lit("")))
-    both = both.withColumn("bucket", F.coalesce(F.expr(f"turn div {TURNS}"), F.lit((1 << 63) - 1)))
-    # position in the high half and characters in the low half of one running sum
-    size = F.lit(1 << 40) + F.length("segment")
-    placed = prefix_sums(both, ["conv", "speaker"], "bucket", [F.col("turn").asc_nulls_last(), F.col("role"), F.col("text")], size, "place")
-    start = F.col("place").bitwiseAND(F.lit((1 << 40) - 1))
-    placed = placed.withColumn("position", F.expr("shiftright(place, 40)")).withColumn("start", start).withColumn("end", start + F.length("segment"))
+    both = both.withColumn("bucket", F.expr(f"at div {ROWS}"))
+    placed = prefix_sums(both, ["conv", "speaker"], "bucket", ["at"], [F.lit(1).cast("long"), F.length("segment").cast("long")], ["position", "start"])
+    placed = placed.withColumn("end", F.col("start") + F.length("segment"))
     return placed.select("conv_id", "speaker", "position", "turn", "role", "segment", "start", "end",
                          F.when(speaks, F.col("start") + F.col("head")).alias("loss_start"), F.when(speaks, F.col("end") - 1).alias("loss_end"))
 

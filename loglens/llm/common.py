@@ -71,16 +71,19 @@ def fold(doc_id: str, mod: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % mod
 
 
-def prefix_sums(df: DataFrame, group: list[str], bucket: str, order: list, value: str | Column, out: str) -> DataFrame:
-    """Add ``out``: the sum of ``value`` over the rows before this one in its group.
+def prefix_sums(df: DataFrame, group: list[str], bucket: str, order: list, value: str | Column | list, out: str | list[str]) -> DataFrame:
+    """Add ``out``: the sum of ``value`` over the rows before this one in its group; lists of both give several sums at once.
 
     Rows of a group are ordered by ``bucket``, then by ``order``. Only the rows of one bucket are
     ever sorted in one task; buckets are joined by their sums, so a group may hold any share of all
-    rows. ``group`` and ``bucket`` must not be null; the sum is a long."""
-    value = F.col(value) if isinstance(value, str) else value
-    keys, before = [*group, bucket], fresh(df, "before")
-    sums = df.groupBy(*keys).agg(F.sum(value).alias(before))
-    above = F.sum(before).over(W.partitionBy(*group).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1))
-    sums = sums.select(*keys, F.coalesce(above, F.lit(0)).alias(before))
-    inside = F.sum(value).over(W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1))
-    return df.join(sums, keys).withColumn(out, (F.col(before) + F.coalesce(inside, F.lit(0))).cast("long")).drop(before)
+    rows. ``group`` and ``bucket`` must not be null; the sums are longs."""
+    values, outs = (x if isinstance(x, list) else [x] for x in (value, out))
+    values = [F.col(v) if isinstance(v, str) else v for v in values]
+    keys, before = [*group, bucket], [fresh(df, f"before{i}") for i in range(len(values))]
+    sums = df.groupBy(*keys).agg(*[F.sum(v).alias(b) for v, b in zip(values, before)])
+    above = W.partitionBy(*group).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
+    sums = sums.select(*keys, *[F.coalesce(F.sum(b).over(above), F.lit(0)).alias(b) for b in before])
+    inside = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    both = df.join(sums, keys)
+    totals = [(F.col(b) + F.coalesce(F.sum(v).over(inside), F.lit(0))).cast("long").alias(o) for v, b, o in zip(values, before, outs)]
+    return both.select(*[c for c in both.columns if c not in before], *totals)

@@ -42,3 +42,27 @@ def test_long_conversation_is_spread(spark):
     ends = out.where("speaker = 'a'").orderBy("position").select("start", "end", "turn").collect()
     assert len(ends) == 5000 and all(x["end"] == y["start"] for x, y in zip(ends, ends[1:])) and [r["turn"] for r in ends] == list(range(5000))
     assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_equal_and_null_turns_are_spread(spark, monkeypatch):
+    seen, sums = [], chat.prefix_sums
+
+    def watched(df, group, bucket, *rest):
+        seen.append(df.groupBy(*group, bucket).count().agg(F.max("count")).first()[0])
+        return sums(df, group, bucket, *rest)
+
+    monkeypatch.setattr(chat, "ROWS", 100, raising=False)
+    monkeypatch.setattr(chat, "prefix_sums", watched)
+    df = spark.range(5000).select(F.lit(None).cast("string").alias("conv_id"), F.when(F.col("id") % 2 == 0, 3).cast("long").alias("turn"), F.lit("a").alias("role"), F.lit("x").alias("text"))
+    out = chat.rotate(df).orderBy("position").select("position", "start", "end", "turn").collect()
+    assert seen == [100]
+    assert [r["position"] for r in out] == list(range(5000)) and all(x["end"] == y["start"] for x, y in zip(out, out[1:]))
+    assert [r["turn"] for r in out] == [3] * 2500 + [None] * 2500
+
+
+def test_more_messages_than_a_packed_sum_holds(spark):
+    n = (1 << 23) + 1000
+    df = spark.range(n).select(F.lit("big").alias("conv_id"), F.col("id").alias("turn"), F.lit("a").alias("role"), F.lit("").alias("text"))
+    size = len("<|im_start|>assistant\n<|im_end|>\n")
+    out = chat.rotate(df).agg(F.max("position"), F.max("end"), F.max(F.abs(F.col("position") - F.col("turn"))), F.max(F.abs(F.col("start") - size * F.col("turn"))))
+    assert tuple(out.first()) == (n - 1, n * size, 0, 0)
