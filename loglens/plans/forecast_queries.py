@@ -258,7 +258,7 @@ def _lr_record(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _sequence_record(spark: SparkSession, sf: str) -> DataFrame:
-    _, spred = sequence.fit_sequence_regressor(common.features_stage(spark, sf), ORDER, stage=common.staged)
+    _, spred = sequence.fit_sequence_regressor(common.features_stage(spark, sf), ORDER, stage=common.staged, with_gbt=True)
     return common.staged(evaluate.regression_metrics(spred, "actual", "prediction").select(
         F.lit("Sequence Regressor").alias("model"), "mse", "rmse", "mae", "r2", "mape"))
 

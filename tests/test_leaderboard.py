@@ -45,3 +45,20 @@ def test_leaderboard_shape_and_union(spark):
     lb = L.leaderboard(_metrics(spark))
     assert lb.columns == ["metric", "linear_regression", "sequence_regressor", "seasonal", "hybrid"]
     assert lb.count() == 4
+
+
+def test_metric_table_judges_the_registered_sequence_regressor(spark, monkeypatch):
+    from loglens.operators import sequence
+    from loglens.plans import forecast_queries as Q
+
+    fits, fit = [], sequence.fit_sequence_regressor
+
+    def watched(*args, stage=None, **options):
+        fits.append(options)
+        return fit(*args, stage=stage, **options)
+
+    monkeypatch.setattr(sequence, "fit_sequence_regressor", watched)
+    monkeypatch.setattr(sequence, "_gbt_candidate", lambda *args: (float("inf"), None))      # the fit itself is slow
+    Q._sequence_record(spark, "/root/testdata/sf0.001")
+    Q.q_sequence_regressor(spark, "/root/testdata/sf0.001")
+    assert len(fits) == 2 and fits[0] == fits[1]
