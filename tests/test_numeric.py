@@ -267,6 +267,30 @@ def test_enet_from_gram_matches_ridge_and_shrinks(spark):
     assert np.all(np.abs(g[[1, 3]]) <= 0.1 + 1e-9)
 
 
+def test_enet_is_solved_or_null_whatever_else_is_in_the_stack():
+    rng = np.random.default_rng(6)
+    n, lam = 400, 1e-6
+    grams = []
+    for closeness in (1.0, 1e-3):           # the second one's columns are nearly equal
+        base = rng.normal(size=(n, 1))
+        X = base + closeness * rng.normal(size=(n, 4))
+        y = X @ [3.0, -2.0, 1.0, 0.5] + rng.normal(scale=0.01, size=n)
+        A = np.column_stack([np.ones(n), X])
+        grams.append((A.T @ A, A.T @ y))
+    easy, hard = grams
+    both = lsq.solve_enet_batch(np.stack([easy[0], hard[0]]), np.stack([easy[1], hard[1]]), range(5), lam, 1.0)
+    for (xtx, xty), beta in zip(grams, both):
+        np.testing.assert_array_equal(lsq.solve_enet_batch(xtx[None], xty[None], range(5), lam, 1.0)[0], beta)
+        xbar = xtx[0, 1:] / n
+        S, c = xtx[1:, 1:] / n - np.outer(xbar, xbar), xty[1:] / n - xbar * (xty[0] / n)
+        slope = c - S @ beta[1:]
+        on = beta[1:] != 0
+        assert np.all(np.abs(slope) <= lam * (1 + 1e-3)) and np.allclose(slope[on], lam * np.sign(beta[1:][on]), rtol=1e-3)
+    few = lsq.solve_enet_batch(np.stack([easy[0], hard[0]]), np.stack([easy[1], hard[1]]), range(5), lam, 1.0, max_iter=50)
+    assert np.all(np.isfinite(few[0])) and np.all(np.isnan(few[1]))
+    assert lsq.solve_enet(*hard, range(5), lam, 1.0, max_iter=50) is None
+
+
 def test_residual_corrector_learns_ar1(spark):
     rng = np.random.default_rng(8)
     n = 800
