@@ -1,14 +1,14 @@
-"""SimHash near-dedup by multi-index hashing (operator 4).
-
-A 64-bit fingerprint has two 32-bit segments. For each segment the Hamming ball of radius
-``max_distance / 2`` around its value is enumerated, the other segment held fixed, and every
-address so reached is a table entry; two fingerprints at distance ``max_distance`` or less meet
-at least once, at a point half-way between them, and the full distance of those that meet is
-verified. With ``max_distance`` 2 that is 65 addresses a fingerprint. Only different fingerprints
-take part (equal ones are one node), so an address never holds more than the 65 fingerprints of
-its own ball, however many copies a text has: no bucket is hot and no pairs of a group are listed.
-At each address the fingerprints are linked in a chain, and components come from repeated
-contraction of links, each round written to the shared checkpoint folder.
+"""SimHash near-dedup by meeting half-way (operator 4), in place of multi-index hashing.
+
+Every 64-bit fingerprint is sent to all addresses within ``max_distance / 2`` bits of it; two
+fingerprints at distance ``max_distance`` or less meet at least once, at a point half-way between
+them, and those that meet are within that distance. With ``max_distance`` 2 that is 65 addresses a
+fingerprint. There are no tables by segment, because a segment's value may be shared by any number
+of fingerprints (a hot bucket). Only different fingerprints take part (equal ones are one node), so
+an address never holds more than the 65 fingerprints of its own ball, however many copies a text
+has, and no pairs of a group are listed. At each address the fingerprints are linked in a chain, and
+components come from repeated contraction of links, each round written to the shared checkpoint
+folder.
 
 Defined results: a null or wordless text has fingerprint zero and links like any other; a text
 with fewer words than a shingle is one shingle; a null ``doc_id`` never names a component unless
@@ -74,7 +74,7 @@ def fingerprints(df: DataFrame, shingle: int = 3, text_col: str = "text", out_co
 
 
 def _ball(radius: int) -> list[int]:
-    """Masks of up to ``radius`` flipped bits, all in one segment or split over both; signed."""
+    """Masks of up to ``radius`` flipped bits of 64; signed."""
     masks = [sum(1 << b for b in bits) for r in range(radius + 1) for bits in combinations(range(64), r)]
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
