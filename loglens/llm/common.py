@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -11,6 +12,18 @@ from ..session import scratch_path, ship_package
 #: A word of the operators' contracts, and the white space between words.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]"
+#: Every byte of a text: A-Z in lower case, other ASCII signs than letters and digits as a space, the rest as it is.
+_LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+
+
+def letter_words(text: bytes) -> list[bytes]:
+    """The words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of a UTF-8 text whose A-Z are lower-cased."""
+    return text.translate(_LETTERS).split()
+
+
+def as_bytes(texts: pa.Array) -> list[bytes]:
+    """The UTF-8 bytes of an Arrow string column, null as none."""
+    return [t or b"" for t in texts.cast(pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary()).to_pylist()]
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, chat, lm, mixing, pages, quality, sharding, simhash, toxicity
+from . import ann, bpe, chat, lm, mixing, pages, quality, resample, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_byte_bpe": bpe.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_permutation_index": ann.query,
     "op9_page_text": pages.query,
     "op10_lm_score": lm.query,
+    "op11_resample": resample.query,
 }
 
-ORACLES: dict[str, str] = {"op3_mix": mixing.SQL, "op7_chat_rotation": chat.SQL}
+ORACLES: dict[str, str] = {"op3_mix": mixing.SQL, "op7_chat_rotation": chat.SQL, "op11_resample": resample.SQL}
