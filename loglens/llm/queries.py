@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, chat, lm, mixing, pages, quality, resample, sharding, simhash, toxicity
+from . import ann, bpe, chat, decontaminate, lm, mixing, pages, quality, resample, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_byte_bpe": bpe.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_page_text": pages.query,
     "op10_lm_score": lm.query,
     "op11_resample": resample.query,
+    "op12_decontaminate": decontaminate.query,
 }
 
-ORACLES: dict[str, str] = {"op3_mix": mixing.SQL, "op7_chat_rotation": chat.SQL, "op11_resample": resample.SQL}
+ORACLES: dict[str, str] = {"op3_mix": mixing.SQL, "op7_chat_rotation": chat.SQL, "op11_resample": resample.SQL, "op12_decontaminate": decontaminate.SQL}
