@@ -170,30 +170,31 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, text_
     spark = docs.sparkSession
     dealt = staged(windows(items, window, item_col, item_text_col), "windows")
     size = dealt.agg(F.coalesce(F.sum(F.length("window") + F.coalesce(F.length("item"), F.lit(0))), F.lit(0)).alias("n")).first()["n"]
-    n_blocks = max(1, -(-size // block_bytes))
+    number = F.pmod(F.xxhash64("chunk"), F.lit(max(1, -(-size // block_bytes))))
 
     def block(b: int) -> list[tuple[bytes, str | None]]:
-        rows = dealt.where(F.pmod(F.xxhash64("chunk"), F.lit(n_blocks)) == b).select("window", "item").distinct().collect()
+        rows = dealt.where(number == b).select("window", "item").distinct().collect()
         return [(bytes(r["window"]), r["item"]) for r in rows]
 
-    if n_blocks == 1:
+    if size <= block_bytes:
         return docs.withColumn(out_col, _search(text_col, block(0), spark))
-    row, found = fresh(docs, "row"), fresh(docs, "found")
+    blocks = [r["b"] for r in dealt.select(number.alias("b")).distinct().collect()]      # size / block_bytes numbers at most
+    row, found, of = fresh(docs, "row"), fresh(docs, "found"), fresh(docs, "found_in")
     rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "searched")
     passes = []
-    for b in range(n_blocks):
+    for b in blocks:
         one = rows.select(row, text_col).withColumn(found, _search(text_col, block(b), spark)).where(F.size(f"{found}.spans") > 0)
-        passes.append(staged(one.select(F.col(row).alias("of"), f"{found}.spans", f"{found}.items"), "pass"))
+        passes.append(staged(one.select(F.col(row).alias(of), f"{found}.spans", f"{found}.items"), "pass"))
     hits = passes[0]
     for p in passes[1:]:
         hits = hits.unionByName(p)
-    hits = hits.groupBy("of").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    hits = hits.select("of", F.struct("spans", "items").alias(found))
+    hits = hits.groupBy(of).agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    hits = hits.select(of, F.struct("spans", "items").alias(found))
     words = rows.withColumn(f"{found}_n", _search(text_col, [], spark).getField("n_words"))
-    both = words.join(hits, words[row] == hits["of"], "left")
+    both = words.join(hits, words[row] == hits[of], "left")
     joined, none = F.arrow_udf(_joined, "array<struct<start: int, end: int>>"), F.array().cast("array<string>")
     out = F.struct(F.col(f"{found}_n").alias("n_words"), joined(F.col(f"{found}.spans")).alias("spans"), F.coalesce(F.col(f"{found}.items"), none).alias("items"))
-    return both.withColumn(out_col, out).drop(*({row, "of", found, f"{found}_n"} - {out_col}))
+    return both.withColumn(out_col, out).drop(*({row, of, found, f"{found}_n"} - {out_col}))
 
 
 def n_hit(found: str) -> Column:
