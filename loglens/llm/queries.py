@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, chat, decontaminate, lm, mixing, pages, quality, resample, sharding, simhash, toxicity
+from . import ann, bpe, chat, decontaminate, lm, mixing, negatives, pages, quality, resample, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_byte_bpe": bpe.query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_lm_score": lm.query,
     "op11_resample": resample.query,
     "op12_decontaminate": decontaminate.query,
+    "op13_hard_negatives": negatives.query,
 }
 
-ORACLES: dict[str, str] = {"op3_mix": mixing.SQL, "op7_chat_rotation": chat.SQL, "op11_resample": resample.SQL, "op12_decontaminate": decontaminate.SQL}
+ORACLES: dict[str, str] = {"op3_mix": mixing.SQL, "op7_chat_rotation": chat.SQL, "op11_resample": resample.SQL, "op12_decontaminate": decontaminate.SQL, "op13_hard_negatives": negatives.SQL}
