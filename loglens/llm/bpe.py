@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from .common import table, whole_text
 
 #: Entries of a worker's memory of encoded pieces (about 200 bytes each), and the longest that it keeps.
-CACHE_ENTRIES = 1 << 21
+CACHE_ENTRIES = 1 << 20
 CACHE_CHARS = 48
 #: Characters of texts that a worker encodes together (a longer text goes alone).
 TOGETHER = 1 << 18

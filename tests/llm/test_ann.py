@@ -28,8 +28,15 @@ def test_query_small_table_is_exact(spark):
 
 
 def test_recall_on_a_larger_table(spark):
-    path = "/root/testdata/check_s/embeddings.parquet"
-    df = spark.read.parquet(path)
+    """Vectors of the given table, and as many again between pairs of them: more than one block."""
+    given = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
+    other = given.selectExpr("(vec_id * 7919 + 13) % 2000 as vec_id", "embedding as far")
+    between = [given.join(other, "vec_id").selectExpr(f"vec_id + {2000 * i} as vec_id", f"transform(embedding, (x, i) -> cast({1 - 0.1 * i}D * x + {0.1 * i}D * far[i] as float)) as embedding") for i in range(1, 6)]
+    df = given
+    for rows in between:
+        df = df.unionByName(rows)
+    df = df.cache()
+    assert df.count() > ann.VECTORS
     rows = df.select("vec_id", "embedding").toPandas()
     ids, x = rows["vec_id"].to_numpy(), np.stack(rows["embedding"]).astype(float)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
