@@ -43,10 +43,7 @@ def fit_residual_corrector(resid: DataFrame, n_train: DataFrame, order: str, key
                               .alias("lookback"))
     lagged, xcols = lag_columns(sc, order, [s], MAX_LOOKBACK, keys)   # [s_l6 .. s_l1]
     lagged = lagged.join(lookback, on=keys, how="inner")
-    complete = F.lit(True)
-    for c in xcols:
-        complete = complete & F.col(c).isNotNull()
-    seqs = lagged.filter(complete)
+    seqs = lagged.filter(" and ".join(f"`{c}` is not null" for c in xcols))
     w = series_window(order, keys)
     wall = Window.partitionBy(*keys)
     seqs = (seqs.withColumn("seq_idx", (F.row_number().over(w) - 1).cast("bigint"))

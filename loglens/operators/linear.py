@@ -107,4 +107,4 @@ def score_by_key(models: DataFrame, df: DataFrame, keys: Sequence[str], features
     """Per-series predictions: equi-join on the keys, dot product as a Catalyst expression."""
     keys = list(keys)
     j = df.join(models.select(*keys, "coef"), on=keys, how="inner")
-    return j.select(*keys, *keep, lsq.dot(list(features), F.col("coef")).alias("prediction"))
+    return j.select(*keys, *keep, lsq.dot([f"`{f}`" for f in features], "coef").alias("prediction"))

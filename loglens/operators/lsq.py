@@ -43,14 +43,13 @@ def gram_stats(df: DataFrame, group_cols: Sequence[str], x_cols: Sequence[str],
     from pyspark.ml.stat import Summarizer
 
     masks = masks or {"all": F.lit(True)}
-    xs = ([F.lit(1.0)] if intercept else []) + [F.col(c).cast("double") for c in x_cols]
-    y = F.col(y_col).cast("double")
-    complete = y.isNotNull()
-    for c in x_cols:
-        complete = complete & F.col(c).isNotNull()
+    # hundreds of products: as one SQL text they are parsed at once, as Columns each would cost driver calls
+    xs = (["1.0D"] if intercept else []) + [f"cast(`{c}` as double)" for c in x_cols]
+    y = f"cast(`{y_col}` as double)"
+    complete = F.expr(" and ".join(f"`{c}` is not null" for c in [y_col, *x_cols]))
     k = len(xs)
     p = packed_len(k)
-    vec = F.array(*[xs[i] * xs[j] for i in range(k) for j in range(i, k)], *[xs[i] * y for i in range(k)], y * y)
+    vec = F.expr("array(" + ", ".join([f"{xs[i]} * {xs[j]}" for i in range(k) for j in range(i, k)] + [f"{x} * {y}" for x in xs] + [f"{y} * {y}"]) + ")")
     group_cols = list(group_cols)
     if len(masks) == 1:
         # one mask: filter and aggregate once; groups without masked rows do not appear
@@ -126,17 +125,11 @@ def sse(beta: np.ndarray, xtx: np.ndarray, xty: np.ndarray, yty: float) -> float
     return float(yty - 2.0 * beta @ xty + beta @ xtx @ beta)
 
 
-def dot(cols: Sequence[Column | str], coef: Column, intercept: bool = True) -> Column:
-    """``coef[0] + sum(coef[i] * x_i)`` as one Catalyst expression (no UDF)."""
-    terms = [F.element_at(coef, 1)] if intercept else []
+def dot(cols: Sequence[str], coef: str, intercept: bool = True) -> Column:
+    """``coef[0] + sum(coef[i] * x_i)`` as one Catalyst expression (no UDF); ``cols`` are SQL expressions, ``coef`` a column."""
     off = 2 if intercept else 1
-    for i, c in enumerate(cols):
-        c = F.col(c) if isinstance(c, str) else c
-        terms.append(F.element_at(coef, i + off) * c.cast("double"))
-    out = terms[0]
-    for t in terms[1:]:
-        out = out + t
-    return out
+    terms = [f"element_at(`{coef}`, {i + off}) * cast({c} as double)" for i, c in enumerate(cols)]
+    return F.expr(" + ".join(([f"element_at(`{coef}`, 1)"] if intercept else []) + terms))
 
 
 def solve_enet(xtx: np.ndarray, xty: np.ndarray, cols: Sequence[int], lam: float, l1_ratio: float,

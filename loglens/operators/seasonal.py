@@ -100,8 +100,9 @@ class SeasonalFit:
     ma_set: list[int]
 
 
-def _term(c, e):
-    return F.when(c != 0, e * c.cast("double")).otherwise(F.lit(0.0))
+def _term(c: str, e: str) -> str:
+    """SQL for ``c * e``, 0 where ``c`` is 0 whatever ``e`` is."""
+    return f"case when {c} <> 0 then {e} * cast({c} as double) else 0.0D end"
 
 
 def _stage_solve_schema(df: DataFrame, keys: Sequence[str], extra: str) -> T.StructType:
@@ -211,27 +212,25 @@ def fit_seasonal(df: DataFrame, order: str, y: str, exog: Sequence[str], keys: S
     K = long_ar or (max(ar_set, default=0) + 2)
     pairs = sorted({(c["d"], c["sd"]) for c in grid_candidates(grid)})
     gkeys = keys + ["d", "sd"]
-    w1, w = (Window.partitionBy(*k).orderBy(order) for k in (keys, gkeys))
-    dd, DD = F.col("d"), F.col("sd")
     max_shift = K + m + 1
-    x = df.select("*", *[F.lag(y, j).over(w1).cast("double").alias(f"_y{j}") for j in range(1, max_shift + 1)],
-                  *[F.lag(e, j).over(w1).cast("double").alias(f"_{e}{j}") for e in exog for j in (1, m, m + 1)])
-    x = x.select("*", F.explode(F.array(*[F.struct(F.lit(a).alias("d"), F.lit(b).alias("sd"))
-                                          for a, b in pairs])).alias("_dd")).select("*", "_dd.d", "_dd.sd").drop("_dd")
+    # dozens of lags and their sums: SQL text costs the driver one call a column
+    over = f"over (partition by {', '.join(f'`{k}`' for k in keys)} order by `{order}`)"
+    x = df.selectExpr("*", *[f"cast(lag(`{y}`, {j}) {over} as double) as _y{j}" for j in range(1, max_shift + 1)],
+                      *[f"cast(lag(`{e}`, {j}) {over} as double) as `_{e}{j}`" for e in exog for j in (1, m, m + 1)])
+    x = x.selectExpr("*", "inline(array(" + ", ".join(f"named_struct('d', {a}, 'sd', {b})" for a, b in pairs) + "))")
 
     def ycol(j):
-        return F.col(y).cast("double") if j == 0 else F.col(f"_y{j}")
+        return f"cast(`{y}` as double)" if j == 0 else f"_y{j}"
 
     def wlag(s):
-        return ycol(s) - _term(dd, ycol(s + 1)) - _term(DD, ycol(s + m)) + _term(dd * DD, ycol(s + m + 1))
+        return f"{ycol(s)} - {_term('d', ycol(s + 1))} - {_term('sd', ycol(s + m))} + {_term('(d * sd)', ycol(s + m + 1))}"
 
-    sel = [wlag(0).alias("w")] + [wlag(s).alias(f"w_l{s}") for s in range(1, K + 1)]
+    sel = [f"{wlag(0)} as w"] + [f"{wlag(s)} as w_l{s}" for s in range(1, K + 1)]
     for e in exog:
-        sel.append((F.col(e).cast("double") - _term(dd, F.col(f"_{e}1")) - _term(DD, F.col(f"_{e}{m}"))
-                    + _term(dd * DD, F.col(f"_{e}{m + 1}"))).alias(f"{e}_dx"))
+        sel.append(f"cast(`{e}` as double) - {_term('d', f'`_{e}1`')} - {_term('sd', f'`_{e}{m}`')} + {_term('(d * sd)', f'`_{e}{m + 1}`')} as `{e}_dx`")
     base_cols = ([*keys, order, y, split_col, "d", "sd"] + [c for c in ("row_idx", "n_train") if c in df.columns]
                  + exog + [c for c in carry if c in df.columns])
-    x = x.select(*base_cols, *sel)
+    x = x.selectExpr(*[f"`{c}`" for c in base_cols], *sel)
     if stage is not None:
         x = stage(x)      # read by the stage-1 Gram and by the innovation join
     dx = [f"{e}_dx" for e in exog]
@@ -244,13 +243,12 @@ def fit_seasonal(df: DataFrame, order: str, y: str, exog: Sequence[str], keys: S
     c1 = g1.mapInPandas(_solve_ols_rows(gkeys, k1),
                         _stage_solve_schema(g1, gkeys, "coef1 array<double>"))
     x = x.join(c1, on=gkeys, how="left")
-    x = x.withColumn("e", F.when(train, F.col("w") - lsq.dot(x1, F.col("coef1"))))
-    x = x.select(*base_cols, "w", *[f"w_l{s}" for s in ar_set], *dx, "e",
-                 *[F.lag("e", s).over(w).alias(f"e_l{s}") for s in ma_set])
+    x = x.withColumn("e", F.when(train, F.col("w") - lsq.dot([f"`{c}`" for c in x1], "coef1")))
+    over = f"over (partition by {', '.join(f'`{k}`' for k in gkeys)} order by `{order}`)"
+    x = x.selectExpr(*[f"`{c}`" for c in base_cols], "w", *[f"w_l{s}" for s in ar_set], *[f"`{c}`" for c in dx], "e",
+                     *[f"lag(e, {s}) {over} as e_l{s}" for s in ma_set])
     x2 = [f"w_l{s}" for s in ar_set] + [f"e_l{s}" for s in ma_set] + dx
-    complete = F.lit(True)
-    for c in ["w", *x2]:
-        complete = complete & F.col(c).isNotNull()
+    complete = F.expr(" and ".join(f"`{c}` is not null" for c in ["w", *x2]))
     same_hour = Window.partitionBy(*keys, order)
     x = x.withColumn("_common", F.sum(complete.cast("int")).over(same_hour) == F.lit(len(pairs)))
     if stage is not None:
@@ -278,7 +276,8 @@ def fit_seasonal(df: DataFrame, order: str, y: str, exog: Sequence[str], keys: S
     fit = SeasonalFit(keys, order, x, full, best, x2, exog, m, ar_set, ma_set)
 
     # Final fit of the winner on every train row that has its own regressors.
-    g3 = lsq.gram_stats(_best_design(fit).select(*keys, split_col, "w", *_own_regressors(fit)), keys, x2, "w",
+    own = [f"{e} as `{c}`" for c, e in zip(x2, _own_regressors(fit))]
+    g3 = lsq.gram_stats(_best_design(fit).selectExpr(*[f"`{c}`" for c in (*keys, split_col)], "w", *own), keys, x2, "w",
                         masks={"train": train})
     refit = g3.mapInPandas(_solve_used(keys, 1 + len(x2)), _stage_solve_schema(g3, keys, "n_fit bigint, _coef array<double>"))
     best = best.join(refit, on=keys, how="left").withColumn(
@@ -299,15 +298,15 @@ def _best_design(fit: SeasonalFit) -> DataFrame:
     return fit.design.join(b, on=[*fit.keys, "d", "sd"], how="inner")
 
 
-def _own_regressors(fit: SeasonalFit) -> list:
-    """Stage-2 regressors of the winner in a row of ``_best_design``: 0 for lags it does not use."""
+def _own_regressors(fit: SeasonalFit) -> list[str]:
+    """SQL of the stage-2 regressors of the winner in a row of ``_best_design``: 0 for lags it does not use."""
     def lag(c, s, low, high):
-        return F.when((F.col(low) >= s % fit.m) & (F.col(high) >= s // fit.m), F.col(c)).otherwise(F.lit(0.0)).alias(c)
+        return f"case when {low} >= {s % fit.m} and {high} >= {s // fit.m} then `{c}` else 0.0D end"
 
     n = len(fit.ar_set)
     return ([lag(c, s, "p", "sp") for c, s in zip(fit.x2, fit.ar_set)]
             + [lag(c, s, "q", "sq") for c, s in zip(fit.x2[n:], fit.ma_set)]
-            + [F.col(c) for c in fit.x2[n + len(fit.ma_set):]])
+            + [f"`{c}`" for c in fit.x2[n + len(fit.ma_set):]])
 
 
 def _recursion(keys, A, M, n_exog, m, lags):
@@ -406,7 +405,7 @@ def seasonal_residuals(fit: SeasonalFit, burn_in: int = SEASONAL_PERIOD, split_c
     """One-step in-sample residuals of the winning candidate on every train row that has the
     winner's own regressors, first ``burn_in`` dropped per series (M10 + W11)."""
     rows = _best_design(fit).filter((F.col(split_col) == "train") & F.col("coef").isNotNull())
-    r = rows.select(*fit.keys, fit.order, (F.col("w") - lsq.dot(_own_regressors(fit), F.col("coef"))).alias("residual"))
+    r = rows.select(*fit.keys, fit.order, (F.col("w") - lsq.dot(_own_regressors(fit), "coef")).alias("residual"))
     return drop_burn_in(r, fit.order, burn_in, fit.keys).filter(F.col("residual").isNotNull())
 
 

@@ -45,10 +45,7 @@ def sequence_frame(df: DataFrame, order: str = "hour_timestamp", keys: Sequence[
     sc = minmax_scale(df, list(features), fit_on=fit_on, keys=keys)
     scaled = [f"{f}_mm" for f in features]
     lagged, xcols = lag_columns(sc, order, scaled, L, keys)
-    complete = F.lit(True)
-    for c in xcols:
-        complete = complete & F.col(c).isNotNull()
-    seqs = lagged.filter(complete)
+    seqs = lagged.filter(" and ".join(f"`{c}` is not null" for c in xcols))
     w = series_window(order, keys)
     wall = Window.partitionBy(*keys) if keys else Window.partitionBy()
     seqs = (seqs.withColumn("seq_idx", (F.row_number().over(w) - 1).cast("bigint"))
@@ -62,7 +59,7 @@ def sequence_frame(df: DataFrame, order: str = "hour_timestamp", keys: Sequence[
 
 def _gbt_candidate(seqs: DataFrame, xcols: list[str], y: str, seed: int = 42):
     """Spark ML gradient-boosted trees on the flattened window: validation MSE of a
-    fit on the fit rows, and a model refitted on all train rows."""
+    fit on the fit rows, and the fit on all train rows, for when the candidate wins."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
@@ -74,7 +71,7 @@ def _gbt_candidate(seqs: DataFrame, xcols: list[str], y: str, seed: int = 42):
     fit_rows, val_rows = train.filter(~F.col("is_val")), train.filter(F.col("is_val"))
     val = pipe().fit(fit_rows).transform(val_rows)
     mse = val.agg(F.avg((F.col(y) - F.col("_p")) ** 2)).first()[0]
-    return mse, pipe().fit(train)
+    return mse, lambda: pipe().fit(train)
 
 
 def fit_sequence_regressor(df: DataFrame, order: str = "hour_timestamp", keys: Sequence[str] = (),
@@ -106,20 +103,20 @@ def fit_sequence_regressor(df: DataFrame, order: str = "hour_timestamp", keys: S
     lo, hi = F.col(f"{target}__min"), F.col(f"{target}__max")
     if keys:
         test = test.join(models.select(*keys, "coef"), on=keys, how="left")
-        pred = inverse_minmax(lsq.dot(xcols, F.col("coef")), lo, hi)
+        pred = inverse_minmax(lsq.dot([f"`{c}`" for c in xcols], "coef"), lo, hi)
         return models, test.select(*keys, order, F.col(target).cast("double").alias("actual"),
                                    pred.alias("prediction"))
     ridge_row = models.first() if with_gbt else None
     ridge_mse = ridge_row["val_mse"] if ridge_row is not None else None
-    gbt_mse, gbt_model = _gbt_candidate(seqs, xcols, y) if with_gbt else (None, None)
+    gbt_mse, gbt_fit = _gbt_candidate(seqs, xcols, y) if with_gbt else (None, None)
     if gbt_mse is not None and (ridge_mse is None or gbt_mse < ridge_mse):
         models = models.select(F.lit("gbt").alias("model"), F.lit(None).cast("double").alias("ridge"),
                                F.lit(None).cast("double").alias("l1_ratio"), F.lit(gbt_mse).alias("val_mse"),
                                "n_fit", "n_val",
                                F.lit(None).cast("array<double>").alias("coef"))
-        scored = gbt_model.transform(test)
+        scored = gbt_fit().transform(test)
         pred = inverse_minmax(F.col("_p"), lo, hi)
         return models, scored.select(order, F.col(target).cast("double").alias("actual"), pred.alias("prediction"))
     test = test.select("*", models.select(F.col("coef")).scalar().alias("coef"))
-    pred = inverse_minmax(lsq.dot(xcols, F.col("coef")), lo, hi)
+    pred = inverse_minmax(lsq.dot([f"`{c}`" for c in xcols], "coef"), lo, hi)
     return models, test.select(order, F.col(target).cast("double").alias("actual"), pred.alias("prediction"))

@@ -90,13 +90,10 @@ def lag_columns(df: DataFrame, order: str, features: Sequence[str], L: int,
 
     All lags share one window spec, so Spark plans a single sort per series.
     """
-    w = series_window(order, keys)
-    names, cols = [], []
-    for k in range(L, 0, -1):
-        for f in features:
-            names.append(f"{f}_l{k}")
-            cols.append(F.lag(f, k).over(w).alias(names[-1]))
-    return df.select("*", *cols), names
+    by = f"partition by {', '.join(f'`{k}`' for k in keys)} " if keys else ""
+    names = [(f"{f}_l{k}", f, k) for k in range(L, 0, -1) for f in features]
+    lags = [f"lag(`{f}`, {k}) over ({by}order by `{order}`) as `{name}`" for name, f, k in names]
+    return df.selectExpr("*", *lags), [name for name, _, _ in names]
 
 
 def adaptive_lookback(n_train: Column, cap: int = 6, floor_: int = 3, div: int = 10) -> Column:

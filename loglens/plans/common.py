@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,6 +87,14 @@ def stage_path(spark: SparkSession, name: str, sf_dir: str, keys: Sequence[str]
     return f"{checkpoint_root(spark)}/loglens/stages/{name}-{tag}"
 
 
+def stage_chain(spark: SparkSession, name: str, sf_dir: str, keys: Sequence[str] = ()) -> Callable[[DataFrame], DataFrame]:
+    """A stage function for a chain of fits: its tables, counted from 0, are written once per application
+    and input (S10). A query that fits the same model on the same series reads them instead of fitting again."""
+    from ..sources.files import materialize
+    number = count()
+    return lambda df: materialize(spark, lambda: df, stage_path(spark, f"{name}-{next(number)}", sf_dir, list(keys)))
+
+
 def features_stage(spark: SparkSession, sf_dir: str, keys: Sequence[str] = (), fill_gaps: bool = False) -> DataFrame:
     """The hourly feature table written once per application and input (S10), then
     read by every model query: the raw log is

@@ -29,8 +29,10 @@ def forecast_inputs(spark, sf, keys=()):
 
 
 def seasonal_fit(spark, sf, keys=()):
+    """One search per application, input and keys: the grid search, its forecasts and residuals, the hybrid and the
+    metric table all read the same fit."""
     data = forecast_inputs(spark, sf, keys)
-    fit = seasonal.fit_seasonal(data, ORDER, Y, [f"{e}_z" for e in EXOG], keys=keys, stage=common.staged,
+    fit = seasonal.fit_seasonal(data, ORDER, Y, [f"{e}_z" for e in EXOG], keys=keys, stage=common.stage_chain(spark, "seasonal", sf, keys),
                                 carry=["prev_count__mean", "prev_count__std"])
     return data, fit
 
@@ -49,19 +51,32 @@ def _actual(data: DataFrame, fit) -> DataFrame:
 def hybrid_run(spark, sf, keys=()):
     """Seasonal fit -> forecast -> residuals -> corrector -> recursive correction -> hybrid."""
     data, fit = seasonal_fit(spark, sf, keys)
-    fc = common.staged(seasonal.seasonal_forecast(fit, Y))
+    stage = common.stage_chain(spark, "hybrid", sf, keys)
+    fc = stage(seasonal.seasonal_forecast(fit, Y))
     resid = seasonal.seasonal_residuals(fit)
     n_train = data.groupBy(*keys).agg(F.max("n_train").alias("n_train"))
     if seasonal.SERIES in fit.keys:
         n_train = n_train.withColumn(seasonal.SERIES, F.lit(0))
-    models = common.staged(hybrid.fit_residual_corrector(resid, n_train, ORDER, fit.keys))
+    models = stage(hybrid.fit_residual_corrector(resid, n_train, ORDER, fit.keys))
     horizon = fc.groupBy(*fit.keys).agg(F.count(F.lit(1)).cast("int").alias("steps"))
-    corr = hybrid.recursive_forecast(models, horizon, fit.keys)
+    corr = stage(hybrid.recursive_forecast(models, horizon, fit.keys))
     hyb = hybrid.hybrid_forecast(fc, corr, fit.keys)
     joined = evaluate.align_forecast(_actual(data, fit), hyb, [*fit.keys, ORDER])
     return data, fit, fc, models, corr, joined
 
 
+def sequence_fit(spark, sf):
+    """Models and test predictions of the sequence regressor with its tree candidate, fitted once per application and input."""
+    made: list[tuple[DataFrame, DataFrame]] = []
+
+    def part(i):
+        if not made:
+            made.append(sequence.fit_sequence_regressor(common.features_stage(spark, sf), ORDER, stage=common.stage_chain(spark, "sequence", sf), with_gbt=True))
+        return made[0][i]
+    return tuple(files.materialize(spark, lambda i=i: part(i), common.stage_path(spark, name, sf))
+                 for i, name in enumerate(("sequence-models", "sequence-predictions")))
+
+
 # ---- series features with SQL oracles -------------------------------------------------
 
 @register("seasonal_difference", O.with_ctes(*O.FEATURE_CTES, body=(
@@ -211,8 +226,7 @@ def q_seasonal_residuals(spark, sf):
 @register("sequence_regressor")
 def q_sequence_regressor(spark, sf):
     """Six-hour, five-feature lookback regressor, linear and tree candidates: test metrics and what was chosen (M7)."""
-    f = common.features_stage(spark, sf)
-    models, pred = sequence.fit_sequence_regressor(f, ORDER, stage=common.staged, with_gbt=True)
+    models, pred = sequence_fit(spark, sf)
     m = evaluate.regression_metrics(pred, "actual", "prediction")
     chosen = models.select(F.struct("model", "ridge", "l1_ratio").alias("c")).scalar()
     return common.rounded(m.select("*", *[chosen.getField(c).alias(c) for c in ("model", "ridge", "l1_ratio")]))
@@ -258,7 +272,7 @@ def _lr_record(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _sequence_record(spark: SparkSession, sf: str) -> DataFrame:
-    _, spred = sequence.fit_sequence_regressor(common.features_stage(spark, sf), ORDER, stage=common.staged, with_gbt=True)
+    _, spred = sequence_fit(spark, sf)
     return common.staged(evaluate.regression_metrics(spred, "actual", "prediction").select(
         F.lit("Sequence Regressor").alias("model"), "mse", "rmse", "mae", "r2", "mape"))
 
