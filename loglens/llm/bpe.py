@@ -29,8 +29,9 @@ from pyspark.sql import types as T
 
 from .common import table, whole_text
 
-#: Entries of a worker's memory of encoded pieces (about 200 bytes each), and the longest that it keeps.
-CACHE_ENTRIES = 1 << 20
+#: Entries of a worker's memory of encoded pieces (about 200 bytes each): of what stands between two spaces twice as many,
+#: as the entries before the last so many go on as long as they are met. And the longest that it keeps.
+CACHE_ENTRIES = 1 << 19
 CACHE_CHARS = 48
 #: Characters of texts that a worker encodes together (a longer text goes alone).
 TOGETHER = 1 << 18
@@ -69,6 +70,7 @@ class Encoder:
                 if a is not None and b is not None:
                     self.pairs[a << 20 | b] = rank
         self.led: dict[str, bytes] = {}     # what stands between two spaces, with the space before it
+        self.older: dict[str, bytes] = {}   # the same, from before ``led`` was begun
         self.bare: dict[str, bytes] = {}    # other pre-tokens
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -89,11 +91,14 @@ class Encoder:
         cut = [t.split(" ") if self.cuts and not _SPACES(t) else None for t in texts]
         whole = [t if c is None else c[0] for t, c in zip(texts, cut)]      # no space before these
         if len(self.led) > CACHE_ENTRIES:
-            self.led.clear()
+            self.older, self.led = self.led, {}
         new: set[str] = set()
         for c in cut:
             if c:
                 new.update(filterfalse(self.led.__contains__, islice(c, 1, None)))
+        met = {c: self.older[c] for c in new if c in self.older}
+        self.led.update(met)
+        new.difference_update(met)
         whole_ids, long = self._learn(new, set(whole))
         ids = self.led.__getitem__
         out = [b"".join([whole_ids[w], *map(ids, c[1:])]) if c and len(c) > 1 else whole_ids[w] for w, c in zip(whole, cut)]

@@ -39,7 +39,7 @@ STEMS = (4, 5, 6)                       # letters of a prefix
 PRECISION, CHANCE = 0.9, 0.01
 WINDOW = 6
 WORDS, STEPS = 1 << 18, 1 << 18         # of a worker's memory
-KEYS = 1 << 17                          # counted in a task before they are sent on
+KEYS = 1 << 16                          # counted in a task before they are sent on
 
 _QUOTES = "\"'“”„‟«»‹›‘’‚"
 _STRIP = _QUOTES + ".,;:!?()[]{}<>…|*#$%&_~`+=/\\-–—"
