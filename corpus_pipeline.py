@@ -44,10 +44,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 1: ids of each document, and the digest of what they decode to."""
+    """Operator 1: ids of each document, and the digest of what they decode to. The stages share their workers, so
+    the encoder remembers less than it does on its own."""
     import public_tokenizers
 
-    return bpe.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, remembered=1 << 18)
 
 
 STAGES = [("toxicity", drop_toxic), ("quality rules", drop_poor), ("near copies", drop_near_copies), ("mix", mix_sources), ("byte bpe", encode)]

@@ -29,9 +29,9 @@ from pyspark.sql import types as T
 
 from .common import table, whole_text
 
-#: Entries of a worker's memory of encoded pieces (about 200 bytes each): of what stands between two spaces twice as many,
-#: as the entries before the last so many go on as long as they are met. And the longest that it keeps.
-CACHE_ENTRIES = 1 << 19
+#: Entries of a generation of a worker's memory of encoded pieces (about 200 bytes each; there are two, and what is met
+#: again goes from the older to the newer), and the longest piece that it keeps.
+CACHE_ENTRIES = 1 << 20
 CACHE_CHARS = 48
 #: Characters of texts that a worker encodes together (a longer text goes alone).
 TOGETHER = 1 << 18
@@ -51,8 +51,8 @@ class Encoder:
     With ``cuts``, no match of the pattern goes on over a space that follows another character than
     white space, so texts are cut there before the pattern is applied."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, cuts: bool):
-        self.ranks, self.cuts = ranks, cuts
+    def __init__(self, ranks: dict[bytes, int], pattern: str, cuts: bool, remembered: int | None = None):
+        self.ranks, self.cuts, self.remembered = ranks, cuts, remembered or CACHE_ENTRIES
         self.split = regex.compile(pattern).findall
         n = max(ranks.values(), default=0) + 1
         self.buckets: list[list[int]] = [[] for _ in range(n)]
@@ -90,7 +90,7 @@ class Encoder:
     def _together(self, texts: list[str]) -> list[bytes]:
         cut = [t.split(" ") if self.cuts and not _SPACES(t) else None for t in texts]
         whole = [t if c is None else c[0] for t, c in zip(texts, cut)]      # no space before these
-        if len(self.led) > CACHE_ENTRIES:
+        if len(self.led) > self.remembered:
             self.older, self.led = self.led, {}
         new: set[str] = set()
         for c in cut:
@@ -109,7 +109,7 @@ class Encoder:
 
     def _learn(self, new: set[str], whole: set[str]) -> tuple[dict[str, bytes], list[str]]:
         """Add the new cuttings to ``led``. Returns the ids of all whole texts, and what is not worth remembering."""
-        if len(self.bare) > CACHE_ENTRIES:
+        if len(self.bare) > self.remembered:
             self.bare.clear()
         led, bare = self.led, self.bare
         # letters after one space are one pre-token, so they need no pattern
@@ -228,10 +228,10 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
 
 
 @lru_cache(maxsize=4)
-def _encoder(data: bytes, pattern: str) -> Encoder:
+def _encoder(data: bytes, pattern: str, remembered: int | None) -> Encoder:
     import public_tokenizers
 
-    return Encoder(read_ranks(data), pattern, pattern == public_tokenizers.PATTERN)
+    return Encoder(read_ranks(data), pattern, pattern == public_tokenizers.PATTERN, remembered)
 
 
 class Decoder:
@@ -271,15 +271,16 @@ def _broadcast(spark: SparkSession, ranks_path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
-def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:
+def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", out_col: str = "ids", remembered: int | None = None) -> DataFrame:
     """Add ``out_col`` (binary): each text's ids as little-endian unsigned 32-bit integers.
 
-    Each match of ``pattern`` is merged separately, without special tokens."""
+    Each match of ``pattern`` is merged separately, without special tokens. ``remembered``: entries of a generation of
+    a worker's memory (``CACHE_ENTRIES`` if not given); fewer take less memory and more time."""
     shared = _broadcast(df.sparkSession, ranks_path)
 
     @F.pandas_udf(T.BinaryType())
     def ids(texts: pd.Series) -> pd.Series:
-        return pd.Series(_encoder(shared.value, pattern).encode(list(texts)), dtype=object)
+        return pd.Series(_encoder(shared.value, pattern, remembered).encode(list(texts)), dtype=object)
 
     return df.withColumn(out_col, ids(whole_text(text_col)))
 
@@ -296,9 +297,9 @@ def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: str =
     return df.withColumn(out_col, decoded(F.col(ids_col)))
 
 
-def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+def digests(docs: DataFrame, ranks_path: str, pattern: str, remembered: int | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of whole documents, by ``encode`` and ``decode``."""
-    ids = encode(docs.select("doc_id", "text"), ranks_path, pattern).select("doc_id", "ids")
+    ids = encode(docs.select("doc_id", "text"), ranks_path, pattern, remembered=remembered).select("doc_id", "ids")
     both = decode(ids, ranks_path)
     return both.select("doc_id", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

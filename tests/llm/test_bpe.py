@@ -93,9 +93,8 @@ def test_small_memory_gives_the_same_ids(monkeypatch):
     with open(P.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
         ranks = bpe.read_ranks(f.read())
     own = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 3)
     monkeypatch.setattr(bpe, "TOGETHER", 40)
-    encoder = bpe.Encoder(ranks, P.PATTERN, True)
+    encoder = bpe.Encoder(ranks, P.PATTERN, True, 3)
     texts = [f"the {w} of x{i % 7} and {w}-{i} it's\n the  end" for i in range(60) for w in ("house", "straße", "日本")]
     assert encoder.encode(texts) == [b"".join(t.to_bytes(4, "little") for t in own.encode_ordinary(x)) for x in texts]
     assert len(encoder.led) < 40
