@@ -1,5 +1,7 @@
 import random
+from itertools import product
 
+import pytest
 import xxhash
 
 from loglens.llm import simhash
@@ -44,13 +46,33 @@ def test_query_against_brute_force(spark, sf_dir):
     assert len(got) == len(rows)
 
 
-def test_links_lose_no_near_pair(spark):
+def signed(p):
+    return p - (1 << 64) if p >> 63 else p
+
+
+@pytest.mark.parametrize("max_distance", [0, 2, 4])
+def test_segments_miss_no_pattern_of_bits(max_distance):
+    """However the different bits fall on the segments, one segment is within its ball."""
+    segments = simhash._segments(max_distance)
+    assert sum(bits for _, bits, _ in segments) == 64
+    for split in product(range(max_distance + 1), repeat=len(segments)):
+        if sum(split) <= max_distance:
+            assert any(n <= radius for n, (_, _, radius) in zip(split, segments))
+
+
+@pytest.mark.parametrize("crowded", [0, 3, simhash.CROWDED])
+def test_links_lose_no_near_pair(spark, crowded):
+    """Also where every bucket, or those of some bases only, are crowded."""
     rng = random.Random(4)
     base = [rng.getrandbits(64) for _ in range(20)] + [0, (1 << 64) - 1]
     prints = {b ^ sum(1 << x for x in rng.sample(range(64), rng.randrange(4))) for b in base for _ in range(12)}
-    signed = lambda x: x - (1 << 64) if x >> 63 else x
-    edges = simhash.links(spark.createDataFrame([(signed(p),) for p in prints], "fingerprint long"), 2)
-    assert all((r["src"] ^ r["dst"]).bit_count() <= 2 or ((r["src"] ^ r["dst"]) & (1 << 64) - 1).bit_count() <= 2 for r in edges.collect())
+    prints |= {base[0] ^ x for x in rng.sample(range(1 << 32), 100)}        # one half in common
+    edges = simhash.links(spark.createDataFrame([(signed(p),) for p in prints], "fingerprint long"), 2, crowded)
+    found = {(r["src"] & (1 << 64) - 1, r["dst"] & (1 << 64) - 1) for r in edges.collect()}
+    near = {(p, q) for p in prints for q in prints if p != q and (p ^ q).bit_count() <= 2}
+    assert found <= near and {(q, p) for p, q in found} == found
+    if crowded == simhash.CROWDED:
+        assert {(p, q) for p, q in near if (p ^ base[0]) >> 32 and (q ^ base[0]) >> 32} <= found
     roots = simhash.components(edges)
     got = {r["node"] & (1 << 64) - 1: r["root"] & (1 << 64) - 1 for r in roots.collect()}
     want = brute_components(prints)
