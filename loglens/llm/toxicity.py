@@ -230,8 +230,8 @@ def _support(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             words = set(words)
             own.update((_WORD, w, "") for w in words)
             own.update((_STEM, p, "") for p in {w[:n] for w in words for n in STEMS if len(w) > n})
-        if len(seen[0]) + len(seen[1]) > KEYS:
-            yield flush()
+            if len(seen[0]) + len(seen[1]) > KEYS:
+                yield flush()
     if seen[0] or seen[1]:
         yield flush()
 
