@@ -182,13 +182,12 @@ def _judged(features: DataFrame, rules: list[list[Condition]]) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the base and the list keep, with all their columns.
 
-    The list is learned from a narrow table of counts; the rows are then judged where they are, so
-    no text is shuffled."""
-    rules = learn(staged(with_features(statistics(docs.select("doc_id", "text"))), "features"), labels)
+    Rows are written once with their counts beside them, so texts are counted once and never
+    shuffled; the list is learned from the narrow columns alone."""
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").alias("own_text"))
-    judged = _judged(with_features(statistics(packed, "own_text", keep=("row",))), rules)
-    # a filter on deterministic columns alone would be pushed below, with a copy of each statistic wherever it is used
-    return judged.withColumn("place", F.monotonically_increasing_id()).where("kept and place >= 0").select("row.*")
+    counted = staged(with_features(statistics(packed, "own_text", keep=("row",))), "features")
+    rules = learn(counted.select("row.doc_id", "base_failed", *FEATURES), labels)
+    return _judged(counted, rules).where("kept").select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
